@@ -53,12 +53,12 @@ class LoadOptions:
     keys: dict[str, Sequence[str]] = field(default_factory=dict)  # overrides of the key rule
 
 
-def _in_parallel(work: Callable, items: Sequence, width: int) -> list:
+def _in_parallel(spark: SparkSession, work: Callable, items: Sequence, width: int) -> list:
     """Independent tables as concurrent Spark jobs, so that small tables do not leave the cluster idle."""
     if not items:
         return []
     with ThreadPoolExecutor(max_workers=max(1, min(width, len(items)))) as pool:
-        return list(pool.map(inheritable_thread_target(work), items))
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
 
 
 def _report(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -171,7 +171,7 @@ def _load_all(spark: SparkSession, extract_dir: str, target: Target, kind: str,
         groups.setdefault(f["table_name"], []).append(f)
     if options.mode == "replace" and any(len(g) > 1 for g in groups.values()):
         raise ValueError("replace needs one file per table")
-    results = _in_parallel(lambda group: [load(f) for f in group], list(groups.values()), options.parallel)
+    results = _in_parallel(spark, lambda group: [load(f) for f in group], list(groups.values()), options.parallel)
     for table in sorted(set(dictionary) - loaded_tables):
         target.create(table, _table_schema(dictionary[table], options.profile, options.numeric), _keys(table, options))
     if METADATA_TABLE not in loaded_tables:
@@ -245,7 +245,7 @@ def apply_incremental(
                 )
         return report
 
-    results = _in_parallel(apply, sorted(work), options.parallel)
+    results = _in_parallel(spark, apply, sorted(work), options.parallel)
     return _report(spark, [row for rows in results for row in rows])
 
 
