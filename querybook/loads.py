@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from querybook.changes import ROLES_SQL, UPSERTED_SQL, deletes, target, updates
-from querybook.registry import plain_times, query, read, write_extract
+from querybook.registry import plain_times, query, read, stored_input, write_extract
 from tidemark.plans.loads import apply_incremental, load_full, load_log
 from tidemark.plans.target import Target
 from tidemark.session import scratch_path
@@ -23,7 +23,7 @@ def _full(spark, sf):
         "supplier": read(spark, sf, "supplier").withColumnRenamed("s_suppkey", "id"),
         "orders": read(spark, sf, "orders").withColumnRenamed("o_orderkey", "id"),
     }
-    folder = write_extract(spark, "full", {f"Object.{n}": df for n, df in tables.items()})
+    folder = write_extract(spark, sf, "full", "full", {f"Object.{n}": df for n, df in tables.items()})
     store = Target(spark, scratch_path(spark, "full"))
     load_full(spark, folder, store)
 
@@ -41,11 +41,11 @@ WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.o_orderkey = t.o_orderkey) AND NOT EXI
 UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, lower(o_orderpriority) FROM u""")
 def _incremental(spark, sf):
     store = Target(spark, scratch_path(spark, "incremental"))
-    load_full(spark, write_extract(spark, "full", {"Object.orders": target(spark, sf).withColumnRenamed("o_orderkey", "id")}), store)
+    load_full(spark, write_extract(spark, sf, "base", "full", {"Object.orders": target(spark, sf).withColumnRenamed("o_orderkey", "id")}), store)
     changed = updates(spark, sf).withColumnRenamed("o_orderkey", "id").withColumn("note", F.lower("o_orderpriority"))
     gone = deletes(spark, sf).select(F.col("o_orderkey").alias("id"), F.lit("2025-01-02T00:00Z").alias("deleted_date"))
     new_column = [("2025-01-02T00:00:00.000Z", "Object.orders", "orders", "note", "Note", "String", 100, None)]
-    apply_incremental(spark, write_extract(spark, "incremental", {"Object.orders": changed}, {"Object.orders_deletes": gone}, new_column), store)
+    apply_incremental(spark, write_extract(spark, sf, "incremental", "incremental", {"Object.orders": changed}, {"Object.orders_deletes": gone}, new_column), store)
     return plain_times(store.read("orders"))
 
 
@@ -54,7 +54,7 @@ def _log(spark, sf):
     events = read(spark, sf, "events").withColumnRenamed("event_id", "id")
     store = Target(spark, scratch_path(spark, "log"))
     for half in ("event_type in ('click', 'view')", "event_type not in ('click', 'view')"):
-        load_log(spark, write_extract(spark, "log", {"Log.events": events.where(half)}), store)
+        load_log(spark, write_extract(spark, sf, f"log-{half}", "log", {"Log.events": events.where(half)}), store)
     return plain_times(store.read("events"))
 
 
@@ -65,10 +65,14 @@ def _stream(spark, sf):
     store.create("orders", rows.schema, ["o_orderkey"])
     store.append("orders", rows)
     # Extracts by priority land one after the other; a first, outdated one is overtaken by them.
-    landing = scratch_path(spark, "landing")
-    changed = updates(spark, sf)
-    changed.withColumn("o_orderstatus", F.lit("?")).withColumn("stop_time", F.lit("0")).write.mode("append").parquet(landing)
-    changed.withColumn("stop_time", F.col("o_orderpriority")).write.mode("append").parquet(landing)
+    def land() -> str:
+        path = scratch_path(spark, "landing")
+        changed = updates(spark, sf)
+        changed.withColumn("o_orderstatus", F.lit("?")).withColumn("stop_time", F.lit("0")).write.mode("append").parquet(path)
+        changed.withColumn("stop_time", F.col("o_orderpriority")).write.mode("append").parquet(path)
+        return path
+
+    landing = stored_input(spark, sf, "landing", land)
     schema = T.StructType(rows.schema.fields + [T.StructField("stop_time", T.StringType())])
     job = stream_table(spark, landing, schema, store, "orders", ["o_orderkey"], scratch_path(spark, "checkpoint"), "stop_time", files_per_batch=1)
     job.awaitTermination()

@@ -39,11 +39,26 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def as_csv(df: DataFrame, label: str) -> str:
+_INPUTS: dict[tuple[str, str, str], str] = {}
+
+
+def stored_input(spark: SparkSession, sf_dir: str, label: str, build: Callable[[], str]) -> str:
+    """Path of an input that a query's tables are exported to: written once per application, then only read."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _INPUTS:
+        _INPUTS[key] = build()
+    return _INPUTS[key]
+
+
+def as_csv(df: DataFrame, sf_dir: str, label: str) -> str:
     """Store rows as an extract's CSV file; returns its path."""
-    path = f"{scratch_path(df.sparkSession, label)}.csv"
-    write_csv(df, path)
-    return path
+
+    def build() -> str:
+        path = f"{scratch_path(df.sparkSession, label)}.csv"
+        write_csv(df, path)
+        return path
+
+    return stored_input(df.sparkSession, sf_dir, f"csv-{label}", build)
 
 
 def plain_times(df: DataFrame) -> DataFrame:
@@ -71,10 +86,17 @@ DICTIONARY_DDL = ("modified_date__v string, extract string, extract_label string
 MANIFEST_DDL = "extract string, extract_label string, type string, records bigint, file string"
 
 
-def write_extract(spark: SparkSession, kind: str, updates: dict[str, DataFrame], deletes: dict[str, DataFrame] | None = None,
-                  dictionary_updates: list[tuple] | None = None, folder: str | None = None) -> str:
-    """Write an extract folder: data files, dictionary and, last, the manifest."""
-    folder = folder or scratch_path(spark, f"extract-{kind}")
+def write_extract(
+    spark: SparkSession, sf_dir: str, label: str, kind: str, updates: dict[str, DataFrame],
+    deletes: dict[str, DataFrame] | None = None, dictionary_updates: list[tuple] | None = None,
+) -> str:
+    """Store an extract folder; returns its path."""
+    return stored_input(spark, sf_dir, f"extract-{label}", lambda: _write_extract(spark, kind, updates, deletes, dictionary_updates))
+
+
+def _write_extract(spark, kind, updates, deletes, dictionary_updates) -> str:
+    """Data files, dictionary and, last, the manifest."""
+    folder = scratch_path(spark, f"extract-{kind}")
     manifest, dictionary = [], []
     for extract, df in updates.items():
         file = extract.replace(".", "/") + ".csv"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from querybook.registry import as_csv, dictionary_rows, plain_times, query, read
+from querybook.registry import as_csv, dictionary_rows, plain_times, query, read, stored_input
 from tidemark.functions import clean as c
 from tidemark.operators.change import append, conform
 from tidemark.operators.dictionary import clean, number_kinds, schema_from_metadata
@@ -24,13 +24,13 @@ def typed_scan(spark, df, path, numeric="infer", split=None):
 @query("scan_csv_extract", "SELECT * FROM orders")
 def _scan_csv(spark, sf):
     orders = read(spark, sf, "orders")
-    return plain_times(typed_scan(spark, orders, as_csv(orders, "orders")))
+    return plain_times(typed_scan(spark, orders, as_csv(orders, sf, "orders")))
 
 
 @query("scan_csv_in_splits", "SELECT * FROM documents")
 def _scan_split(spark, sf):
     documents = read(spark, sf, "documents")
-    return typed_scan(spark, documents, as_csv(documents, "documents"), split=True)
+    return typed_scan(spark, documents, as_csv(documents, sf, "documents"), split=True)
 
 
 @query("scan_parquet_extract", "SELECT * FROM part")
@@ -46,7 +46,7 @@ UNION ALL SELECT 4, 'o_totalprice', count(o_totalprice) FROM orders
 UNION ALL SELECT 5, 'o_orderdate', count(o_orderdate) FROM orders
 UNION ALL SELECT 6, 'o_orderpriority', count(o_orderpriority) FROM orders""")
 def _headers(spark, sf):
-    path = as_csv(read(spark, sf, "orders"), "headers")
+    path = as_csv(read(spark, sf, "orders"), sf, "orders")
     names = files.headers(spark, path)
     counts = files.scan_csv(spark, path, names).agg(*[F.count(n).alias(n) for n in names])
     rows = [F.struct(F.lit(i).alias("ordinal"), F.lit(n).alias("column_name"), F.col(n).alias("n_values"))
@@ -57,7 +57,7 @@ def _headers(spark, sf):
 @query("infer_schema_load", "SELECT * FROM customer")
 def _infer(spark, sf):
     customer = read(spark, sf, "customer")
-    return conform(files.scan_inferred_csv(spark, as_csv(customer, "inferred")), customer.schema)
+    return conform(files.scan_inferred_csv(spark, as_csv(customer, sf, "customer")), customer.schema)
 
 
 @query("infer_number_type", """
@@ -75,9 +75,14 @@ def _number_type(spark, sf):
 @query("archive_expand", "SELECT * FROM customer")
 def _archive(spark, sf):
     customer = read(spark, sf, "customer")
-    path = scratch_path(spark, "archives")
-    # One archive per task of the table's scan.
-    archive.pack_archives(customer, "Object/customer.csv", path).collect()
+
+    def pack() -> str:
+        out = scratch_path(spark, "archives")
+        # One archive per task of the table's scan; the report has one row per archive.
+        archive.pack_archives(customer, "Object/customer.csv", out).collect()
+        return out
+
+    path = stored_input(spark, sf, "archives", pack)
     records = archive.land_archives(spark, path, scratch_path(spark, "unpacked"))
     rows = archive.member_table(records, "Object/customer.csv", customer.columns)
     return clean(rows, customer.schema)
@@ -88,15 +93,16 @@ SELECT event_id, date_trunc('millisecond', ts) AS ts, user_id, event_type, value
 def _to_parquet(spark, sf):
     events = read(spark, sf, "events")
     out = scratch_path(spark, "converted")
-    typed_scan(spark, events, as_csv(events, "events")).write.parquet(out)
+    typed_scan(spark, events, as_csv(events, sf, "events")).write.parquet(out)
     return plain_times(files.scan_parquet(spark, out))
 
 
 @query("csv_rewrite", "SELECT * FROM part")
 def _rewrite(spark, sf):
     part = read(spark, sf, "part")
-    once = files.scan_csv(spark, as_csv(part, "part"))
-    return conform(files.scan_csv(spark, as_csv(once, "rewritten")), part.schema)
+    out = f"{scratch_path(spark, 'rewritten')}.csv"
+    files.write_csv(files.scan_csv(spark, as_csv(part, sf, "part")), out)
+    return conform(files.scan_csv(spark, out), part.schema)
 
 
 @query("append_load", "SELECT * FROM lineitem")
@@ -139,10 +145,14 @@ def _tolerant(spark, sf):
     """Lines of customers in debt lack their last field; segments are cut to six bytes where they are longer."""
     customer = read(spark, sf, "customer")
     line = F.concat_ws(",", "c_custkey", "c_name", "c_nationkey", "c_acctbal", F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")))
-    path = f"{scratch_path(spark, 'short')}.csv"
-    lines = customer.select(line.alias(",".join(customer.columns)))
-    lines.write.options(header=True, sep="\u0001", quote="").csv(path)
-    typed = files.scan_tolerant(spark, path, customer.schema)
+
+    def store() -> str:
+        path = f"{scratch_path(spark, 'short')}.csv"
+        lines = customer.select(line.alias(",".join(customer.columns)))
+        lines.write.options(header=True, sep="\u0001", quote="").csv(path)
+        return path
+
+    typed = files.scan_tolerant(spark, stored_input(spark, sf, "short-lines", store), customer.schema)
     return typed.withColumn("c_mktsegment", c.truncate_bytes("c_mktsegment", 6))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,8 @@ from tidemark.operators.change import conform
 from tidemark.operators.dictionary import clean, dictionary_columns, schema_from_metadata
 from tidemark.operators.evolve import change_plan
 from tidemark.plans.target import Target, bucket_count
-from tidemark.session import settle
-from tidemark.sources.files import scan_inferred_csv, total_bytes
+from tidemark.session import settle, total_bytes
+from tidemark.sources.files import scan_inferred_csv
 from tidemark.sources.listing import (
     extract_paths,
     manifest_tables,
@@ -116,14 +117,22 @@ def _keys(table: str, options: LoadOptions) -> list[str]:
     return list(options.keys.get(table) or key_columns(table))
 
 
-def _files(manifest_rows: DataFrame, extract_dir: str, parquet: bool) -> list[dict]:
-    """Files to load, one per manifest row."""
-    paths = extract_paths(manifest_rows, extract_dir, parquet).groupBy("path").agg(F.first("table_name").alias("table_name"))
-    declared = manifest_rows.select(
-        F.concat_ws("/", F.lit(extract_dir), F.regexp_replace("file", r"\.csv$", ".parquet") if parquet else F.col("file")).alias("path"),
-        "records",
-    ).groupBy("path").agg(F.sum("records").alias("records"))
-    return [r.asDict() for r in paths.join(declared, "path").orderBy(F.desc("records"), "path").collect()]
+def _selected(manifest: DataFrame, extract_dir: str, kind: str, parquet: bool) -> dict[str, list[dict]]:
+    """Files to read by use (``updates``, ``deletes`` and the dictionary's own), one per manifest row, in one job."""
+
+    def files(rows: DataFrame, use: str) -> DataFrame:
+        return extract_paths(rows, extract_dir, parquet, keep=["records"]).select(F.lit(use).alias("use"), "table_name", "path", "records")
+
+    parts = [files(manifest_tables(manifest, "updates", kind), "updates")]
+    if kind == "incremental":
+        parts.append(files(manifest_tables(manifest, "deletes", kind).where(F.col("table_name") != METADATA_TABLE), "deletes"))
+        parts += [files(metadata_changes(manifest, change), f"dictionary_{change}") for change in ("updates", "deletes")]
+    chosen: dict[str, list[dict]] = {"updates": [], "deletes": [], "dictionary_updates": [], "dictionary_deletes": []}
+    for row in reduce(DataFrame.unionByName, parts).collect():
+        chosen[row["use"]].append(row.asDict())
+    for rows in chosen.values():
+        rows.sort(key=lambda r: (-r["records"], r["path"]))  # large tables first
+    return chosen
 
 
 def _load_all(spark: SparkSession, extract_dir: str, target: Target, kind: str, options: LoadOptions) -> DataFrame:
@@ -131,7 +140,7 @@ def _load_all(spark: SparkSession, extract_dir: str, target: Target, kind: str,
     manifest = scan_manifest(spark, extract_dir, options.parquet)
     metadata = scan_metadata(spark, extract_dir, kind, options.parquet)
     dictionary = _dictionary(metadata)
-    files = _files(manifest_tables(manifest, "updates", kind), extract_dir, options.parquet)
+    files = _selected(manifest, extract_dir, kind, options.parquet)["updates"]
     loaded_tables = {f["table_name"] for f in files}
 
     def load(item: dict) -> tuple:
@@ -202,16 +211,12 @@ def apply_incremental(
     """
     extract_dir = extract_dir.rstrip("/")
     manifest = scan_manifest(spark, extract_dir, options.parquet)
-    _apply_dictionary(spark, manifest, extract_dir, target, options)
+    chosen = _selected(manifest, extract_dir, "incremental", options.parquet)
+    _apply_dictionary(spark, chosen["dictionary_updates"], chosen["dictionary_deletes"], target, options)
 
-    updates = _files(manifest_tables(manifest, "updates", "incremental"), extract_dir, options.parquet)
-    deletes = [
-        f for f in _files(manifest_tables(manifest, "deletes", "incremental"), extract_dir, options.parquet)
-        if f["table_name"] != METADATA_TABLE
-    ]
     work: dict[str, dict[str, list[dict]]] = {}
-    for change, files in (("deletes", deletes), ("updates", updates)):
-        for f in files:
+    for change in ("deletes", "updates"):
+        for f in chosen[change]:
             work.setdefault(f["table_name"], {"deletes": [], "updates": []})[change].append(f)
 
     def apply(table: str) -> list[tuple]:
@@ -249,20 +254,14 @@ def apply_incremental(
     return _report(spark, [row for rows in results for row in rows])
 
 
-def _dictionary_file(spark: SparkSession, manifest: DataFrame, change: str, extract_dir: str, parquet: bool) -> DataFrame | None:
-    found = metadata_changes(manifest, change).select("file").first()
-    if found is None:
-        return None
-    file = found["file"]
-    if parquet and file.endswith(".csv"):
-        file = file[: -len(".csv")] + ".parquet"
-    rows = scan_file(spark, f"{extract_dir}/{file}", parquet)
-    return rows.toDF(*[c.lower() for c in rows.columns])
-
+def _apply_dictionary(spark: SparkSession, update_files: list[dict], delete_files: list[dict], target: Target, options: LoadOptions) -> None:
+    def rows_of(files: list[dict]) -> DataFrame | None:
+        if not files:
+            return None
+        rows = scan_file(spark, files[0]["path"], options.parquet)
+        return rows.toDF(*[c.lower() for c in rows.columns])
 
-def _apply_dictionary(spark: SparkSession, manifest: DataFrame, extract_dir: str, target: Target, options: LoadOptions) -> None:
-    updates = _dictionary_file(spark, manifest, "updates", extract_dir, options.parquet)
-    deletes = _dictionary_file(spark, manifest, "deletes", extract_dir, options.parquet)
+    updates, deletes = rows_of(update_files), rows_of(delete_files)
     if updates is None and deletes is None:
         return
     empty = spark.createDataFrame([], "table_name string, column_name string, type string")

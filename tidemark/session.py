@@ -57,6 +57,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(jpath))
 
 
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Size in bytes of everything at ``path``, which may hold wildcards."""
+    fs, jpath = _file_system(spark, path)
+    found = fs.globStatus(jpath)
+    return sum(fs.getContentSummary(status.getPath()).getLength() for status in found) if found else 0
+
+
 def read_small_text(spark: SparkSession, path: str) -> str:
     """Content of one control file (a few kilobytes)."""
     fs, jpath = _file_system(spark, path)

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import io
 import json
+import sys
 import tarfile
 from collections.abc import Iterable, Iterator, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidemark.sources.files import parse_records
 
+# The reader travels to the executors with its code, so that they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 RECORDS_SCHEMA = "archive string, member string, record_no bigint, record string"
 BATCH_BYTES = 4 << 20
 

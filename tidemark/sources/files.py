@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import total_bytes
+
 CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"'}
 
 
@@ -25,12 +27,6 @@ def largest_file(spark: SparkSession, path: str) -> int:
     return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
 
 
-def total_bytes(spark: SparkSession, path: str) -> int:
-    """Size in bytes of all files at ``path``, also in folders below it (file listing only)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.agg(F.sum("length")).first()[0] or 0
-
-
 def split_bytes(spark: SparkSession) -> int:
     """How much of a splittable file one task reads."""
     setting = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().rstrip("b")
@@ -49,7 +45,8 @@ def scan_csv(
     names = list(columns) if columns else headers(spark, path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     if split is None:
-        split = largest_file(spark, path) > split_bytes(spark)
+        limit = split_bytes(spark)
+        split = total_bytes(spark, path) > limit and largest_file(spark, path) > limit
     if not split:
         return spark.read.schema(schema).options(header=True, multiLine=True, **CSV_OPTIONS).csv(path)
     records = csv_records(spark, path).where("record_no > 1")

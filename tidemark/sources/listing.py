@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,11 +61,11 @@ def metadata_changes(manifest: DataFrame, change: str) -> DataFrame:
     return manifest.where((F.col("extract") == METADATA_EXTRACT) & (F.col("type") == change) & (F.col("records") > 0))
 
 
-def extract_paths(manifest: DataFrame, extract_dir: str, parquet: bool = False) -> DataFrame:
+def extract_paths(manifest: DataFrame, extract_dir: str, parquet: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Table name and object path of each manifest row."""
     file = parquet_file("file") if parquet else F.col("file")
     return manifest.select(
-        extract_table("extract").alias("table_name"), F.concat_ws("/", F.lit(extract_dir), file).alias("path")
+        extract_table("extract").alias("table_name"), F.concat_ws("/", F.lit(extract_dir), file).alias("path"), *keep
     )
 
 
