@@ -10,13 +10,14 @@ from tidemark.functions import clean as c
 from tidemark.operators.change import append, conform
 from tidemark.operators.dictionary import clean, number_kinds, schema_from_metadata
 from tidemark.plans.target import Target
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, settle
 from tidemark.sources import archive, files, listing
 
 
 def typed_scan(spark, df, path, numeric="infer", split=None):
     """CSV back to the types its dictionary gives."""
     raw = files.scan_csv(spark, path, split=split)
+    raw = settle(raw, "landed") if split else raw
     rows = [{"column_name": r[3], "type": r[5]} for r in dictionary_rows(df, "Object.table")]
     return clean(raw, schema_from_metadata(rows, raw.columns, raw, numeric=numeric))
 

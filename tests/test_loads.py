@@ -1,9 +1,11 @@
 import pytest
 from pyspark.sql import types as T
 
-from tidemark.plans.extracts import unpack
+from tidemark.plans.extracts import latest_archive, unpack
 from tidemark.plans.loads import LoadOptions, apply_incremental, apply_plan, load_full, load_log
 from tidemark.plans.target import Target
+from tidemark.session import scratch_path, settle, release, path_exists
+from tidemark.sources.model import LISTING_SCHEMA
 from tidemark.streaming.incremental import stream_extracts, stream_table
 
 DICT = "modified_date__v,extract,extract_label,column_name,column_label,type,length,related_extract\n"
@@ -188,3 +190,30 @@ def test_stream_of_one_table(spark, tmp_path, rows):
     for _ in range(2):
         stream_table(spark, landing, schema, store, "t", ["id"], str(tmp_path / "cp"), "stop").awaitTermination()
         assert rows(store.read("t")) == [(1, "new"), (2, "b"), (3, "c")]
+
+
+def test_latest_archive_with_parts(spark, tmp_path):
+    from test_files import make_archive
+
+    make_archive(tmp_path / "x.tar.gz", FULL)
+    data = (tmp_path / "x.tar.gz").read_bytes()
+    for i in (1, 2):
+        (tmp_path / f"p{i}").write_bytes(data[:200] if i == 1 else data[200:])
+    parts = [("b", "p2", 2, 1, None), ("a", "p1", 1, 1, None)]
+    listing = spark.createDataFrame([
+        ("old", "old.tar.gz", "full", "1", "2", 5, 1, 1, []), ("new", "x.tar.gz", "full", "2", "3", 9, 1, 2, parts),
+        ("none", "n.tar.gz", "log", "2", "3", 0, 1, 1, [])], LISTING_SCHEMA)
+    found = latest_archive(listing, "full", str(tmp_path))
+    assert found == [("x.tar.gz", [f"{tmp_path}/p1", f"{tmp_path}/p2"])]
+    assert latest_archive(listing, "log", str(tmp_path)) == []
+    assert unpack(spark, found, str(tmp_path / "out")).count() == 5
+
+
+def test_release_deletes_only_what_was_settled(spark, tmp_path):
+    stored = settle(spark.range(5))
+    folder = stored.inputFiles()[0].rsplit("/", 1)[0]
+    spark.range(3).write.parquet(str(tmp_path / "mine"))
+    release(stored, None, spark.read.parquet(str(tmp_path / "mine")))
+    assert not path_exists(spark, folder)
+    assert spark.read.parquet(str(tmp_path / "mine")).count() == 3
+    assert scratch_path(spark, "a") != scratch_path(spark, "a")

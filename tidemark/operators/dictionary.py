@@ -65,11 +65,12 @@ def number_kinds(data: DataFrame, columns: Iterable[str]) -> DataFrame:
     flags = []
     for i, name in enumerate(columns):
         text = blank_to_null(F.col(f"`{name}`"))
-        value = text.try_cast("double")
-        exact = text.try_cast("decimal(38,10)")
+        # Below 2^52 a double tells a fraction; only longer numbers need the exact decimal.
+        value, exact = text.try_cast("double"), text.try_cast("decimal(38,10)")
         wide = F.abs(value) >= F.lit(9223372036854775807.0)
-        fraction = F.coalesce(exact != F.floor(exact), value != F.floor(value))
-        flags.append(F.coalesce(F.bool_or((fraction | wide) & ~F.isnan(value)), F.lit(False)).alias(f"f{i}"))
+        large = (F.coalesce(exact != F.floor(exact), value != F.floor(value)) | wide) & ~F.isnan(value)
+        fractional = F.when(F.abs(value) < F.lit(float(1 << 52)), value != F.floor(value)).otherwise(large)
+        flags.append(F.coalesce(F.bool_or(fractional), F.lit(False)).alias(f"f{i}"))
     pairs = ", ".join(f"{i}, f{i}" for i in range(len(columns)))
     names = F.array(*[F.lit(name) for name in columns])
     return (

@@ -26,12 +26,15 @@ def nest(
     """
     fields = [c for c in child.columns if c != child_key]
     pages = numbered_lists(child, [child_key], order, fields, name, size)
-    joined = parent.join(pages, parent[parent_key] == pages[child_key], "left")
-    return joined.select(
-        *[parent[c] for c in parent.columns],
-        F.coalesce(F.col("page"), F.lit(0)).alias("page"),
-        F.coalesce(F.col(name), F.array().cast(pages.schema[name].dataType)).alias(name),
+    # An inner join lets a parent with very many pages be split over tasks; an outer one would not.
+    with_children = parent.join(pages, parent[parent_key] == pages[child_key]).select(
+        *[parent[c] for c in parent.columns], "page", name
     )
+    held = child.select(F.col(child_key).alias("__held")).distinct()
+    childless = parent.join(held, F.col(parent_key) == F.col("__held"), "left_anti").select(
+        *parent.columns, F.lit(0).cast("bigint").alias("page"), F.array().cast(pages.schema[name].dataType).alias(name)
+    )
+    return with_children.unionByName(childless)
 
 
 def unnest(df: DataFrame, name: str, keep: Sequence[str]) -> DataFrame:

@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.session import settle
+from tidemark.session import local_rows, settle
 
 SHALLOW_PAGE = 100_000
 HOT_GROUP = 1_000_000
@@ -30,8 +29,7 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "row_i
     for row in counts:
         starts.append((row["part"], total))
         total += row["n"]
-    schema = T.StructType([T.StructField("__part", T.LongType()), T.StructField("__start", T.LongType())])
-    offsets = df.sparkSession.createDataFrame(starts, schema)
+    offsets = local_rows(df.sparkSession, starts, "__part bigint, __start bigint")
     place = F.col(_SEQUENCE).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     return (
         placed.withColumn("__part", part)
@@ -45,7 +43,7 @@ def batch_rows(df: DataFrame, order: Sequence[str | Column], size: int = 10_000,
     """Consecutive batches of ``size`` rows: every batch but the last is full."""
     if isinstance(size, bool) or not isinstance(size, int) or size <= 0:
         raise ValueError("batch size must be a positive whole number")
-    return number_rows(df, order, "__row").withColumn(name, F.floor(F.col("__row") / size)).drop("__row")
+    return number_rows(df, order, "__row").withColumn(name, F.expr(f"__row div {size}")).drop("__row")
 
 
 def numbered_in_group(
@@ -89,7 +87,7 @@ def numbered_lists(
     paged = numbered_in_group(df, group, order, "__place", hot_rows)
     item = F.struct(F.col("__place"), F.struct(*fields).alias("item"))
     lists = (
-        paged.withColumn("page", F.floor(F.col("__place") / size))
+        paged.withColumn("page", F.expr(f"__place div {size}"))
         .groupBy(*group, "page")
         .agg(F.array_sort(F.collect_list(item)).alias("__items"))
     )

@@ -6,18 +6,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.dictionary import clean, schema_from_metadata
-from tidemark.session import scratch_path
-from tidemark.sources.archive import land_archives, member_headers, member_table
+from tidemark.session import delete_path, in_parallel, local_rows, scratch_path
+from tidemark.sources.archive import land_records, member_headers, member_table, scan_archive_parts, scan_archives
 from tidemark.sources.files import CSV_OPTIONS, write_csv
+from tidemark.sources.listing import pick_latest
 from tidemark.sources.model import MANIFEST_FILE, MANIFEST_SCHEMA, METADATA_FILE, METADATA_SCHEMA
 
 
-def unpack(spark: SparkSession, archives: str, out: str, parquet: bool = True, numeric: str = "infer") -> DataFrame:
+def latest_archive(
+    listing: DataFrame, kind: str, folder: str, start: str | None = None, stop: str | None = None
+) -> list[tuple[str, list[str]]]:
+    """The last extract of a kind in the time window, as its archive with the addresses of its parts in order.
+
+    Empty when that extract holds no records. A single row comes to the driver.
+    """
+    row = pick_latest(listing, kind, start, stop).select(
+        "filename", F.array_sort(F.transform("filepart_details", lambda p: F.struct(p["filepart"].alias("part"), p["filename"].alias("file")))).alias("parts")
+    ).first()
+    if row is None:
+        return []
+    return [(row["filename"], [f"{folder.rstrip('/')}/{p['file']}" for p in row["parts"]])]
+
+
+def unpack(
+    spark: SparkSession, archives: str | list[tuple[str, list[str]]], out: str, parquet: bool = True, numeric: str = "infer", parallel: int = 8
+) -> DataFrame:
     """Archives to one folder of files per member, typed by the archive's own dictionary when written as Parquet.
 
-    The archives are unpacked once; every later step reads that columnar copy. Returns ``(member, file, records)``.
+    ``archives`` is a path or what ``latest_archive`` gives. They are unpacked once; every later step
+    reads that columnar copy. Returns ``(member, file, records)``.
     """
-    records = land_archives(spark, archives, scratch_path(spark, "unpacked"))
+    source = scan_archives(spark, archives) if isinstance(archives, str) else scan_archive_parts(spark, archives)
+    landed = scratch_path(spark, "unpacked")
+    records = land_records(source, landed)
     found = member_headers(records)
     heads = found.select("member", F.from_csv("header", _wide(), CSV_OPTIONS).alias("h")).collect()  # one row per member
     members = {r["member"]: [c for c in r["h"] if c is not None] for r in heads if r["member"].endswith(".csv")}
@@ -28,13 +49,13 @@ def unpack(spark: SparkSession, archives: str, out: str, parquet: bool = True, n
         meta = member_table(records, dictionary_member, members[dictionary_member])
         for r in meta.select("extract", "column_name", "type").collect():
             dictionary.setdefault(r["extract"], []).append(r.asDict())
-    made = []
-    for member, columns in sorted(members.items()):
+
+    def convert(member: str) -> tuple[str, str]:
+        columns = members[member]
         rows = member_table(records, member, columns)
         if not parquet:
             write_csv(rows, f"{out}/{member}")
-            made.append((member, f"{out}/{member}"))
-            continue
+            return member, f"{out}/{member}"
         if member == f"{MANIFEST_FILE}.csv":
             schema = MANIFEST_SCHEMA
         elif member in metadata_files:
@@ -44,10 +65,13 @@ def unpack(spark: SparkSession, archives: str, out: str, parquet: bool = True, n
             schema = schema_from_metadata(dictionary.get(extract, []), columns, rows, numeric=numeric)
         path = f"{out}/{member[: -len('.csv')]}.parquet"
         clean(rows, schema).write.parquet(path)
-        made.append((member, path))
+        return member, path
+
+    made = in_parallel(spark, convert, sorted(members), parallel)
     counts = records.where("record_no > 0").groupBy("member").agg(F.count(F.lit(1)).alias("records"))
-    files = spark.createDataFrame(made, "member string, file string")
-    return files.join(counts, "member", "left").select("member", "file", F.coalesce("records", F.lit(0)).alias("records"))
+    found = {r["member"]: r["records"] for r in counts.collect()}  # one row per member
+    delete_path(spark, landed)
+    return local_rows(spark, [(m, f, found.get(m, 0)) for m, f in made], "member string, file string, records bigint")
 
 
 def _wide(columns: int = 2000) -> str:

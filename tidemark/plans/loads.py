@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,8 +14,8 @@ from tidemark.operators.change import conform
 from tidemark.operators.dictionary import clean, dictionary_columns, schema_from_metadata
 from tidemark.operators.evolve import change_plan
 from tidemark.plans.target import Target, bucket_count
-from tidemark.session import settle, total_bytes
-from tidemark.sources.files import scan_inferred_csv
+from tidemark.session import in_parallel, local_rows, release, settle, total_bytes
+from tidemark.sources.files import needs_split, scan_inferred_csv
 from tidemark.sources.listing import (
     extract_paths,
     manifest_tables,
@@ -54,16 +52,8 @@ class LoadOptions:
     keys: dict[str, Sequence[str]] = field(default_factory=dict)  # overrides of the key rule
 
 
-def _in_parallel(spark: SparkSession, work: Callable, items: Sequence, width: int) -> list:
-    """Independent tables as concurrent Spark jobs, so that small tables do not leave the cluster idle."""
-    if not items:
-        return []
-    with ThreadPoolExecutor(max_workers=max(1, min(width, len(items)))) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(work), items))
-
-
 def _report(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+    return local_rows(spark, rows, REPORT_SCHEMA)
 
 
 def _outcome(table: str, change: str, declared: int, loaded: int) -> tuple:
@@ -108,7 +98,7 @@ def create_tables(spark: SparkSession, target: Target, metadata: DataFrame, opti
         for table, rows in sorted(_dictionary(metadata).items())
         if target.create(table, _table_schema(rows, options.profile, options.numeric), _keys(table, options))
     ]
-    if target.create(METADATA_TABLE, DICTIONARY_SCHEMA, key_columns(METADATA_TABLE)):
+    if target.create(METADATA_TABLE, DICTIONARY_SCHEMA, key_columns(METADATA_TABLE), buckets=1):
         made.append(METADATA_TABLE)
     return made
 
@@ -141,10 +131,13 @@ def _load_all(spark: SparkSession, extract_dir: str, target: Target, kind: str,
     metadata = scan_metadata(spark, extract_dir, kind, options.parquet)
     dictionary = _dictionary(metadata)
     files = _selected(manifest, extract_dir, kind, options.parquet)["updates"]
+    # Log rows are only ever added: without key buckets they are written where they are read, with no shuffle.
+    keys_of = _keys if kind == "full" else lambda table, _: list(options.keys.get(table, []))
     loaded_tables = {f["table_name"] for f in files}
 
     def load(item: dict) -> tuple:
         table, path = item["table_name"], item["path"]
+        landed = None
         if options.infer_schema and not options.parquet:
             typed = scan_inferred_csv(spark, path)
             typed = typed.toDF(*[c.lower() for c in typed.columns])
@@ -164,15 +157,19 @@ def _load_all(spark: SparkSession, extract_dir: str, target: Target, kind: str,
                 else:
                     exists = target.snapshot(table)
                     rule = "double" if exists is not None and options.numeric == "infer" else options.numeric
+                    if rule == "infer" and needs_split(spark, path):
+                        raw = landed = settle(raw, f"landed-{table}")  # the Number rule and the load read columns, not text again
                     file_schema = schema_from_metadata(rows, raw.columns, raw, options.profile, rule)
                     if exists is not None:
                         held = {f.name.lower(): f.dataType for f in exists.schema.fields}
                         file_schema = T.StructType([T.StructField(f.name, held.get(f.name, f.dataType)) for f in file_schema])
                     typed = clean(raw, file_schema, options.trim_strings)
                 schema = _table_schema(rows, options.profile, options.numeric, file_schema)
-        target.create(table, schema, _keys(table, options), bucket_count(total_bytes(spark, path), target.buckets))
+        target.create(table, schema, keys_of(table, options), bucket_count(total_bytes(spark, path), target.buckets))
         write = target.overwrite if options.mode == "replace" else target.append
-        return _outcome(table, "updates", item["records"], write(table, typed, options.match))
+        loaded = write(table, typed, options.match)
+        release(landed)
+        return _outcome(table, "updates", item["records"], loaded)
 
     # Files of one table follow each other, different tables run side by side.
     groups: dict[str, list[dict]] = {}
@@ -180,11 +177,11 @@ def _load_all(spark: SparkSession, extract_dir: str, target: Target, kind: str,
         groups.setdefault(f["table_name"], []).append(f)
     if options.mode == "replace" and any(len(g) > 1 for g in groups.values()):
         raise ValueError("replace needs one file per table")
-    results = _in_parallel(spark, lambda group: [load(f) for f in group], list(groups.values()), options.parallel)
+    results = in_parallel(spark, lambda group: [load(f) for f in group], list(groups.values()), options.parallel)
     for table in sorted(set(dictionary) - loaded_tables):
-        target.create(table, _table_schema(dictionary[table], options.profile, options.numeric), _keys(table, options))
+        target.create(table, _table_schema(dictionary[table], options.profile, options.numeric), keys_of(table, options))
     if METADATA_TABLE not in loaded_tables:
-        target.create(METADATA_TABLE, DICTIONARY_SCHEMA, key_columns(METADATA_TABLE))
+        target.create(METADATA_TABLE, DICTIONARY_SCHEMA, key_columns(METADATA_TABLE), buckets=1)
         target.overwrite(METADATA_TABLE, metadata)
     return _report(spark, [row for group in results for row in group])
 
@@ -223,6 +220,7 @@ def apply_incremental(
         report = []
         snap = target.snapshot(table)
         staged: dict[str, DataFrame | None] = {"deletes": None, "updates": None}
+        stored_frames: list[DataFrame] = []
         for change, files in work[table].items():
             for f in files:
                 raw = scan_file(spark, f["path"], options.parquet)
@@ -240,6 +238,7 @@ def apply_incremental(
                     raw = raw.select(*_keys(table, options))
                 # Stored once, columnar: the text is parsed a single time although keys and rows are read separately.
                 stored = settle(raw, f"staged-{table}")
+                stored_frames.append(stored)
                 report.append(_outcome(table, change, f["records"], stored.count()))
                 staged[change] = stored if staged[change] is None else staged[change].unionByName(stored)
         if snap is not None and (staged["deletes"] is not None or staged["updates"] is not None):
@@ -248,9 +247,10 @@ def apply_incremental(
                     table, staged["updates"], staged["deletes"], _keys(table, options), options.upsert_mode,
                     options.distinct, options.key_match, applied,
                 )
+        release(*stored_frames)
         return report
 
-    results = _in_parallel(spark, apply, sorted(work), options.parallel)
+    results = in_parallel(spark, apply, sorted(work), options.parallel)
     return _report(spark, [row for rows in results for row in rows])
 
 
@@ -264,7 +264,7 @@ def _apply_dictionary(spark: SparkSession, update_files: list[dict], delete_file
     updates, deletes = rows_of(update_files), rows_of(delete_files)
     if updates is None and deletes is None:
         return
-    empty = spark.createDataFrame([], "table_name string, column_name string, type string")
+    empty = local_rows(spark, [], "table_name string, column_name string, type string")
     gone = empty
     if deletes is not None:
         gone = dictionary_columns(deletes.withColumn("type", F.lit(None).cast("string")))
@@ -276,7 +276,7 @@ def _apply_dictionary(spark: SparkSession, update_files: list[dict], delete_file
     apply_plan(target, steps, options)
 
     # The dictionary's own table follows, both ways.
-    if target.create(METADATA_TABLE, DICTIONARY_SCHEMA, key_columns(METADATA_TABLE)):
+    if target.create(METADATA_TABLE, DICTIONARY_SCHEMA, key_columns(METADATA_TABLE), buckets=1):
         if updates is not None:
             target.append(METADATA_TABLE, updates)
     else:

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.change import conform, delete_by_key, typed_keys, upsert
 from tidemark.operators.evolve import _type, evolve
-from tidemark.session import create_small_text, delete_path, list_names, path_exists, read_small_text
+from tidemark.session import create_small_text, delete_path, list_names, local_rows, no_rows, path_exists, read_small_text
 
 BUCKET = "__bucket"
 DEFAULT_BUCKETS = 16
@@ -90,7 +90,7 @@ class Target:
             snap = self.snapshot(name)
             if snap is not None:
                 rows += [(name, i, f.name.lower(), f.dataType.simpleString()) for i, f in enumerate(snap.schema.fields, 1)]
-        return self.spark.createDataFrame(rows, "table_name string, ordinal int, column_name string, type string")
+        return local_rows(self.spark, rows, "table_name string, ordinal int, column_name string, type string")
 
     def _last_version(self, table: str) -> int:
         """Highest version number ever used, including those of dropped tables and of writes cut short."""
@@ -139,7 +139,7 @@ class Target:
         base = f"{self.root}/{table}/data"
         paths = [f"{base}/v={v}/{BUCKET}={b}" for b, versions in sorted(wanted.items()) for v in versions]
         if not paths:
-            return self.spark.createDataFrame([], snap.schema)
+            return no_rows(self.spark, snap.schema)
         return self.spark.read.schema(snap.schema).parquet(*paths)
 
     # -- writing -----------------------------------------------------------------------------------
@@ -208,17 +208,16 @@ class Target:
             raise ValueError(f"table {table!r} has no key")
         if updates is not None:
             updates = conform(updates, snap.schema)
-        touched = None
-        if key_match == "tuple" and keys == snap.keys:
-            touched = self._touched(snap, updates, deletes)
-        elif updates is not None:
-            touched = None  # other keys may lie in any bucket
+        # Rows with the bucketing key lie in known buckets; other keys may lie in any.
+        touched = self._touched(snap, updates, deletes) if key_match == "tuple" and keys == snap.keys else None
         before = self._scan(table, snap, touched)
-        after = before
-        if deletes is not None:
-            after = delete_by_key(after, deletes, keys, key_match)
-        if updates is not None:
-            after = upsert(after, updates, keys, mode, distinct)
+        if updates is not None and deletes is not None and mode == "delete_insert" and key_match == "tuple":
+            # Both remove by key: one join instead of two.
+            gone = typed_keys(deletes.select(*keys), snap.schema, keys).unionByName(updates.select(*keys))
+            after = delete_by_key(before, gone, keys).unionByName(updates.distinct() if distinct else updates)
+        else:
+            after = before if deletes is None else delete_by_key(before, deletes, keys, key_match)
+            after = after if updates is None else upsert(after, updates, keys, mode, distinct)
         version = self._last_version(table) + 1
         written = self._write(table, snap, version, after)
         files = {b: v for b, v in snap.files.items() if touched is not None and b not in touched}
@@ -227,6 +226,8 @@ class Target:
 
     def _touched(self, snap: Snapshot, updates: DataFrame | None, deletes: DataFrame | None) -> set[int]:
         """Buckets the change keys fall into: at most as many numbers as there are buckets."""
+        if snap.buckets == 1:
+            return {0}
         found = None
         for side in (updates, deletes):
             if side is None:
@@ -254,7 +255,7 @@ class Target:
         retype = {k: v for k, v in (retype or {}).items() if k.lower() in have and have[k.lower()].dataType != _type(v)}
         if not (add or retype or drop):
             return
-        schema = evolve(self.spark.createDataFrame([], snap.schema), add, retype, drop).schema
+        schema = evolve(no_rows(self.spark, snap.schema), add, retype, drop).schema
         keys = [] if lost_keys else snap.keys
         buckets = 1 if lost_keys else snap.buckets
         retired = sorted(set(snap.retired) | {c.lower() for c in drop})

@@ -8,8 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,9 +28,37 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def in_parallel(spark: SparkSession, work: Callable, items: Sequence, width: int) -> list:
+    """Independent tables as concurrent Spark jobs, so that small tables do not leave the cluster idle."""
+    if not items:
+        return []
+    with ThreadPoolExecutor(max_workers=max(1, min(width, len(items)))) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path under the shared folder."""
-    return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(*frames: DataFrame | None) -> None:
+    """Delete what ``settle`` stored for these DataFrames; they cannot be read afterwards."""
+    for df in frames:
+        if df is None:
+            continue
+        root = _scratch_root(df.sparkSession)
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if f"{root.split(':', 1)[-1].lstrip('/')}/" in folder:
+                delete_path(df.sparkSession, folder)
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete everything this application stored in the shared folder; call it when its results are consumed."""
+    return delete_path(spark, _scratch_root(spark))
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:
@@ -38,6 +72,22 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_ARROW = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+
+
+def local_rows(spark: SparkSession, rows: Sequence[Sequence], ddl: str) -> DataFrame:
+    """A handful of rows the driver made (catalogue entries, reports), as a relation whose size the optimizer knows."""
+    fields = [part.split() for part in ddl.split(", ")]
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    arrays = [pa.array(list(values), _ARROW[kind]) for values, (_, kind) in zip(columns, fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=[name for name, _ in fields]))
+
+
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty DataFrame, which the optimizer sees to be empty."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def _file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)

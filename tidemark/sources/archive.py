@@ -162,14 +162,24 @@ def archive_parts(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]
 
 def scan_archives(spark: SparkSession, path: str) -> DataFrame:
     """Raw records ``(archive, member, record_no, record)`` of every member; record 0 is the header."""
+    return scan_archive_parts(spark, archive_parts(spark, path))
+
+
+def scan_archive_parts(spark: SparkSession, archives: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+    """As ``scan_archives``, for archives given by name with their parts in order."""
     spark.dataSource.register(ArchiveDataSource)
-    return spark.read.format("tar_extract").option("archives", json.dumps(archive_parts(spark, path))).load()
+    return spark.read.format("tar_extract").option("archives", json.dumps(list(archives))).load()
 
 
-def land_archives(spark: SparkSession, path: str, out: str) -> DataFrame:
+def land_records(records: DataFrame, out: str) -> DataFrame:
     """Unpack once into Parquet by member, so that later reads are columnar, pruned to a member and splittable."""
-    scan_archives(spark, path).write.partitionBy("member").parquet(out)
-    return spark.read.schema("archive string, record_no bigint, record string, member string").parquet(out)
+    records.write.partitionBy("member").parquet(out)
+    schema = "archive string, record_no bigint, record string, member string"
+    return records.sparkSession.read.schema(schema).parquet(out)
+
+
+def land_archives(spark: SparkSession, path: str, out: str) -> DataFrame:
+    return land_records(scan_archives(spark, path), out)
 
 
 def member_headers(records: DataFrame) -> DataFrame:

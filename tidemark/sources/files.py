@@ -34,6 +34,12 @@ def split_bytes(spark: SparkSession) -> int:
     return int(setting.rstrip("kmg")) * factor
 
 
+def needs_split(spark: SparkSession, path: str) -> bool:
+    """Whether some CSV file is too large for one task."""
+    limit = split_bytes(spark)
+    return total_bytes(spark, path) > limit and largest_file(spark, path) > limit
+
+
 def scan_csv(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, split: bool | None = None
 ) -> DataFrame:
@@ -45,8 +51,7 @@ def scan_csv(
     names = list(columns) if columns else headers(spark, path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     if split is None:
-        limit = split_bytes(spark)
-        split = total_bytes(spark, path) > limit and largest_file(spark, path) > limit
+        split = needs_split(spark, path)
     if not split:
         return spark.read.schema(schema).options(header=True, multiLine=True, **CSV_OPTIONS).csv(path)
     records = csv_records(spark, path).where("record_no > 1")
@@ -78,10 +83,11 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     )
     in_split = Window.partitionBy("file", "start").orderBy("at")
     before = F.coalesce(F.sum("quotes").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    lines = lines.withColumn("odd", before % 2).withColumn(
-        "evens", F.sum((F.col("odd") == 0).cast("bigint")).over(in_split.rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn(
-        "odds", F.sum((F.col("odd") == 1).cast("bigint")).over(in_split.rowsBetween(Window.unboundedPreceding, 0))
+    running = in_split.rowsBetween(Window.unboundedPreceding, 0)
+    lines = (
+        lines.withColumn("odd", before % 2)
+        .withColumn("evens", F.sum(1 - F.col("odd")).over(running))
+        .withColumn("odds", F.sum("odd").over(running))
     )
     splits = lines.groupBy("file", "start").agg(
         (F.sum("quotes") % 2).alias("flip"), F.max("evens").alias("evens"), F.max("odds").alias("odds")

@@ -26,6 +26,32 @@ METADATA_SCHEMA = T.StructType(
         T.StructField("related_extract", T.StringType()),
     ]
 )
+LISTING_SCHEMA = T.StructType(
+    [
+        T.StructField("name", T.StringType()),
+        T.StructField("filename", T.StringType()),
+        T.StructField("extract_type", T.StringType()),
+        T.StructField("start_time", T.StringType()),
+        T.StructField("stop_time", T.StringType()),
+        T.StructField("record_count", T.LongType()),
+        T.StructField("size", T.LongType()),
+        T.StructField("fileparts", T.IntegerType()),
+        T.StructField(
+            "filepart_details",
+            T.ArrayType(
+                T.StructType(
+                    [
+                        T.StructField("name", T.StringType()),
+                        T.StructField("filename", T.StringType()),
+                        T.StructField("filepart", T.IntegerType()),
+                        T.StructField("size", T.LongType()),
+                        T.StructField("url", T.StringType()),
+                    ]
+                )
+            ),
+        ),
+    ]
+)
 MANIFEST_FILE = "manifest"
 METADATA_FILE = {"full": "Metadata/metadata", "log": "metadata_full"}
 METADATA_EXTRACT = "Metadata.metadata"

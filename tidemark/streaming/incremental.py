@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.loads import LoadOptions, apply_incremental
 from tidemark.plans.target import Target
-from tidemark.session import settle
+from tidemark.session import release, settle
 from tidemark.sources.files import CSV_OPTIONS
 from tidemark.sources.model import MANIFEST_FILE, MANIFEST_SCHEMA
 
@@ -40,7 +40,9 @@ def stream_table(
             return
         latest = Window.partitionBy(*keys).orderBy(F.col(order).desc())
         rows = batch.withColumn("__rank", F.rank().over(latest)).where("__rank = 1").drop("__rank")
-        target.change(table, settle(rows, "stream"), None, keys, applied=token)
+        stored = settle(rows, "stream")
+        target.change(table, stored, None, keys, applied=token)
+        release(stored)
 
     return (
         changes.writeStream.foreachBatch(apply)
