@@ -131,3 +131,18 @@ def test_bucket_count():
 def test_columns(spark, store):
     fill(spark, store, 1)
     assert [tuple(r) for r in store.columns().collect()] == [("t", 1, "id", "bigint"), ("t", 2, "a", "string")]
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_few_and_many_keys_give_the_same(spark, store, rows, monkeypatch, few):
+    from tidemark.plans import target as module
+
+    monkeypatch.setattr(module, "FEW_KEYS", few)
+    df = fill(spark, store)
+    new = spark.createDataFrame([(i, "n") for i in range(0, 150, 2)] + [(4, "m"), (None, "z")], DDL)
+    gone = spark.createDataFrame([(i,) for i in range(0, 100, 5)], "id bigint")
+    store.change("t", new, gone)
+    assert rows(store.read("t")) == rows(upsert(delete_by_key(df, gone, ["id"]), new, ["id"]))
+    store.change("t", None, gone)
+    assert {r["id"] for r in store.read("t").collect()}.isdisjoint(range(0, 100, 5))
+    store.change("t")

@@ -31,14 +31,20 @@ def matched_rows(target: DataFrame, changes: DataFrame, keys: Sequence[str]) ->
     return target.join(_distinct_keys(changes, target, keys), list(keys), "left_semi")
 
 
-def delete_by_key(target: DataFrame, deletes: DataFrame, keys: Sequence[str], key_match: str = "tuple") -> DataFrame:
+def delete_by_key(
+    target: DataFrame, deletes: DataFrame, keys: Sequence[str], key_match: str = "tuple", few_keys: bool = False
+) -> DataFrame:
     """Target rows whose key does not occur in ``deletes``; a NULL key never matches.
 
+    ``few_keys`` is for callers who have counted the keys: they are then sent to all tasks and the
+    target is not shuffled. Otherwise the optimizer decides by the sizes it knows.
+
     ``key_match="concat"`` compares the key parts joined without a separator, so different keys may
     meet; it is kept for loads that depend on it.
     """
     if key_match == "tuple":
-        return target.join(_distinct_keys(deletes, target, keys), list(keys), "left_anti")
+        gone = _distinct_keys(deletes, target, keys)
+        return target.join(F.broadcast(gone) if few_keys else gone, list(keys), "left_anti")
     if key_match != "concat":
         raise ValueError(f"unknown key match {key_match!r}")
     joined = deletes.select(F.concat(*[F.col(k).cast("string") for k in keys]).alias("__key")).distinct()

@@ -16,6 +16,7 @@ import json
 import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ BUCKET = "__bucket"
 DEFAULT_BUCKETS = 16
 MOST_BUCKETS = 100_000
 BUCKET_BYTES = 512 << 20
+FEW_KEYS = 1_000_000  # change keys that are sent to every task; more are joined by a shuffle
 
 
 def bucket_count(data_bytes: int, least: int = DEFAULT_BUCKETS) -> int:
@@ -149,17 +151,24 @@ class Target:
         text = F.xxhash64(*[F.col(k).cast("string") for k in keys])
         return F.pmod(text, F.lit(buckets)).cast("int")
 
-    def _write(self, table: str, snap: Snapshot, version: int, rows: DataFrame, spread: bool = True) -> list[int]:
+    def _write(
+        self, table: str, snap: Snapshot, version: int, moved: DataFrame | None = None, placed: DataFrame | None = None
+    ) -> list[int]:
         """Write rows into a new data version; returns the buckets that got any.
 
-        ``rebalance`` brings the rows of a bucket together and splits a bucket that is too large for
-        one task, so neither many small files nor one huge task arise.
+        ``moved`` rows may come from anywhere: ``rebalance`` brings the rows of a bucket together and
+        splits a bucket that is too large for one task, so neither many small files nor one huge task
+        arise. ``placed`` rows were read bucket by bucket and are written as they come, without a shuffle.
         """
         path = f"{self.root}/{table}/data/v={version}"
-        bucketed = rows.withColumn(BUCKET, self._bucket(snap.keys, snap.buckets))
-        if spread and snap.buckets > 1:
-            bucketed = bucketed.hint("rebalance", BUCKET)
-        bucketed.write.mode("errorifexists").partitionBy(BUCKET).parquet(path)
+        bucket = self._bucket(snap.keys, snap.buckets)
+        parts = []
+        if placed is not None:
+            parts.append(placed.withColumn(BUCKET, bucket))
+        if moved is not None:
+            rows = moved.withColumn(BUCKET, bucket)
+            parts.append(rows.hint("rebalance", BUCKET) if snap.buckets > 1 else rows)
+        reduce(DataFrame.unionByName, parts).write.mode("errorifexists").partitionBy(BUCKET).parquet(path)
         return [int(n.split("=")[1]) for n in list_names(self.spark, path) if n.startswith(f"{BUCKET}=")]
 
     def append(self, table: str, rows: DataFrame, match: str = "name", applied: str | None = None) -> int:
@@ -206,36 +215,38 @@ class Target:
         keys = list(keys or snap.keys)
         if not keys:
             raise ValueError(f"table {table!r} has no key")
+        if updates is None and deletes is None:
+            return
         if updates is not None:
             updates = conform(updates, snap.schema)
         # Rows with the bucketing key lie in known buckets; other keys may lie in any.
-        touched = self._touched(snap, updates, deletes) if key_match == "tuple" and keys == snap.keys else None
+        touched, n_keys = self._touched(snap, updates, deletes) if key_match == "tuple" and keys == snap.keys else (None, None)
         before = self._scan(table, snap, touched)
-        if updates is not None and deletes is not None and mode == "delete_insert" and key_match == "tuple":
-            # Both remove by key: one join instead of two.
-            gone = typed_keys(deletes.select(*keys), snap.schema, keys).unionByName(updates.select(*keys))
-            after = delete_by_key(before, gone, keys).unionByName(updates.distinct() if distinct else updates)
+        version = self._last_version(table) + 1
+        if mode == "delete_insert" and key_match == "tuple":
+            # Deletes and updates both remove by key: one join instead of two.
+            sides = [typed_keys(side.select(*keys), snap.schema, keys) for side in (deletes, updates) if side is not None]
+            few = n_keys is not None and n_keys <= FEW_KEYS
+            kept = delete_by_key(before, reduce(DataFrame.unionByName, sides), keys, few_keys=few)
+            new = updates.distinct() if updates is not None and distinct else updates
+            if few:
+                written = self._write(table, snap, version, moved=new, placed=kept)
+            else:
+                written = self._write(table, snap, version, moved=kept if new is None else kept.unionByName(new))
         else:
             after = before if deletes is None else delete_by_key(before, deletes, keys, key_match)
             after = after if updates is None else upsert(after, updates, keys, mode, distinct)
-        version = self._last_version(table) + 1
-        written = self._write(table, snap, version, after)
+            written = self._write(table, snap, version, moved=after)
         files = {b: v for b, v in snap.files.items() if touched is not None and b not in touched}
         files.update({b: [version] for b in written})
         self._commit(table, replace(snap, version=version, files=files, applied=snap.applied if applied is None else applied))
 
-    def _touched(self, snap: Snapshot, updates: DataFrame | None, deletes: DataFrame | None) -> set[int]:
-        """Buckets the change keys fall into: at most as many numbers as there are buckets."""
-        if snap.buckets == 1:
-            return {0}
-        found = None
-        for side in (updates, deletes):
-            if side is None:
-                continue
-            keys = typed_keys(side.select(*snap.keys), snap.schema, snap.keys)
-            numbers = keys.select(self._bucket(snap.keys, snap.buckets).alias("b")).distinct()
-            found = numbers if found is None else found.union(numbers)
-        return {r["b"] for r in found.distinct().collect()} if found is not None else set()
+    def _touched(self, snap: Snapshot, updates: DataFrame | None, deletes: DataFrame | None) -> tuple[set[int], int]:
+        """Buckets the change keys fall into, and the number of change rows: one row per bucket comes to the driver."""
+        sides = [typed_keys(side.select(*snap.keys), snap.schema, snap.keys) for side in (updates, deletes) if side is not None]
+        buckets = reduce(DataFrame.unionByName, sides).select(self._bucket(snap.keys, snap.buckets).alias("b"))
+        rows = buckets.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()
+        return {r["b"] for r in rows}, sum(r["n"] for r in rows)
 
     # -- schema ------------------------------------------------------------------------------------
     def evolve(
@@ -264,8 +275,8 @@ class Target:
         returning = {k.lower() for k in add} & set(retired)
         if (retype or returning or lost_keys) and snap.files:
             rows = evolve(self._scan(table, snap), add, retype, drop)
-            moved = bool({k.lower() for k in retype} & {k.lower() for k in snap.keys})
-            written = self._write(table, changed, version, rows, spread=moved)
+            rehashed = bool({k.lower() for k in retype} & {k.lower() for k in snap.keys})
+            written = self._write(table, changed, version, *((rows, None) if rehashed else (None, rows)))
             changed = replace(changed, files={b: [version] for b in written}, retired=[])
         self._commit(table, changed)
 
