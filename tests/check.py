@@ -50,14 +50,16 @@ def compare(con, spark_df, sql):
     return None
 
 
-def session(cpus: str = "8"):
+def session(cpus: str = "8", partitions: str = "8", **settings: str):
     from pyspark.sql import SparkSession
 
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]").appName("tidemark").config("spark.sql.shuffle.partitions", "8")
+    builder = (
+        SparkSession.builder.master(f"local[{cpus}]").appName("tidemark").config("spark.sql.shuffle.partitions", partitions)
         .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    for name, value in settings.items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -11,7 +11,8 @@ from check import session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return session("4")
+    # Tiny inputs: few partitions, and no time spent on compiling stages (tests/check.py runs the queries compiled).
+    return session("4", "3", **{"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"})
 
 
 @pytest.fixture()

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.dictionary import clean, schema_from_metadata
 from tidemark.session import delete_path, in_parallel, local_rows, scratch_path
 from tidemark.sources.archive import land_records, member_headers, member_table, scan_archive_parts, scan_archives
-from tidemark.sources.files import CSV_OPTIONS, write_csv
+from tidemark.sources.files import write_csv
 from tidemark.sources.listing import pick_latest
 from tidemark.sources.model import MANIFEST_FILE, MANIFEST_SCHEMA, METADATA_FILE, METADATA_SCHEMA
 
@@ -39,9 +41,8 @@ def unpack(
     source = scan_archives(spark, archives) if isinstance(archives, str) else scan_archive_parts(spark, archives)
     landed = scratch_path(spark, "unpacked")
     records = land_records(source, landed)
-    found = member_headers(records)
-    heads = found.select("member", F.from_csv("header", _wide(), CSV_OPTIONS).alias("h")).collect()  # one row per member
-    members = {r["member"]: [c for c in r["h"] if c is not None] for r in heads if r["member"].endswith(".csv")}
+    heads = member_headers(records).collect()  # one row per member
+    members = {r["member"]: next(csv.reader([r["header"]])) for r in heads if r["member"].endswith(".csv")}
     metadata_files = {f"{m}.csv" for m in METADATA_FILE.values()}
     dictionary_member = next((m for m in sorted(members) if m.rsplit("/", 1)[-1] in ("metadata.csv", "metadata_full.csv")), None)
     dictionary: dict[str, list[dict]] = {}
@@ -73,7 +74,3 @@ def unpack(
     delete_path(spark, landed)
     return local_rows(spark, [(m, f, found.get(m, 0)) for m, f in made], "member string, file string, records bigint")
 
-
-def _wide(columns: int = 2000) -> str:
-    # A header is parsed as one record with room for that many names.
-    return ", ".join(f"c{i} string" for i in range(columns))
