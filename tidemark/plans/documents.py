@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.documents import content_objects, text_objects
+from tidemark.session import qualified
 from tidemark.sources.archive import _local_path
 
 
@@ -24,6 +25,7 @@ def write_contents(
 
 def write_objects(df: DataFrame, root: str, path: str = "path", content: str = "content") -> None:
     """One stored object per row, written by the tasks. Repeating a task writes the same objects again."""
+    root = qualified(df.sparkSession, root)
     body = F.col(content)
     if isinstance(df.schema[content].dataType, T.StringType):
         body = body.cast("binary")

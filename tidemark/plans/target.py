@@ -281,7 +281,10 @@ class Target:
         self._commit(table, changed)
 
     def vacuum(self, table: str) -> list[int]:
-        """Delete data versions the current snapshot does not use; returns their numbers."""
+        """Delete data versions the current snapshot does not use, and older snapshots; returns the data versions.
+
+        Only when no reader of an older snapshot and no writer is at work on the table.
+        """
         snap = self.snapshot(table)
         used = {v for versions in snap.files.values() for v in versions} if snap else set()
         base = f"{self.root}/{table}/data"
@@ -290,4 +293,6 @@ class Target:
         unused = [int(n[2:]) for n in list_names(self.spark, base) if n.startswith("v=") and int(n[2:]) not in used]
         for v in unused:
             delete_path(self.spark, f"{base}/v={v}")
+        for old in list_names(self.spark, f"{self.root}/{table}/snapshots")[:-1]:
+            delete_path(self.spark, f"{self.root}/{table}/snapshots/{old}")
         return sorted(unused)

@@ -94,6 +94,12 @@ def _file_system(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full address of a path, as tasks outside the JVM need it."""
+    fs, jpath = _file_system(spark, path)
+    return fs.makeQualified(jpath).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = _file_system(spark, path)
     return fs.exists(jpath)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tidemark.session import qualified
 from tidemark.sources.files import parse_records
 
 # The reader travels to the executors with its code, so that they need no copy of this package.
@@ -199,6 +200,7 @@ def pack_archives(df: DataFrame, member: str, path: str) -> DataFrame:
 
     The counterpart of the scan, used to hand extracts on and to test with.
     """
+    path = qualified(df.sparkSession, path)
     header = ",".join(df.columns)
     quoted = [
         F.coalesce(F.concat(F.lit('"'), F.replace(F.col(f"`{c}`").cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
