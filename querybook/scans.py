@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 from querybook.registry import as_csv, dictionary_rows, plain_times, query, read, stored_input
 from tidemark.functions import clean as c
 from tidemark.operators.change import append, conform
-from tidemark.operators.dictionary import clean, number_kinds, schema_from_metadata
+from tidemark.functions.clean import clean
+from tidemark.operators.dictionary import number_kinds, schema_from_metadata
 from tidemark.plans.target import Target
 from tidemark.session import scratch_path, settle
 from tidemark.sources import archive, files, listing

@@ -135,3 +135,11 @@ def test_manifest_rules(spark, tmp_path):
     assert paths["n_12"] == "s3://x/y/Object/12.parquet"
     with pytest.raises(ValueError):
         listing.manifest_tables(manifest, kind="other")
+
+
+@pytest.mark.parametrize("split", [True, False])
+def test_inferred(spark, tmp_path, rows, split):
+    (tmp_path / "x.csv").write_text('a,b,c,d,e,f\n1,1.5,true,2025-01-02,2025-01-02T03:04:05Z,"x\ny"\n-2,2,FALSE,2025-01-03,2025-01-03 00:00:00,7\n,,,,,\n')
+    df = files.scan_inferred_csv(spark, str(tmp_path / "x.csv"), split)
+    assert df.schema.simpleString() == "struct<a:int,b:double,c:boolean,d:date,e:timestamp,f:string>".replace("a:int", "a:bigint" if split else "a:int")
+    assert df.agg(F.sum("a"), F.sum("b"), F.count("c"), F.min(F.date_format("e", "HH:mm:ss"))).first()[:] == (-1, 3.5, 2, "00:00:00")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.clean import blank_to_null, clean_value
+from tidemark.functions.clean import blank_to_null
 from tidemark.functions.names import extract_table
 from tidemark.operators.numbering import numbered_lists
 from tidemark.sources.model import DECIMAL_TYPE, NUMBER_TYPES, NUMERIC_RULES, spark_type
@@ -113,10 +113,3 @@ def schema_from_metadata(
     return T.StructType(
         [T.StructField(c, spark_type(kinds.get(c.lower(), ""), c, profile, number_types.get(c))) for c in columns]
     )
-
-
-def clean(data: DataFrame, schema: T.StructType, trim_strings: bool = False) -> DataFrame:
-    """Typed cleaning projection: one narrow select, no shuffle."""
-    return data.select(
-        *[clean_value(F.col(f"`{f.name}`"), f.dataType, trim_strings).alias(f.name) for f in schema.fields]
-    )

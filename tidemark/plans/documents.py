@@ -13,14 +13,19 @@ from tidemark.sources.archive import _local_path
 
 def write_texts(versions: DataFrame, texts: DataFrame, out: str, batch_size: int = 10_000) -> None:
     """Document texts as Parquet ``(path, text)``, partitioned by batch; line breaks stay inside the value."""
-    text_objects(versions, texts, batch_size).write.partitionBy("batch").parquet(out)
+    _by_batch(text_objects(versions, texts, batch_size)).write.partitionBy("batch").parquet(out)
 
 
 def write_contents(
     versions: DataFrame, results: DataFrame, out: str, batch_size: int = 10_000, sees_all: Column | None = None
 ) -> None:
     """Document contents as Parquet ``(path, staged_at, content)``, partitioned by batch."""
-    content_objects(versions, results, batch_size, sees_all).write.partitionBy("batch").parquet(out)
+    _by_batch(content_objects(versions, results, batch_size, sees_all)).write.partitionBy("batch").parquet(out)
+
+
+def _by_batch(objects: DataFrame) -> DataFrame:
+    """Rows of a batch together, so that a batch is a few files and not one per task; a heavy batch is split."""
+    return objects.hint("rebalance", "batch")
 
 
 def write_objects(df: DataFrame, root: str, path: str = "path", content: str = "content") -> None:

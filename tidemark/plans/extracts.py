@@ -7,7 +7,8 @@ import csv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.dictionary import clean, schema_from_metadata
+from tidemark.functions.clean import clean
+from tidemark.operators.dictionary import schema_from_metadata
 from tidemark.session import delete_path, in_parallel, local_rows, scratch_path
 from tidemark.sources.archive import land_records, member_headers, member_table, scan_archive_parts, scan_archives
 from tidemark.sources.files import write_csv

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.change import conform
-from tidemark.operators.dictionary import clean, dictionary_columns, schema_from_metadata
+from tidemark.functions.clean import clean
+from tidemark.operators.dictionary import dictionary_columns, schema_from_metadata
 from tidemark.operators.evolve import change_plan
 from tidemark.plans.target import Target, bucket_count
 from tidemark.session import in_parallel, local_rows, release, settle, total_bytes

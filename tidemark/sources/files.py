@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import total_bytes
+from tidemark.functions.clean import clean, replace_invalid, truncate_bytes
+from tidemark.session import settle, total_bytes
 
 CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"'}
 
@@ -111,9 +112,41 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     return records.select("file", "record_no", F.rtrim(text, F.lit("\r")).alias("record")).where("record <> ''")
 
 
-def scan_inferred_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with types inferred by the reader (an extra pass over the text)."""
-    return spark.read.options(header=True, multiLine=True, inferSchema=True, **CSV_OPTIONS).csv(path)
+def scan_inferred_csv(spark: SparkSession, path: str, split: bool | None = None) -> DataFrame:
+    """CSV with types inferred from all its values.
+
+    Spark's reader infers while no file is larger than one split. Larger files are read in splits and
+    stored as text columns, whose types one aggregation decides.
+    """
+    if split is None:
+        split = needs_split(spark, path)
+    if not split:
+        return spark.read.options(header=True, multiLine=True, inferSchema=True, **CSV_OPTIONS).csv(path)
+    text = settle(scan_csv(spark, path, split=True), "inferred")
+    return clean(text, inferred_schema(text))
+
+
+def inferred_schema(text: DataFrame) -> T.StructType:
+    """Types that every value of a text column fits: long, double, boolean, date or timestamp, otherwise text."""
+    # patterns from narrow to wide
+    shapes = [
+        ("bigint", r"^[+-]?[0-9]{1,18}$"),
+        ("double", r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{1,3})?$"),
+        ("boolean", r"^(?i:true|false)$"),
+        ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
+        ("timestamp", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"),
+    ]
+    checks = [
+        F.bool_and(F.trim(F.col(f"`{c}`")).rlike(pattern)).alias(f"{i}_{kind}")
+        for i, c in enumerate(text.columns) for kind, pattern in shapes
+    ]
+    fits = text.agg(*checks).first()
+    types = {kind: T.StructType.fromDDL(f"c {kind}").fields[0].dataType for kind, _ in shapes}
+    fields = []
+    for i, c in enumerate(text.columns):
+        kind = next((kind for kind, _ in shapes if fits[f"{i}_{kind}"]), None)
+        fields.append(T.StructField(c, types[kind] if kind else T.StringType()))
+    return T.StructType(fields)
 
 
 def scan_parquet(spark: SparkSession, path: str | Sequence[str], merge_schema: bool = False) -> DataFrame:
@@ -126,9 +159,6 @@ def scan_parquet(spark: SparkSession, path: str | Sequence[str], merge_schema: b
 
 def scan_tolerant(spark: SparkSession, path: str, schema: T.StructType, max_bytes: int = 65_535) -> DataFrame:
     """Load that never rejects a row: short lines padded, invalid characters replaced, long texts cut by bytes."""
-    from tidemark.functions.clean import replace_invalid, truncate_bytes
-    from tidemark.operators.dictionary import clean
-
     text = clean(scan_csv(spark, path, schema.names), schema)
     return text.select(
         *[

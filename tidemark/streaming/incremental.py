@@ -39,7 +39,7 @@ def stream_table(
         if target._must(table).applied == token:
             return
         latest = Window.partitionBy(*keys).orderBy(F.col(order).desc())
-        rows = batch.withColumn("__rank", F.rank().over(latest)).where("__rank = 1").drop("__rank")
+        rows = batch.distinct().withColumn("__rank", F.rank().over(latest)).where("__rank = 1").drop("__rank")
         stored = settle(rows, "stream")
         target.change(table, stored, None, keys, applied=token)
         release(stored)
