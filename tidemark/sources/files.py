@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidemark.functions.clean import clean, replace_invalid, truncate_bytes
 from tidemark.session import settle, total_bytes
 
+SPLITS_PER_TASK = 8
 CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"'}
 
 
@@ -36,8 +37,8 @@ def split_bytes(spark: SparkSession) -> int:
 
 
 def needs_split(spark: SparkSession, path: str) -> bool:
-    """Whether some CSV file is too large for one task."""
-    limit = split_bytes(spark)
+    """Whether some CSV file is too large for one task: framing records costs a few times a plain read."""
+    limit = SPLITS_PER_TASK * split_bytes(spark)
     return total_bytes(spark, path) > limit and largest_file(spark, path) > limit
 
 
@@ -47,7 +48,7 @@ def scan_csv(
     """All columns as text. Line breaks inside quotes belong to the value; short lines are padded with NULL.
 
     Spark's own multi-line reader takes a file as one task. That is used while no file is larger than
-    one split; larger files are read in splits and their records framed by ``csv_records``.
+    a few splits; larger files are read in splits and their records framed by ``csv_records``.
     """
     names = list(columns) if columns else headers(spark, path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -115,8 +116,8 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
 def scan_inferred_csv(spark: SparkSession, path: str, split: bool | None = None) -> DataFrame:
     """CSV with types inferred from all its values.
 
-    Spark's reader infers while no file is larger than one split. Larger files are read in splits and
-    stored as text columns, whose types one aggregation decides.
+    Spark's reader infers while one task can read a file. Larger files are read in splits and stored
+    as text columns, whose types one aggregation decides.
     """
     if split is None:
         split = needs_split(spark, path)
