@@ -146,3 +146,24 @@ def test_few_and_many_keys_give_the_same(spark, store, rows, monkeypatch, few):
     store.change("t", None, gone)
     assert {r["id"] for r in store.read("t").collect()}.isdisjoint(range(0, 100, 5))
     store.change("t")
+
+
+def test_small_change_does_not_shuffle_the_target(spark, store, monkeypatch):
+    fill(spark, store)
+    seen = {}
+    write = Target._write
+
+    def spy(self, table, snap, version, moved=None, placed=None):
+        seen["moved"], seen["placed"] = moved, placed
+        return write(self, table, snap, version, moved, placed)
+
+    monkeypatch.setattr(Target, "_write", spy)
+    store.change("t", spark.createDataFrame([(3, "n")], DDL), spark.createDataFrame([(4,)], "id bigint"))
+    plan = seen["placed"]._jdf.queryExecution().executedPlan().toString()
+    target_side = plan.split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in target_side and "Exchange" not in target_side
+    from tidemark.plans import target as module
+
+    monkeypatch.setattr(module, "FEW_KEY_BYTES", 0)
+    store.change("t", spark.createDataFrame([(3, "m")], DDL))
+    assert seen["placed"] is None

@@ -30,7 +30,9 @@ BUCKET = "__bucket"
 DEFAULT_BUCKETS = 16
 MOST_BUCKETS = 100_000
 BUCKET_BYTES = 512 << 20
-FEW_KEYS = 1_000_000  # change keys that are sent to every task; more are joined by a shuffle
+# Change keys up to this number and total length are sent to every task; more are joined by a shuffle.
+FEW_KEYS = 1_000_000
+FEW_KEY_BYTES = 64 << 20
 
 
 def bucket_count(data_bytes: int, least: int = DEFAULT_BUCKETS) -> int:
@@ -220,13 +222,12 @@ class Target:
         if updates is not None:
             updates = conform(updates, snap.schema)
         # Rows with the bucketing key lie in known buckets; other keys may lie in any.
-        touched, n_keys = self._touched(snap, updates, deletes) if key_match == "tuple" and keys == snap.keys else (None, None)
+        touched, few = self._touched(snap, updates, deletes) if key_match == "tuple" and keys == snap.keys else (None, False)
         before = self._scan(table, snap, touched)
         version = self._last_version(table) + 1
         if mode == "delete_insert" and key_match == "tuple":
             # Deletes and updates both remove by key: one join instead of two.
             sides = [typed_keys(side.select(*keys), snap.schema, keys) for side in (deletes, updates) if side is not None]
-            few = n_keys is not None and n_keys <= FEW_KEYS
             kept = delete_by_key(before, reduce(DataFrame.unionByName, sides), keys, few_keys=few)
             new = updates.distinct() if updates is not None and distinct else updates
             if few:
@@ -241,12 +242,17 @@ class Target:
         files.update({b: [version] for b in written})
         self._commit(table, replace(snap, version=version, files=files, applied=snap.applied if applied is None else applied))
 
-    def _touched(self, snap: Snapshot, updates: DataFrame | None, deletes: DataFrame | None) -> tuple[set[int], int]:
-        """Buckets the change keys fall into, and the number of change rows: one row per bucket comes to the driver."""
+    def _touched(self, snap: Snapshot, updates: DataFrame | None, deletes: DataFrame | None) -> tuple[set[int], bool]:
+        """Buckets the change keys fall into, and whether the keys are few and short enough to be sent to every task.
+
+        One row per bucket comes to the driver.
+        """
         sides = [typed_keys(side.select(*snap.keys), snap.schema, snap.keys) for side in (updates, deletes) if side is not None]
-        buckets = reduce(DataFrame.unionByName, sides).select(self._bucket(snap.keys, snap.buckets).alias("b"))
-        rows = buckets.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()
-        return {r["b"] for r in rows}, sum(r["n"] for r in rows)
+        length = F.octet_length(F.concat_ws("", *[F.col(k).cast("string") for k in snap.keys]))
+        keys = reduce(DataFrame.unionByName, sides).select(self._bucket(snap.keys, snap.buckets).alias("b"), length.alias("bytes"))
+        rows = keys.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).collect()
+        few = sum(r["n"] for r in rows) <= FEW_KEYS and sum(r["bytes"] for r in rows) <= FEW_KEY_BYTES
+        return {r["b"] for r in rows}, few
 
     # -- schema ------------------------------------------------------------------------------------
     def evolve(
