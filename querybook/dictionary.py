@@ -264,7 +264,7 @@ def _create(spark, sf):
 
 
 def _evolved(spark, sf, table, keys, **changes):
-    """Load the first part of a table, change its columns, load the rest."""
+    """Load a table, then change its columns."""
     df = read(spark, sf, table)
     target = Target(spark, scratch_path(spark, "evolved"))
     target.create(table, df.schema, keys)
