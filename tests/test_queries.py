@@ -22,4 +22,4 @@ def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.count() > 0
     assert df.columns == ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
-    assert set(entry_point.queries()) >= set(entry_point.oracle_sql())
+    assert set(entry_point.queries()) >= set(entry_point.oracle_sql()) >= set(SQL)
