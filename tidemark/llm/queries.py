@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.packing import pack
 from tidemark.llm.registry import QUERIES, SQL, query, table
+from tidemark.llm.simhash import simhash_components
+from tidemark.llm.token_files import read_token_files, write_token_files
+from tidemark.llm.warc import read_bundles, write_bundles
+from tidemark.session import scratch_path
+
+#: Ids that end a document.
+WORD_END, BYTE_END = 2, 0
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -17,3 +28,51 @@ __all__ = ["QUERIES", "SQL"]
     SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM t JOIN g USING (norm)""")
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op10_line_dedup", r"""
+    WITH l AS (SELECT doc_id, pos, lines[pos] AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+                      unnest(range(1, len(lines) + 1)) AS u(pos)),
+         k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+         f AS (SELECT key, min(doc_id) AS first_doc FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+         j AS (SELECT doc_id, pos, line, first_doc IS NOT NULL AND first_doc <> doc_id AS dropped FROM k LEFT JOIN f USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+    FROM j GROUP BY doc_id""")
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op2_token_files")
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), "words", WORD_END)
+    return read_token_files(spark, path)
+
+
+@query("op5_warc", r"""
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+         g AS (SELECT payload, max(page_id) AS last FROM p GROUP BY payload HAVING octet_length(payload) >= 0),
+         h AS (SELECT page_id, octet_length(p.payload) AS payload_bytes, sha1(p.payload) AS hex, CASE WHEN page_id < last THEN last END AS refers_to
+               FROM p LEFT JOIN g ON p.payload = g.payload),
+         b AS (SELECT *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+                   (('0x' || substr(hex, 1 + (i * 5) // 4, 2))::INT >> (3 - (i * 5) % 4)) & 31)::INT, 1)), '') AS payload_digest
+               FROM (SELECT * REPLACE (hex || '0' AS hex) FROM h))
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM b""")
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    index = write_bundles(table(spark, sf_dir, "pages"), path)
+    return read_bundles(spark, path, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_packing")
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), "bytes", BYTE_END).drop("boundary", "ids")
+
+
+@query("op4_simhash")
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(table(spark, sf_dir, "documents"), shingle_words=4)
+    return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
