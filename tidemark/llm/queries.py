@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.embedding_dedup import embedding_dedup
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.language_id import detect, train
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.packing import pack
 from tidemark.llm.registry import QUERIES, SQL, query, table
 from tidemark.llm.simhash import simhash_components
+from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.llm.warc import read_bundles, write_bundles
 from tidemark.session import scratch_path
@@ -76,3 +79,26 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents"), shingle_words=4)
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+def held_out() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.where(~held_out()))
+    return detect(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "lang_spans")
+
+
+@query("op3_substring_dedup")
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
+
+
+@query("op6_embedding_dedup")
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.98)
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
