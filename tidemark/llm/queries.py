@@ -12,6 +12,7 @@ from tidemark.llm.language_id import detect, train
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.packing import pack
 from tidemark.llm.registry import QUERIES, SQL, query, table
+from tidemark.llm.sentencepiece_scan import decode, encode
 from tidemark.llm.simhash import simhash_components
 from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.llm.token_files import read_token_files, write_token_files
@@ -102,3 +103,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.98)
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+@query("op7_sentencepiece")
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    done = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    size = (F.octet_length("piece_ids") / 4).cast("bigint")
+    return done.select("doc_id", size.alias("n_tokens"), F.crc32("piece_ids").alias("ids_crc32"), "chunks", F.sha2("decoded", 256).alias("decoded_sha256"))
