@@ -141,7 +141,7 @@ def _links(table: pa.Table, threshold: float) -> list[tuple[bool, int, int]]:
             x, y = x[once], y[once]
             exact = np.einsum("ij,ij->i", va[x], vb[y]) / (la[x] * lb[y]) >= threshold
             pairs.append((x[exact], y[exact]))
-    x, y = (np.concatenate(p) for p in zip(*pairs))
+    x, y = (np.concatenate(p) for p in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 2
     if not len(x):
         return []
     # Links of each vector, counted with copies.
