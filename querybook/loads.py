@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from querybook.changes import ROLES_SQL, UPSERTED_SQL, deletes, target, updates
-from querybook.registry import plain_times, query, read, stored_input, write_extract
+from querybook.registry import DICTIONARY_DDL, MANIFEST_DDL, plain_times, query, read, stored_input, write_extract
 from tidemark.plans.loads import apply_incremental, load_full, load_log
 from tidemark.plans.target import Target
 from tidemark.session import scratch_path
+from tidemark.sources.files import write_csv
 from tidemark.streaming.incremental import stream_table
 
 
 @query("full_load", """
-SELECT 'customer' AS table_name, c_custkey AS id, c_name AS label, c_acctbal AS amount, NULL::TIMESTAMP AS at FROM customer
-UNION ALL SELECT 'supplier', s_suppkey, s_name, s_acctbal, NULL FROM supplier
-UNION ALL SELECT 'orders', o_orderkey, o_orderpriority, o_totalprice, o_orderdate FROM orders""")
+SELECT 'customer' AS table_name, c_custkey AS id, c_name AS name, c_acctbal AS amount, c_nationkey AS other, c_mktsegment AS label, NULL::VARCHAR AS status, NULL::TIMESTAMP AS at FROM customer
+UNION ALL SELECT 'supplier', s_suppkey, s_name, s_acctbal, s_nationkey, NULL, NULL, NULL FROM supplier
+UNION ALL SELECT 'orders', o_orderkey, NULL, o_totalprice, o_custkey, o_orderpriority, o_orderstatus, o_orderdate FROM orders""")
 def _full(spark, sf):
+    """Every column of three tables after a full load."""
     tables = {
         "customer": read(spark, sf, "customer").withColumnRenamed("c_custkey", "id"),
         "supplier": read(spark, sf, "supplier").withColumnRenamed("s_suppkey", "id"),
@@ -27,12 +32,14 @@ def _full(spark, sf):
     store = Target(spark, scratch_path(spark, "full"))
     load_full(spark, folder, store)
 
-    def shown(name, label, amount, at=None):
-        when = F.col(at) if at else F.lit(None).cast("timestamp")
-        return store.read(name).select(F.lit(name).alias("table_name"), "id", F.col(label).alias("label"), F.col(amount).alias("amount"), when.alias("at"))
+    def shown(table, **columns):
+        wanted = {"name": "string", "amount": "double", "other": "bigint", "label": "string", "status": "string", "at": "timestamp"}
+        return store.read(table).select(F.lit(table).alias("table_name"), "id", *[
+            (F.col(columns[c]) if c in columns else F.lit(None)).cast(kind).alias(c) for c, kind in wanted.items()])
 
-    rows = shown("customer", "c_name", "c_acctbal").unionByName(shown("supplier", "s_name", "s_acctbal"))
-    return plain_times(rows.unionByName(shown("orders", "o_orderpriority", "o_totalprice", "o_orderdate")))
+    rows = shown("customer", name="c_name", amount="c_acctbal", other="c_nationkey", label="c_mktsegment").unionByName(
+        shown("supplier", name="s_name", amount="s_acctbal", other="s_nationkey"))
+    return plain_times(rows.unionByName(shown("orders", amount="o_totalprice", other="o_custkey", label="o_orderpriority", status="o_orderstatus", at="o_orderdate")))
 
 
 @query("incremental_load", f"""WITH {ROLES_SQL}
@@ -77,3 +84,74 @@ def _stream(spark, sf):
     job = stream_table(spark, landing, schema, store, "orders", ["o_orderkey"], scratch_path(spark, "checkpoint"), "stop_time", files_per_batch=1)
     job.awaitTermination()
     return store.read("orders")
+
+
+@query("number_widened_incremental", f"""WITH {ROLES_SQL}
+SELECT o_orderkey AS id, floor(o_totalprice)::DOUBLE AS amount FROM t WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.o_orderkey = t.o_orderkey)
+UNION ALL SELECT o_orderkey, o_totalprice FROM u""")
+def _number_incremental(spark, sf):
+    """Whole amounts in the first extract, fractions in the next one: the column is widened, nothing becomes NULL."""
+    store = Target(spark, scratch_path(spark, "widened"))
+    whole = target(spark, sf).select(F.col("o_orderkey").alias("id"), F.floor("o_totalprice").cast("bigint").alias("amount"))
+    load_full(spark, write_extract(spark, sf, "widened-1", "full", {"Object.orders": whole}), store)
+    changed = updates(spark, sf).select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount"))
+    report = apply_incremental(spark, write_extract(spark, sf, "widened-2", "incremental", {"Object.orders": changed}), store)
+    if report.where("status <> 'ok'").count():
+        raise AssertionError("a value was lost")
+    return store.read("orders")
+
+
+@query("number_widened_log", """
+SELECT event_id AS id, CASE WHEN event_type IN ('click', 'view') THEN floor(value) ELSE value END AS value FROM events""")
+def _number_log(spark, sf):
+    events = read(spark, sf, "events").select(F.col("event_id").alias("id"), "event_type", "value")
+    store = Target(spark, scratch_path(spark, "widened-log"))
+    first = F.col("event_type").isin("click", "view")
+    load_log(spark, write_extract(spark, sf, "widened-log-1", "log", {"Log.events": events.where(first).select("id", F.floor("value").cast("bigint").alias("value"))}), store)
+    load_log(spark, write_extract(spark, sf, "widened-log-2", "log", {"Log.events": events.where(~first).select("id", "value")}), store)
+    return store.read("events")
+
+
+@query("dictionary_files_applied", """
+SELECT 'customer' AS table_name, 'id' AS column_name, 'bigint' AS type, count(c_custkey) AS n_values FROM customer
+UNION ALL SELECT 'customer', 'c_name', 'string', count(c_name) FROM customer
+UNION ALL SELECT 'customer', 'c_acctbal', 'double', count(c_acctbal) FROM customer
+UNION ALL SELECT 'customer', 'c_mktsegment', 'string', count(c_mktsegment) FROM customer
+UNION ALL SELECT 'customer', 'note', 'string', 0
+UNION ALL SELECT 'customer', 'since', 'date', 0
+UNION ALL SELECT 'part', 'id', 'bigint', count(*) FROM part
+UNION ALL SELECT 'part', 'p_size', 'double', count(TRY_CAST(p_name AS DOUBLE)) FROM part
+UNION ALL SELECT 'made', 'id', 'string', 0
+UNION ALL SELECT 'made', 'flag', 'boolean', 0""")
+def _dictionary_files(spark, sf):
+    """Two files of dictionary updates and two of deletes: create, add, change a type, drop columns and a table."""
+    store = Target(spark, scratch_path(spark, "dictionary"))
+    tables = {
+        "customer": read(spark, sf, "customer").withColumnRenamed("c_custkey", "id"), "supplier": read(spark, sf, "supplier").withColumnRenamed("s_suppkey", "id"),
+        "part": read(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("p_size"), "p_brand"),
+    }
+    load_full(spark, write_extract(spark, sf, "dictionary-base", "full", {f"Object.{n}": df for n, df in tables.items()}), store)
+
+    def store_changes() -> str:
+        folder = scratch_path(spark, "dictionary-changes")
+        row = lambda table, column, kind: ("2025-01-02T00:00:00.000Z", f"Object.{table}", table, column, column, kind, None, None)
+        changes = {
+            "Metadata/one.csv": ("updates", [row("customer", "note", "String"), row("made", "id", "String")]),
+            "Metadata/two.csv": ("updates", [row("customer", "since", "Date"), row("made", "flag", "Boolean"), row("part", "p_size", "Number")]),
+            "Metadata/three.csv": ("deletes", [row("customer", "c_nationkey", None)]),
+            "Metadata/four.csv": ("deletes", [row("supplier", "id", None), row("part", "p_brand", None)]),
+        }
+        for file, (_, rows) in changes.items():
+            write_csv(spark.createDataFrame(rows, DICTIONARY_DDL).coalesce(1), f"{folder}/{file}")
+        manifest = [("Metadata.metadata", "Metadata", change, len(rows), file) for file, (change, rows) in changes.items()]
+        write_csv(spark.createDataFrame(manifest, MANIFEST_DDL).coalesce(1), f"{folder}/manifest.csv")
+        return folder
+
+    apply_incremental(spark, stored_input(spark, sf, "dictionary-changes", store_changes), store)
+    shown = []
+    for table in [t for t in store.tables() if t != "metadata"]:
+        rows = store.read(table)
+        columns = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("type"), F.col(f"n{i}").alias("n_values")) for i, f in enumerate(rows.schema.fields)])
+        counted = rows.agg(*[F.count(f"`{c}`").alias(f"n{i}") for i, c in enumerate(rows.columns)])
+        shown.append(counted.select(F.lit(table).alias("table_name"), F.inline(columns)))
+    return reduce(DataFrame.unionByName, shown)

@@ -15,10 +15,10 @@ from tidemark.session import scratch_path, settle
 from tidemark.sources import archive, files, listing
 
 
-def typed_scan(spark, df, path, numeric="infer", split=None):
-    """CSV back to the types its dictionary gives."""
-    raw = files.scan_csv(spark, path, split=split)
-    raw = settle(raw, "landed") if split else raw
+def typed_scan(spark, df, path, numeric="infer", landed=False):
+    """CSV back to the types its dictionary gives; text that is landed first is parsed once."""
+    raw = files.scan_csv(spark, path)
+    raw = settle(raw, "landed") if landed else raw
     rows = [{"column_name": r[3], "type": r[5]} for r in dictionary_rows(df, "Object.table")]
     return clean(raw, schema_from_metadata(rows, raw.columns, raw, numeric=numeric))
 
@@ -32,7 +32,41 @@ def _scan_csv(spark, sf):
 @query("scan_csv_in_splits", "SELECT * FROM documents")
 def _scan_split(spark, sf):
     documents = read(spark, sf, "documents")
-    return typed_scan(spark, documents, as_csv(documents, sf, "documents"), split=True)
+    return typed_scan(spark, documents, as_csv(documents, sf, "documents"), landed=True)
+
+
+@query("csv_odd_lines", r"""
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '5" ' || regexp_replace(text, '[,"\n\r]', ' ', 'g') || '" x' ELSE text END AS text FROM documents)
+SELECT 'whole' AS read, doc_id, text FROM d UNION ALL SELECT 'splits', doc_id, text FROM d""")
+def _odd_lines(spark, sf):
+    """Stray quotes in plain values, carriage returns in quoted ones and before each header a blank line: the same records from whole files and from small splits."""
+
+    def build() -> str:
+        path = scratch_path(spark, "odd-lines")
+        plain = F.concat(F.lit('5" '), F.regexp_replace("text", '[,"\n\r]', " "), F.lit('" x'))
+        quoted = F.concat(F.lit('"'), F.replace(F.replace("text", F.lit('"'), F.lit('""')), F.lit("\n"), F.lit("\r\n")), F.lit('"'))
+        value = F.when(F.col("doc_id") % 2 == 0, plain).otherwise(quoted)
+        records = read(spark, sf, "documents").select(F.concat("doc_id", F.lit(","), value).alias("value"))
+
+        def headed(batches):
+            import pandas as pd
+
+            yield pd.DataFrame({"value": ["", "doc_id,text"]})
+            yield from batches
+
+        records.mapInPandas(headed, "value string").write.option("lineSep", "\r\n").text(path)
+        return path
+
+    path = stored_input(spark, sf, "odd-lines", build)
+    before, found = spark.conf.get("spark.sql.files.maxPartitionBytes"), []
+    try:
+        for name, size in (("whole", "1g"), ("splits", "256k")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = files.scan_csv(spark, path).select(F.lit(name).alias("read"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+            found.append(settle(rows, f"odd-{name}"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return found[0].unionByName(found[1])
 
 
 @query("scan_parquet_extract", "SELECT * FROM part")
@@ -154,7 +188,7 @@ def _tolerant(spark, sf):
         lines.write.options(header=True, sep="\u0001", quote="").csv(path)
         return path
 
-    typed = files.scan_tolerant(spark, stored_input(spark, sf, "short-lines", store), customer.schema)
+    typed = files.scan_tolerant(spark, stored_input(spark, sf, "short-lines", store), customer.schema, 65_535)
     return typed.withColumn("c_mktsegment", c.truncate_bytes("c_mktsegment", 6))
 
 

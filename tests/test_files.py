@@ -8,18 +8,62 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources import archive, files, listing
-from tidemark.sources.archive import frame_records
+from tidemark.sources.framing import frame_records, lines_of
 
 TEXT = 'id,t,n\r\n1,"a, ""b""\nc",2\r\n2,,3\r\n3,"",007\r\n\r\n4,NA\r\n5,"é €",1,extra\r\n'
 WANT = [("1", 'a, "b"\nc', "2"), ("2", None, "3"), ("3", None, "007"), ("4", "NA", None), ("5", "é €", "1")]
 
 
-@pytest.mark.parametrize("split", [False, True, None])
-def test_csv_edge_cases(spark, tmp_path, rows, split):
+@pytest.fixture(params=["7b", "40b", "128m"])
+def split_size(spark, request):
+    """Tiny splits, small ones, and whole files."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_csv_edge_cases(spark, tmp_path, rows, split_size):
     path = tmp_path / "x.csv"
     path.write_bytes(TEXT.encode())
     assert files.headers(spark, str(path)) == ["id", "t", "n"]
-    assert rows(files.scan_csv(spark, str(path), split=split)) == WANT
+    assert files.may_be_split(spark, str(path)) == (split_size != "128m")
+    assert rows(files.scan_csv(spark, str(path))) == WANT
+
+
+ODD = {
+    "stray quotes": (b'a,b\n1,5" pipe\n2,x\n3,4" and 6"\n4,"q"\n5,y\n', [("1", '5" pipe'), ("2", "x"), ("3", '4" and 6"'), ("4", "q"), ("5", "y")]),
+    "carriage returns": (b"a,b\r1,x\r2,y\r", [("1", "x"), ("2", "y")]),
+    "blank lines first": (b"\n\r\na,b\n1,x\n\n2,y\n", [("1", "x"), ("2", "y")]),
+    "line ends in quotes": (b'a,b\r\n1,"x\r\ny\rz\n\n"\r\n2,y', [("1", "x\ny\nz\n\n"), ("2", "y")]),
+    "quoted header": (b'"a","b\nb"\n1,""""\n2,"a"",\nb"\n', [("1", '"'), ("2", 'a",\nb')]),
+    "only a header": (b"a,b\n", []),
+}
+
+
+@pytest.mark.parametrize("case", ODD)
+def test_odd_csv_is_the_same_in_splits_and_archives(spark, tmp_path, rows, split_size, case):
+    text, want = ODD[case]
+    (tmp_path / "x.csv").write_bytes(text)
+    assert rows(files.scan_csv(spark, str(tmp_path / "x.csv"))) == want
+    names = files.headers(spark, str(tmp_path / "x.csv"))
+    with tarfile.open(tmp_path / "x.tar.gz", "w:gz") as tar:
+        info = tarfile.TarInfo("x.csv")
+        info.size = len(text)
+        tar.addfile(info, io.BytesIO(text))
+    records = archive.scan_archives(spark, str(tmp_path / "x.tar.gz"))
+    assert rows(archive.member_table(records, "x.csv", names)) == want
+
+
+def test_open_quotes_and_other_headers_are_errors(spark, tmp_path, split_size):
+    (tmp_path / "x.csv").write_bytes(b'a,b\n1,"x\n2,y\n3,z\n')
+    with pytest.raises(Exception, match="left open"):
+        files.scan_csv(spark, str(tmp_path / "x.csv")).collect()
+    for name, text in (("1.csv", "a,b\n1,x\n"), ("2.csv", "b,a\ny,2\n")):
+        (tmp_path / "two").mkdir(exist_ok=True)
+        (tmp_path / "two" / name).write_text(text)
+    with pytest.raises(Exception, match="instead of"):
+        files.scan_csv(spark, str(tmp_path / "two")).collect()
 
 
 @pytest.mark.parametrize("limit", ["100b", "1000b"])
@@ -40,14 +84,6 @@ def test_split_csv_against_csv_module(spark, tmp_path, limit):
     assert got == sorted(tuple(r) for r in table * 2)
 
 
-def test_large_files_are_read_in_splits(spark, tmp_path, monkeypatch):
-    (tmp_path / "x.csv").write_bytes(TEXT.encode())
-    assert not files.needs_split(spark, str(tmp_path / "x.csv"))
-    monkeypatch.setattr(files, "split_bytes", lambda spark: 5)
-    assert files.needs_split(spark, str(tmp_path / "*.csv"))
-    assert sorted(tuple(r) for r in files.scan_csv(spark, str(tmp_path / "x.csv")).collect()) == WANT
-
-
 def test_split_bytes(spark):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     for text, want in (("128m", 128 << 20), ("1GB", 1 << 30), ("134217728b", 134217728), ("64k", 65536), ("77", 77)):
@@ -75,12 +111,17 @@ def test_tolerant(spark, tmp_path, rows):
     (tmp_path / "x.csv").write_bytes(b"id,t,d\n1,a\xffb\n2,abcdefgh,2025-01-02\nzz,x,no\n")
     schema = T.StructType.fromDDL("id bigint, t string, d date")
     got = files.scan_tolerant(spark, str(tmp_path / "x.csv"), schema, max_bytes=4)
-    assert [r[:2] for r in rows(got)] == [(1, "a"), (2, "abcd"), (None, "x")] or [r[:2] for r in rows(got)] == [(1, "a�"), (2, "abcd"), (None, "x")]
+    # An invalid byte becomes the replacement character, of three bytes.
+    assert [r[:2] for r in rows(got)] == [(1, "a\ufffd"), (2, "abcd"), (None, "x")]
 
 
 def test_frame_records():
-    lines = [b'a,"b\n', b'c"\r\n', b"\n", b'd,""\n', b'e,"open']
-    assert list(frame_records(lines)) == [b'a,"b\nc"', b'd,""', b'e,"open']
+    text = b'a,"b\nc"\r\n\nd,""\re,f"g'
+    for size in range(1, 9):
+        blocks = [text[i : i + size] for i in range(0, len(text), size)]
+        assert list(frame_records(lines_of(blocks))) == [b'a,"b\nc"', b'd,""', b'e,f"g']
+    with pytest.raises(ValueError):
+        list(frame_records([b'e,"open']))
 
 
 def make_archive(path, members):
@@ -145,9 +186,8 @@ def test_manifest_rules(spark, tmp_path):
         listing.manifest_tables(manifest, kind="other")
 
 
-@pytest.mark.parametrize("split", [True, False])
-def test_inferred(spark, tmp_path, rows, split):
+def test_inferred(spark, tmp_path, rows, split_size):
     (tmp_path / "x.csv").write_text('a,b,c,d,e,f\n1,1.5,true,2025-01-02,2025-01-02T03:04:05Z,"x\ny"\n-2,2,FALSE,2025-01-03,2025-01-03 00:00:00,7\n,,,,,\n')
-    df = files.scan_inferred_csv(spark, str(tmp_path / "x.csv"), split)
-    assert df.schema.simpleString() == "struct<a:int,b:double,c:boolean,d:date,e:timestamp,f:string>".replace("a:int", "a:bigint" if split else "a:int")
+    df = files.scan_inferred_csv(spark, str(tmp_path / "x.csv"))
+    assert df.schema.simpleString() == "struct<a:bigint,b:double,c:boolean,d:date,e:timestamp,f:string>"
     assert df.agg(F.sum("a"), F.sum("b"), F.count("c"), F.min(F.date_format("e", "HH:mm:ss"))).first()[:] == (-1, 3.5, 2, "00:00:00")

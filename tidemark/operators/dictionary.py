@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidemark.functions.clean import blank_to_null
 from tidemark.functions.names import extract_table
 from tidemark.operators.numbering import numbered_lists
-from tidemark.sources.model import DECIMAL_TYPE, NUMBER_TYPES, NUMERIC_RULES, spark_type
+from tidemark.sources.model import DECIMAL_TYPE, DICTIONARY_TYPES, NUMBER_TYPES, NUMERIC_RULES, spark_type
 
 
 def distinct_extracts(rows: DataFrame, order: str) -> DataFrame:
@@ -35,17 +35,14 @@ def dictionary_columns(metadata: DataFrame) -> DataFrame:
     )
 
 
-def spark_type_name(column: str = "column_name", kind: str = "type") -> Column:
-    """Type map as an expression: the Spark type name of a dictionary row (Number as double)."""
+def spark_type_name(column: str = "column_name", kind: str = "type", number: str = "double") -> Column:
+    """Type map as an expression: the Spark type name of a dictionary row; ``number`` is what a Number becomes."""
     kind_text = F.lower(F.trim(F.col(kind)))
-    return (
-        F.when(kind_text.isin(*sorted(NUMBER_TYPES)) & (F.lower(F.col(column)) == "id"), "bigint")
-        .when(kind_text.isin(*sorted(NUMBER_TYPES)), "double")
-        .when(kind_text == "boolean", "boolean")
-        .when(kind_text == "date", "date")
-        .when(kind_text.isin("datetime", "timestamp with time zone"), "timestamp")
-        .otherwise("string")
-    )
+    is_number = kind_text.isin(*sorted(NUMBER_TYPES))
+    found = F.when(is_number & (F.lower(F.col(column)) == "id"), "bigint").when(is_number, number)
+    for name, data_type in DICTIONARY_TYPES.items():
+        found = found.when(kind_text == name, data_type.simpleString())
+    return found.otherwise("string")
 
 
 def file_column_types(file_columns: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -56,6 +53,15 @@ def file_column_types(file_columns: DataFrame, metadata: DataFrame) -> DataFrame
     )
 
 
+def has_fraction(text: Column) -> Column:
+    """Whether a text is a number that a long cannot hold; NULL for other texts."""
+    # Below 2^52 a double tells a fraction; only longer numbers need the exact decimal.
+    value, exact = text.try_cast("double"), text.try_cast("decimal(38,10)")
+    wide = F.abs(value) >= F.lit(9223372036854775807.0)
+    large = (F.coalesce(exact != F.floor(exact), value != F.floor(value)) | wide) & ~F.isnan(value)
+    return F.when(F.abs(value) < F.lit(float(1 << 52)), value != F.floor(value)).otherwise(large)
+
+
 def number_kinds(data: DataFrame, columns: Iterable[str]) -> DataFrame:
     """One row per text column: ``long`` when every number in it is whole, otherwise ``double``.
 
@@ -64,12 +70,7 @@ def number_kinds(data: DataFrame, columns: Iterable[str]) -> DataFrame:
     columns = list(columns)
     flags = []
     for i, name in enumerate(columns):
-        text = blank_to_null(F.col(f"`{name}`"))
-        # Below 2^52 a double tells a fraction; only longer numbers need the exact decimal.
-        value, exact = text.try_cast("double"), text.try_cast("decimal(38,10)")
-        wide = F.abs(value) >= F.lit(9223372036854775807.0)
-        large = (F.coalesce(exact != F.floor(exact), value != F.floor(value)) | wide) & ~F.isnan(value)
-        fractional = F.when(F.abs(value) < F.lit(float(1 << 52)), value != F.floor(value)).otherwise(large)
+        fractional = has_fraction(blank_to_null(F.col(f"`{name}`")))
         flags.append(F.coalesce(F.bool_or(fractional), F.lit(False)).alias(f"f{i}"))
     pairs = ", ".join(f"{i}, f{i}" for i in range(len(columns)))
     names = F.array(*[F.lit(name) for name in columns])

@@ -62,7 +62,7 @@ def keyword_search(df: DataFrame, keyword: str, content: str, fields: Sequence[s
 
 
 def document_page(
-    df: DataFrame, sort: Sequence[str | Column], start: int = 0, limit: int = 200
+    df: DataFrame, sort: Sequence[str | Column], start: int, limit: int
 ) -> DataFrame:
     """Documents in ``sort`` order from ``start``, at most ``limit``."""
     return page(df, sort, limit, start)

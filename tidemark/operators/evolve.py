@@ -40,7 +40,7 @@ def describe_table(df: DataFrame) -> DataFrame:
     return df.agg(*stats).select(F.explode(F.array(*rows)).alias("r")).select("r.*").orderBy("ordinal")
 
 
-def schema_diff(existing: DataFrame, incoming: DataFrame, allow_to_string: bool = False) -> DataFrame:
+def schema_diff(existing: DataFrame, incoming: DataFrame, allow_to_string: bool = False, number: str = "double") -> DataFrame:
     """Compare ``(table_name, column_name, type)`` of a catalogue (Spark types) and a dictionary (its own type names).
 
     ``add``: only in the dictionary. ``modify``: in both with another type; a change to text is left
@@ -50,14 +50,14 @@ def schema_diff(existing: DataFrame, incoming: DataFrame, allow_to_string: bool
         "table_name", F.lower("column_name").alias("column_name"), F.lower("type").alias("old_type")
     )
     new = incoming.select(
-        "table_name", F.lower("column_name").alias("column_name"), spark_type_name().alias("new_type")
+        "table_name", F.lower("column_name").alias("column_name"), spark_type_name(number=number).alias("new_type")
     )
     both = old.join(new, ["table_name", "column_name"], "full")
     retyped = F.col("new_type") != F.col("old_type")
     if not allow_to_string:
         retyped = retyped & (F.col("new_type") != "string")
-    # A Number is planned as double; a column already loaded as long or decimal stays.
-    numeric = (F.col("new_type") == "double") & (F.col("old_type").isin("bigint", "double") | F.col("old_type").startswith("decimal"))
+    # A Number is planned as ``number``; a column already loaded as long, double or decimal stays.
+    numeric = (F.col("new_type") == number) & (F.col("old_type").isin("bigint", "double") | F.col("old_type").startswith("decimal"))
     action = (
         F.when(F.col("old_type").isNull(), "add")
         .when(F.col("new_type").isNull(), "keep")
@@ -68,12 +68,12 @@ def schema_diff(existing: DataFrame, incoming: DataFrame, allow_to_string: bool
 
 
 def change_plan(
-    updates: DataFrame, deletes: DataFrame, existing: DataFrame, allow_to_string: bool = False
+    updates: DataFrame, deletes: DataFrame, existing: DataFrame, allow_to_string: bool = False, number: str = "double"
 ) -> DataFrame:
     """Ordered changes ``(step, table_name, action, column_name, type)`` from dictionary updates and deletes.
 
     Deleting a table's ``id`` drops the table, other columns are dropped one by one. Updates then
-    create tables that do not exist and add or retype columns of the others.
+    create tables that do not exist and add or retype columns of the others. ``number`` is the type of new Number columns.
     """
     lowered = deletes.select("table_name", F.lower("column_name").alias("column_name")).distinct()
     whole = lowered.where("column_name = 'id'").select("table_name")
@@ -90,8 +90,8 @@ def change_plan(
     wanted = updates.select("table_name", F.lower("column_name").alias("column_name"), "type").distinct()
     created = wanted.join(tables, "table_name", "left_anti")
     create = created.select(F.lit(STEP_UPDATES).alias("step"), "table_name", F.lit("create_table").alias("action"),
-                            "column_name", spark_type_name().alias("type"))
-    changed = schema_diff(left, wanted.join(tables, "table_name", "left_semi"), allow_to_string)
+                            "column_name", spark_type_name(number=number).alias("type"))
+    changed = schema_diff(left, wanted.join(tables, "table_name", "left_semi"), allow_to_string, number)
     alter = changed.where("action <> 'keep'").select(
         F.lit(STEP_UPDATES).alias("step"), "table_name",
         F.when(F.col("action") == "add", "add_column").otherwise("change_type").alias("action"),

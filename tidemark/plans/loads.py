@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.change import conform
-from tidemark.functions.clean import clean
-from tidemark.operators.dictionary import dictionary_columns, schema_from_metadata
+from tidemark.functions.clean import blank_to_null, clean, convert_value
+from tidemark.operators.dictionary import dictionary_columns, has_fraction, schema_from_metadata
 from tidemark.operators.evolve import change_plan
 from tidemark.plans.target import Target, bucket_count
 from tidemark.session import in_parallel, local_rows, release, settle, total_bytes
-from tidemark.sources.files import needs_split, scan_inferred_csv
+from tidemark.sources.files import scan_inferred_csv
 from tidemark.sources.listing import (
     extract_paths,
     manifest_tables,
@@ -25,7 +25,7 @@ from tidemark.sources.listing import (
     scan_manifest,
     scan_metadata,
 )
-from tidemark.sources.model import METADATA_TABLE, key_columns
+from tidemark.sources.model import DECIMAL_TYPE, METADATA_TABLE, key_columns
 
 REPORT_SCHEMA = "table_name string, change string, declared bigint, loaded bigint, status string, message string"
 DICTIONARY_SCHEMA = T.StructType(
@@ -57,9 +57,46 @@ def _report(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return local_rows(spark, rows, REPORT_SCHEMA)
 
 
-def _outcome(table: str, change: str, declared: int, loaded: int) -> tuple:
-    status = "ok" if declared == loaded else "count differs"
-    return table, change, declared, loaded, status, None
+def _outcome(table: str, change: str, declared: int, loaded: int, lost: int = 0) -> tuple:
+    status = "count differs" if declared != loaded else "values lost" if lost else "ok"
+    return table, change, declared, loaded, status, f"{lost} values did not convert" if lost else None
+
+
+#: From here on a double does not tell whole numbers apart.
+LARGEST_WHOLE_DOUBLE = float(1 << 53)
+
+
+def _admit(target: Target, table: str, raw: DataFrame, options: LoadOptions) -> tuple[int, int]:
+    """Make room for the numbers of ``raw``, which is stored, in a table; returns its rows and its values that do not convert.
+
+    A column that holds whole numbers so far and now gets fractions, or larger numbers, becomes double, or decimal where a double would round a whole number. One
+    aggregation over the file, whatever the number of columns.
+    """
+    snap = target.snapshot(table)
+    keys = {k.lower() for k in _keys(table, options)} | {k.lower() for k in snap.keys}
+    fields = list(zip(raw.columns, snap.schema.fields)) if options.match == "position" else [
+        (c, f) for f in snap.schema.fields for c in raw.columns if c.lower() == f.name.lower()]
+    lost, wide, large = F.lit(0).cast("bigint"), {}, {}
+    for name, f in fields:
+        source = raw.schema[name].dataType
+        if isinstance(f.dataType, T.StringType) or source == f.dataType:
+            continue
+        value = F.col(f"`{name}`")
+        given = blank_to_null(value).isNotNull() if isinstance(source, T.StringType) else value.isNotNull()
+        goal = f.dataType
+        if isinstance(goal, T.LongType) and f.name.lower() not in keys:
+            text, goal = blank_to_null(value.cast("string")), T.DoubleType()
+            wide[f.name] = F.coalesce(F.bool_or(has_fraction(text)), F.lit(False))
+            large[f.name] = F.coalesce(F.max(F.abs(text.try_cast("double"))), F.lit(0.0))
+        lost += F.coalesce(F.sum((given & convert_value(value, source, goal).isNull()).cast("bigint")), F.lit(0))
+    found = raw.agg(F.count(F.lit(1)).alias("rows"), lost.alias("lost"), F.struct(F.lit(0), *[w.alias(c) for c, w in wide.items()]).alias("wide"),
+                    F.struct(F.lit(0), *[v.alias(c) for c, v in large.items()]).alias("large")).first()
+    grown = [c for c in wide if found["wide"][c]]
+    if grown:
+        held = target.read(table).agg(*[F.max(F.abs(F.col(f"`{c}`").cast("double"))) for c in grown]).first()
+        target.evolve(table, retype={
+            c: DECIMAL_TYPE if max(most or 0.0, found["large"][c]) >= LARGEST_WHOLE_DOUBLE else T.DoubleType() for c, most in zip(grown, held)})
+    return found["rows"], found["lost"]
 
 
 def reconcile(manifest: DataFrame, loaded: DataFrame) -> DataFrame:
@@ -138,7 +175,7 @@ def _load_all(spark: SparkSession, extract_dir: str, target: Target, kind: str,
 
     def load(item: dict) -> tuple:
         table, path = item["table_name"], item["path"]
-        landed = None
+        landed, checked = None, False
         if options.infer_schema and not options.parquet:
             typed = scan_inferred_csv(spark, path)
             typed = typed.toDF(*[c.lower() for c in typed.columns])
@@ -152,25 +189,26 @@ def _load_all(spark: SparkSession, extract_dir: str, target: Target, kind: str,
                 typed, schema = raw, DICTIONARY_SCHEMA
             else:
                 rows = dictionary.get(table, [])
-                if options.parquet:
-                    file_schema = raw.schema
-                    typed = raw
-                else:
-                    exists = target.snapshot(table)
-                    rule = "double" if exists is not None and options.numeric == "infer" else options.numeric
-                    if rule == "infer" and needs_split(spark, path):
-                        raw = landed = settle(raw, f"landed-{table}")  # the Number rule and the load read columns, not text again
-                    file_schema = schema_from_metadata(rows, raw.columns, raw, options.profile, rule)
-                    if exists is not None:
-                        held = {f.name.lower(): f.dataType for f in exists.schema.fields}
-                        file_schema = T.StructType([T.StructField(f.name, held.get(f.name, f.dataType)) for f in file_schema])
-                    typed = clean(raw, file_schema, options.trim_strings)
+                typed = raw
+                if not options.parquet:
+                    # Text is parsed once; the number rule, the check and the load read stored columns.
+                    typed = raw = landed = settle(raw, f"landed-{table}")
+                exists = target.snapshot(table) is not None
+                rule = "double" if options.numeric == "infer" and (exists or options.parquet) else options.numeric
+                file_schema = raw.schema if options.parquet else schema_from_metadata(rows, raw.columns, raw, options.profile, rule)
                 schema = _table_schema(rows, options.profile, options.numeric, file_schema)
+                checked = True
         target.create(table, schema, keys_of(table, options), bucket_count(total_bytes(spark, path), target.buckets))
+        lost = 0
+        if checked:
+            _, lost = _admit(target, table, raw, options)
+            if landed is not None:
+                held = {f.name.lower(): f.dataType for f in target.snapshot(table).schema.fields}
+                typed = clean(raw, T.StructType([T.StructField(f.name, held.get(f.name, f.dataType)) for f in file_schema]), options.trim_strings)
         write = target.overwrite if options.mode == "replace" else target.append
         loaded = write(table, typed, options.match)
         release(landed)
-        return _outcome(table, "updates", item["records"], loaded)
+        return _outcome(table, "updates", item["records"], loaded, lost)
 
     # Files of one table follow each other, different tables run side by side.
     groups: dict[str, list[dict]] = {}
@@ -222,6 +260,7 @@ def apply_incremental(
         snap = target.snapshot(table)
         staged: dict[str, DataFrame | None] = {"deletes": None, "updates": None}
         stored_frames: list[DataFrame] = []
+        given: dict[str, list[DataFrame]] = {"deletes": [], "updates": []}
         for change, files in work[table].items():
             for f in files:
                 raw = scan_file(spark, f["path"], options.parquet)
@@ -233,15 +272,17 @@ def apply_incremental(
                 if snap is None:
                     report.append((table, change, f["records"], 0, "no table", None))
                     continue
-                if change == "updates":
-                    raw = conform(raw, snap.schema, options.match)
-                else:
-                    raw = raw.select(*_keys(table, options))
                 # Stored once, columnar: the text is parsed a single time although keys and rows are read separately.
-                stored = settle(raw, f"staged-{table}")
+                stored = settle(raw if change == "updates" else raw.select(*_keys(table, options)), f"staged-{table}")
                 stored_frames.append(stored)
-                report.append(_outcome(table, change, f["records"], stored.count()))
-                staged[change] = stored if staged[change] is None else staged[change].unionByName(stored)
+                rows, lost = _admit(target, table, stored, options) if change == "updates" else (stored.count(), 0)
+                report.append(_outcome(table, change, f["records"], rows, lost))
+                given[change].append(stored)
+        snap = target.snapshot(table)
+        for change, frames in given.items():
+            # In the table's types, which the files together have decided.
+            typed = [conform(stored, snap.schema, options.match) if change == "updates" else stored for stored in frames]
+            staged[change] = reduce(DataFrame.unionByName, typed) if typed else None
         if snap is not None and (staged["deletes"] is not None or staged["updates"] is not None):
             if applied is None or snap.applied != applied:
                 target.change(
@@ -259,8 +300,8 @@ def _apply_dictionary(spark: SparkSession, update_files: list[dict], delete_file
     def rows_of(files: list[dict]) -> DataFrame | None:
         if not files:
             return None
-        rows = scan_file(spark, files[0]["path"], options.parquet)
-        return rows.toDF(*[c.lower() for c in rows.columns])
+        scans = [scan_file(spark, f["path"], options.parquet) for f in files]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [rows.toDF(*[c.lower() for c in rows.columns]) for rows in scans])
 
     updates, deletes = rows_of(update_files), rows_of(delete_files)
     if updates is None and deletes is None:
@@ -271,7 +312,7 @@ def _apply_dictionary(spark: SparkSession, update_files: list[dict], delete_file
         gone = dictionary_columns(deletes.withColumn("type", F.lit(None).cast("string")))
     new = dictionary_columns(updates) if updates is not None else empty
     tables = [r["table_name"] for r in new.select("table_name").union(gone.select("table_name")).distinct().collect()]
-    plan = change_plan(new, gone, target.columns(tables), options.allow_to_string)
+    plan = change_plan(new, gone, target.columns(tables), options.allow_to_string, DECIMAL_TYPE.simpleString() if options.numeric == "decimal" else "double")
     # One row per changed column of the dictionary.
     steps = plan.orderBy("step", "table_name", "action", "column_name").collect()
     apply_plan(target, steps, options)

@@ -1,14 +1,15 @@
 """Shared storage helpers: where intermediate tables live and how small control files are kept.
 
 Everything that several tasks, or a recomputed task, must see goes to the folder the cluster names
-in ``spark.checkpoint.dir``. Only when that is unset (tests, a laptop) a private folder is made.
+in ``spark.checkpoint.dir``. Only when that is unset and driver and tasks are one process (tests, a laptop) a private folder is made.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
@@ -23,6 +24,9 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
     folder = tempfile.mkdtemp(prefix="tidemark-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -120,6 +124,29 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     return sum(fs.getContentSummary(status.getPath()).getLength() for status in found) if found else 0
 
 
+def files_at(spark: SparkSession, path: str) -> list[str]:
+    """Addresses of the data files at ``path`` (a file, a folder or a pattern), sorted."""
+    fs, jpath = _file_system(spark, path)
+    out = []
+    for found in fs.globStatus(jpath) or []:
+        for status in fs.listStatus(found.getPath()) if found.isDirectory() else [found]:
+            if not status.isDirectory() and status.getPath().getName()[0] not in "_.":
+                out.append(status.getPath().toString())
+    return sorted(out)
+
+
+def text_lines(spark: SparkSession, path: str) -> Iterator[bytes]:
+    """Lines of one file, read through the file system as far as they are taken."""
+    fs, jpath = _file_system(spark, path)
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(jpath), "UTF-8"))
+    try:
+        while (line := reader.readLine()) is not None:
+            yield line.encode("utf-8", "replace")
+    finally:
+        reader.close()
+
+
 def read_small_text(spark: SparkSession, path: str) -> str:
     """Content of one control file (a few kilobytes)."""
     fs, jpath = _file_system(spark, path)

@@ -11,7 +11,7 @@ import io
 import json
 import sys
 import tarfile
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -20,13 +20,17 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidemark.session import qualified
+from tidemark.sources import framing
 from tidemark.sources.files import parse_records
+from tidemark.sources.framing import frame_records, lines_of
 
 # The reader travels to the executors with its code, so that they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(framing)
 
 RECORDS_SCHEMA = "archive string, member string, record_no bigint, record string"
 BATCH_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def _local_path(uri: str) -> str:
@@ -64,23 +68,6 @@ class _PartStream(io.RawIOBase):
             self._current = None
 
 
-def frame_records(lines: Iterable[bytes]) -> Iterator[bytes]:
-    """CSV records from lines: a record ends at a line end with no quote left open."""
-    held: list[bytes] = []
-    quotes = 0
-    for line in lines:
-        held.append(line)
-        quotes += line.count(b'"')
-        if quotes % 2 == 0:
-            record = b"".join(held) if len(held) > 1 else line
-            held, quotes = [], 0
-            record = record.rstrip(b"\r\n")
-            if record:
-                yield record
-    if held:
-        yield b"".join(held).rstrip(b"\r\n")
-
-
 class _ArchivePartition(InputPartition):
     def __init__(self, name: str, uris: Sequence[str]):
         super().__init__(name)
@@ -116,7 +103,8 @@ class _ArchiveReader(DataSourceReader):
                 if not info.isfile():
                     continue
                 held, size, first = [], 0, 0
-                for record in frame_records(tar.extractfile(info)):
+                source = tar.extractfile(info)
+                for record in frame_records(lines_of(iter(lambda: source.read(BLOCK_BYTES), b""))):
                     held.append(record)
                     size += len(record)
                     if size >= BATCH_BYTES:

@@ -2,62 +2,57 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.clean import clean, replace_invalid, truncate_bytes
-from tidemark.session import settle, total_bytes
+from tidemark.session import files_at, settle, text_lines, total_bytes
+from tidemark.sources.framing import column_names, ends_inside, frame_records
 
-SPLITS_PER_TASK = 8
 CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"'}
 
 
 def headers(spark: SparkSession, path: str, fmt: str = "csv") -> list[str]:
-    """Column names in file order; reads one line of a CSV file, the footer of a Parquet file."""
+    """Column names in file order; reads the first record of one CSV file, the footer of a Parquet file."""
     if fmt == "parquet":
         return spark.read.parquet(path).columns
     if fmt != "csv":
         raise ValueError(f"unknown file format {fmt!r}")
-    return spark.read.options(header=True, **CSV_OPTIONS).csv(path).columns
-
-
-def largest_file(spark: SparkSession, path: str) -> int:
-    """Size in bytes of the largest file at ``path`` (file listing only)."""
-    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+    for file in files_at(spark, path):
+        record = next(frame_records(text_lines(spark, file)), None)
+        if record is not None:
+            return column_names(record)
+    return []
 
 
 def split_bytes(spark: SparkSession) -> int:
     """How much of a splittable file one task reads."""
-    setting = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().rstrip("b")
+    return _bytes(spark, "spark.sql.files.maxPartitionBytes")
+
+
+def _bytes(spark: SparkSession, name: str) -> int:
+    setting = spark.conf.get(name).lower().rstrip("b")
     factor = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(setting[-1:], 1)
     return int(setting.rstrip("kmg")) * factor
 
 
-def needs_split(spark: SparkSession, path: str) -> bool:
-    """Whether some CSV file is too large for one task: framing records costs a few times a plain read."""
-    limit = SPLITS_PER_TASK * split_bytes(spark)
-    return total_bytes(spark, path) > limit and largest_file(spark, path) > limit
+def may_be_split(spark: SparkSession, path: str) -> bool:
+    """Whether Spark may read some file in several splits; the records are the same either way."""
+    return total_bytes(spark, path) > min(split_bytes(spark), _bytes(spark, "spark.sql.files.openCostInBytes"))
 
 
-def scan_csv(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, split: bool | None = None
-) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """All columns as text. Line breaks inside quotes belong to the value; short lines are padded with NULL.
 
-    Spark's own multi-line reader takes a file as one task. That is used while no file is larger than
-    a few splits; larger files are read in splits and their records framed by ``csv_records``.
+    The files must have equal headers. ``columns`` renames them by position.
     """
-    names = list(columns) if columns else headers(spark, path)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    if split is None:
-        split = needs_split(spark, path)
-    if not split:
-        return spark.read.schema(schema).options(header=True, multiLine=True, **CSV_OPTIONS).csv(path)
-    records = csv_records(spark, path).where("record_no > 1")
-    return parse_records(records, "record", schema)
+    names = headers(spark, path)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (columns or names)])
+    return parse_records(csv_records(spark, path, names), "record", schema)
 
 
 def parse_records(df: DataFrame, column: str, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
@@ -66,64 +61,150 @@ def parse_records(df: DataFrame, column: str, schema: T.StructType, keep: Sequen
     return df.select(*keep, F.from_csv(F.col(column), ddl, CSV_OPTIONS).alias("__r")).select(*keep, "__r.*")
 
 
-def csv_records(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, record_no, record)`` of CSV files of any size, read in splits.
-
-    A line starts a record when an even number of quotes precedes it in the file. Each split counts
-    its own quotes and possible record starts; one row per split is summed along the file to tell
-    what precedes it. The window groups are input splits, so their size is bounded by the reader.
-    """
-    lines = (
-        spark.read.option("lineSep", "\n").text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("at"),
-            F.col("value").alias("line"),
-        )
-        .withColumn("quotes", F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit(""))))
-    )
-    in_split = Window.partitionBy("file", "start").orderBy("at")
-    before = F.coalesce(F.sum("quotes").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    running = in_split.rowsBetween(Window.unboundedPreceding, 0)
-    lines = (
-        lines.withColumn("odd", before % 2)
-        .withColumn("evens", F.sum(1 - F.col("odd")).over(running))
-        .withColumn("odds", F.sum("odd").over(running))
-    )
-    splits = lines.groupBy("file", "start").agg(
-        (F.sum("quotes") % 2).alias("flip"), F.max("evens").alias("evens"), F.max("odds").alias("odds")
-    )
-    along = Window.partitionBy("file").orderBy("start")
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    carried: Column = F.coalesce(F.sum("flip").over(earlier), F.lit(0)) % 2
-    splits = splits.withColumn("carried", carried).withColumn(
-        "starts", F.when(F.col("carried") == 0, F.col("evens")).otherwise(F.col("odds"))
-    ).withColumn("earlier", F.coalesce(F.sum("starts").over(earlier), F.lit(0)))
-    placed = lines.join(
-        splits.select("file", "start", "carried", F.col("earlier").alias("records_before")), ["file", "start"]
-    ).withColumn(
-        "record_no",
-        F.col("records_before") + F.when(F.col("carried") == 0, F.col("evens")).otherwise(F.col("odds")),
-    )
-    records = placed.groupBy("file", "record_no").agg(
-        F.array_sort(F.collect_list(F.struct("start", "at", "line"))).alias("lines")
-    )
-    text = F.array_join(F.transform("lines", lambda x: x["line"]), "\n")
-    return records.select("file", "record_no", F.rtrim(text, F.lit("\r")).alias("record")).where("record <> ''")
+STATES = "file string, start bigint, outside boolean, inside boolean, reaches boolean, blank boolean"
+FRAMED = "file string, owner bigint, start bigint, seq int, whole boolean, header boolean, record binary"
 
 
-def scan_inferred_csv(spark: SparkSession, path: str, split: bool | None = None) -> DataFrame:
-    """CSV with types inferred from all its values.
+def csv_records(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """``(file, record)`` of CSV files of any size, read in splits, without their headers, which must be ``names``.
 
-    Spark's reader infers while one task can read a file. Larger files are read in splits and stored
-    as text columns, whose types one aggregation decides.
+    A first, narrow pass gives for each split the state at its end for either state at its start; one row per split comes to the driver, which composes them along each
+    file. In the second pass each split cuts its own lines into records. Only a record that goes on in another split is put together by
+    a shuffle, of its pieces alone. Files that Spark cannot split need no first pass.
     """
-    if split is None:
-        split = needs_split(spark, path)
-    if not split:
-        return spark.read.options(header=True, multiLine=True, inferSchema=True, **CSV_OPTIONS).csv(path)
-    text = settle(scan_csv(spark, path, split=True), "inferred")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("line")
+    )
+    begins = None
+    if may_be_split(spark, path):
+        begins = spark.sparkContext.broadcast(begin_states([tuple(r) for r in lines.mapInArrow(_split_states, STATES).collect()]))
+
+    def frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _frame(batches, None if begins is None else begins.value, list(names))
+
+    framed = lines.mapInArrow(frame, FRAMED)
+    if begins is None:
+        return framed.select("file", F.col("record").cast("string").alias("record"))
+    if not any(owner != start for (_, start), (_, owner, _) in begins.value.items()):
+        return framed.where("not header").select("file", F.col("record").cast("string").alias("record"))
+    pieces = framed.where("not whole").groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("start", "seq", "record"))).alias("parts"), F.max("header").alias("header"))
+    joined = F.array_join(F.transform("parts", lambda x: x["record"].cast("string")), "\n")
+    return framed.where("whole and not header").select("file", F.col("record").cast("string").alias("record")).unionByName(
+        pieces.where("not header").select("file", joined.alias("record")))
+
+
+def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[bytes]]]:
+    """Lines of one split at a time, in pieces; a split may come in several."""
+    for batch in batches:
+        files, starts = batch.column("file").to_pylist(), batch.column("start").to_pylist()
+        body = batch.column("line").to_pylist()
+        begin = 0
+        for i in range(1, len(files) + 1):
+            if i == len(files) or starts[i] != starts[begin] or files[i] != files[begin]:
+                yield files[begin], starts[begin], body[begin:i]
+                begin = i
+
+
+def _split_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    key, states, out = None, None, []
+    for file, start, lines in _by_split(batches):
+        if key != (file, start):
+            if key:
+                out.append((*key, *states))
+            key, states = (file, start), [False, True, False, True]
+        for line in lines:
+            if line and states[3]:
+                states[3] = False
+            if b'"' in line:
+                states[0], states[1] = ends_inside(line, states[0]), ends_inside(line, states[1])
+                states[2] = states[2] or not states[1]
+    if key:
+        out.append((*key, *states))
+        kinds = (pa.string(), pa.int64(), *[pa.bool_()] * 4)
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), kinds)], names=[c.split()[0] for c in STATES.split(", ")])
+
+
+def begin_states(splits: list[tuple]) -> dict[tuple[str, int], tuple[bool, int, bool]]:
+    """For each split: whether it begins inside a value, the split where its first record begins, whether the file's header begins in it."""
+    out: dict[tuple[str, int], tuple[bool, int, bool]] = {}
+    file = None
+    for name, start, outside, inside, reaches, blank in sorted(splits):
+        if name != file:
+            if file is not None and now:
+                raise ValueError(f"a quote is left open at the end of {file}")
+            file, now, owner, seen = name, False, start, False
+        out[name, start] = (now, owner if now else start, not seen and not now and not blank)
+        seen = seen or not blank
+        # What is open at the end began here, unless the whole split lies inside one value.
+        owner = owner if now and not reaches else start
+        now = inside if now else outside
+    if file is not None and now:
+        raise ValueError(f"a quote is left open at the end of {file}")
+    return out
+
+
+def _frame(batches: Iterator[pa.RecordBatch], begins: dict | None, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Records of each split; pieces of those that begin or end in another one."""
+    key, out = None, []
+    inside = header = first = False
+    owner = seq = 0
+    held: list[bytes] = []
+
+    def put(record: bytes, whole: bool, is_header: bool) -> None:
+        nonlocal seq
+        out.append((*key[:1], owner, key[1], seq, whole, is_header, record))
+        seq += 1
+
+    def close() -> None:
+        if not held:
+            return
+        if begins is None:
+            raise ValueError(f"a quote is left open at the end of {key[0]}")
+        put(b"\n".join(held), False, header and not first)
+        held.clear()
+
+    def batch() -> pa.RecordBatch:
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary())
+        made = pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), kinds)], names=[c.split()[0] for c in FRAMED.split(", ")])
+        out.clear()
+        return made
+
+    for file, start, lines in _by_split(batches):
+        if key != (file, start):
+            if key:
+                close()
+            key, seq = (file, start), 0
+            inside, owner, header = (False, start, start == 0) if begins is None else begins[file, start]
+            first = inside  # the record that another split began
+        for line in lines:
+            if not line and not inside:
+                continue
+            held.append(line)
+            inside = ends_inside(line, inside)
+            if inside:
+                continue
+            record = b"\n".join(held) if len(held) > 1 else line
+            held.clear()
+            if first:
+                put(record, False, False)
+                first, owner = False, start
+            elif header:
+                header = False
+                if column_names(record) != names:
+                    raise ValueError(f"{file} has the columns {column_names(record)} instead of {names}")
+            else:
+                put(record, True, False)
+        if len(out) >= 2000:
+            yield batch()
+    if key:
+        close()
+    if out:
+        yield batch()
+
+
+def scan_inferred_csv(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with types inferred from all its values, by one rule for all sizes. Stored once, as text columns."""
+    text = settle(scan_csv(spark, path), "inferred")
     return clean(text, inferred_schema(text))
 
 
@@ -158,7 +239,7 @@ def scan_parquet(spark: SparkSession, path: str | Sequence[str], merge_schema: b
     return reader.parquet(*paths)
 
 
-def scan_tolerant(spark: SparkSession, path: str, schema: T.StructType, max_bytes: int = 65_535) -> DataFrame:
+def scan_tolerant(spark: SparkSession, path: str, schema: T.StructType, max_bytes: int) -> DataFrame:
     """Load that never rejects a row: short lines padded, invalid characters replaced, long texts cut by bytes."""
     text = clean(scan_csv(spark, path, schema.names), schema)
     return text.select(
