@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.language_id import UNKNOWN, detect, train
 from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.near_copies import simhash_dedup
 from tidemark.llm.packing import pack
-from tidemark.llm.simhash import simhash_dedup
+from tidemark.llm.registry import small_batches
 from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.session import scratch_path
 
@@ -21,6 +22,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document goes if less than this share of its letters is in its main language.
 LEAST_SHARE = 0.34
 END_ID = 0
+#: Units of text that a worker remembers while it packs; the memory of a long-running executor is shared with its other stages.
+KEPT_UNITS = 200_000
 
 
 def _with_text(docs: DataFrame, text) -> DataFrame:
@@ -29,6 +32,7 @@ def _with_text(docs: DataFrame, text) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that have letters and a main language, with that language in ``lang``; a model is learned from the labelled ones."""
+    small_batches(spark)
     found = detect(docs.select(*COLUMNS), train(docs))
     kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SHARE))
     return kept.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
@@ -36,23 +40,27 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that a document with a smaller id has; null texts become empty."""
+    small_batches(spark)
     return _with_text(line_dedup(docs.select(*COLUMNS)), F.col("kept_text"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: five-word shingles, a similarity of at least 0.8."""
+    small_batches(spark)
     return simhash_dedup(docs.select(*COLUMNS))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 50 words and more that a document with a smaller id has. Texts that lose nothing stay as they are."""
+    small_batches(spark)
     found = substring_dedup(docs.select(*COLUMNS))
     return _with_text(found, F.when(F.col("n_removed") > 0, F.col("kept_words")).otherwise(F.coalesce("text", F.lit(""))))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 1024 ids: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, boundary, ids."""
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), "bytes", END_ID)
+    small_batches(spark)
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), "bytes", END_ID, kept_units=KEPT_UNITS)
 
 
 STAGES = [

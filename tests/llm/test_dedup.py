@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from plain import SPACE, corpus, lower, near, sha, words
 
-from tidemark.llm import simhash
+from tidemark.llm import near_copies, simhash
 from tidemark.llm.components import components
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.fm_index import FMIndex
@@ -134,9 +134,47 @@ def test_simhash(table):
     roots = near([number(d) for d, _ in rows], prints, lambda a, b: bin(a ^ b).count("1") <= 4)
     got = simhash.simhash_components(table(rows)).collect()
     assert ordered((r.id, r.fp % 2**64, r.component) for r in got) == ordered((d, f, c) for (d, _), f, c in zip(rows, prints, roots))
-    kept = simhash.simhash_dedup(table(rows), shingle_words=4)
-    assert {"row", "node", "Text2"} <= set(kept.columns)
-    assert {number(r.doc_id) for r in kept.collect()} == set(roots)
+
+
+def shingles(text, size=5):
+    w = words(lower(text or ""))
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+
+def alike(a, b):
+    """Similarity of two sets of shingles; of texts without words 1."""
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def test_near_copies(table):
+    import random
+
+    rnd = random.Random(9)
+    rows = [r for r in corpus(8) if r[0] != 1005] + [(None, "one more")]
+    # Copies of long texts with some words changed: clearly above, and clearly below a similarity of 0.8.
+    for i in range(12):
+        base = [f"b{i}w{rnd.randint(0, 400)}" for _ in range(300)]
+        rows.append((3000 + 10 * i, " ".join(base)))
+        for k, changed in enumerate((2, 5, 60)):
+            copy = list(base)
+            for at in rnd.sample(range(300), changed):
+                copy[at] = f"new{rnd.random()}"
+            rows.append((3001 + 10 * i + k, " ".join(copy)))
+    number = lambda d: 2**63 - 1 if d is None else d
+    sets = [shingles(t) for _, t in rows]
+    roots = near([number(d) for d, _ in rows], sets, lambda a, b: alike(a, b) >= 0.8)
+    found = sorted((r.doc, r.component) for r in near_copies.near_copies(table(rows)).collect())
+    want = sorted((number(d), c) for (d, _), c in zip(rows, roots))
+    # Nothing below the threshold links; long copies and equal texts are all found (texts of a dozen different words may be missed).
+    root = dict(want)
+    assert [d for d, _ in found] == [d for d, _ in want] and all(root[d] == root[c] for d, c in found if rows.count((d, None)) == 0 and d not in (12, 13))
+    assert [x for x in found if 3000 <= x[0] < 4000] == [x for x in want if 3000 <= x[0] < 4000] and len(set(c for d, c in found if d >= 3000)) < 40
+    same = dict((number(d), " ".join(words(lower(t or "")))) for d, t in rows)
+    for a, x in found:
+        assert all(x == y for b, y in found if same[a] == same[b] and not {a, b} & {12, 13})
+    kept = near_copies.simhash_dedup(table(rows))
+    assert {"row", "node", "Text2"} <= set(kept.columns) and kept.where("doc_id % 10 in (1, 2) and doc_id between 3000 and 3200").count() == 0
+    assert {number(r.doc_id) for r in kept.collect()} == {c for _, c in found}
 
 
 def test_simhash_masks_and_chains():
@@ -173,4 +211,4 @@ def test_components(spark):
 def test_empty_tables(table):
     empty = table([])
     assert exact_dedup(empty).count() == 0 and line_dedup(empty).count() == 0
-    assert substring_dedup(empty).count() == 0 and simhash.simhash_components(empty).count() == 0 and simhash.simhash_dedup(empty).count() == 0
+    assert substring_dedup(empty).count() == 0 and simhash.simhash_components(empty).count() == 0 and near_copies.simhash_dedup(empty).count() == 0

@@ -4,7 +4,7 @@ from collections import defaultdict
 
 import corpus_pipeline
 from plain import lower, near, words
-from test_dedup import fingerprint
+from test_dedup import alike, shingles
 
 from tidemark.session import scratch_path
 
@@ -33,7 +33,7 @@ def test_stages(spark, sf):
             assert got == {d: "\n".join(x for x in t.split("\n") if len(key(x)) < 10 or first[key(x)] == d) for d, t in given.items()}
         elif number == 3:
             ids = sorted(given)
-            roots = near(ids, [fingerprint(given[d], 5) for d in ids], lambda a, b: (a ^ b).bit_count() <= 4)
+            roots = near(ids, [shingles(given[d]) for d in ids], lambda a, b: alike(a, b) >= 0.8)
             assert got == {d: given[d] for d in set(roots)} and len(got) < len(given)
         elif number == 4:
             first = {}

@@ -35,13 +35,14 @@ def odd_texts(n, seed=1):
 
 
 @pytest.mark.parametrize("path, cut", [(WORDS, "words"), (BYTES, "bytes"), (BYTES, "whole")])
-def test_units_give_the_librarys_ids(path, cut, monkeypatch):
-    encode, plain = Encoder(path, cut), library(path)
+def test_units_give_the_librarys_ids(path, cut):
+    plain = library(path)
     texts = odd_texts(1500) + [t or "" for _, t in corpus()]
     for kept in (1_000_000, 0):  # with and without room for units
-        monkeypatch.setattr("tidemark.llm.tokens.KEPT_UNITS", kept)
-        for text, ids in zip(texts, encode.encode(texts)):
-            assert ids.tolist() == plain(text), repr(text)
+        encode = Encoder(path, cut, kept)
+        for part in (texts[:800], texts[400:1200], texts):
+            for text, ids in zip(part, encode.encode(part)):
+                assert ids.tolist() == plain(text), repr(text)
 
 
 def test_slices():

@@ -14,10 +14,11 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tokens import encoder, slices
+from tidemark.llm.tokens import KEPT_UNITS, encoder, slices
 from tidemark.session import local_rows, settle
 
 ENCODED = "doc_id bigint, part int, before bigint, doc_tokens bigint, ids binary"
@@ -25,7 +26,7 @@ PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tok
           "boundary boolean, ids binary")
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, cut: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer: str, cut: str, end_id: int, id_col: str, text_col: str, kept_units: int = KEPT_UNITS) -> DataFrame:
     """doc_id, part, before (ids before it in the partition), doc_tokens, ids (little-endian unsigned 32-bit); stored."""
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
@@ -34,11 +35,11 @@ def encode_documents(docs: DataFrame, tokenizer: str, cut: str, end_id: int, id_
 
         part, before = TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4")
-        encode = encoder(tokenizer, cut)
+        encode = encoder(tokenizer, cut, kept_units)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in slices([len(t) for t in texts]):
-                arrays = [np.concatenate([ids.astype("<u4"), end]) for ids in encode.encode(texts[a:b])]
+            texts = batch.column("text")
+            for a, b in slices(pc.utf8_length(texts).to_pylist()):
+                arrays = [np.concatenate([ids.astype("<u4"), end]) for ids in encode.encode(texts.slice(a, b - a).to_pylist())]
                 sizes = np.array([len(x) for x in arrays], np.int64)
                 ends = before + np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays([
@@ -59,14 +60,15 @@ def with_starts(encoded: DataFrame) -> DataFrame:
     return encoded.join(F.broadcast(bases), "part").withColumn("begin", F.col("base") + F.col("before"))
 
 
-def pack(docs: DataFrame, tokenizer: str, cut: str, end_id: int, window: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, cut: str, end_id: int, window: int = 1024, id_col: str = "doc_id", text_col: str = "text",
+         kept_units: int = KEPT_UNITS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, boundary, ids.
 
     A document is the ids of its whole text and ``end_id``; a null or empty text is ``end_id`` alone. Pieces of one sequence follow each other
     from offset 0 without gaps; only the last sequence can have less than ``window`` ids. ``boundary`` says that the document goes on in another
-    sequence. Rows of equal id, or a null id, are separate documents. An empty table gives no rows. Other columns are not read.
+    sequence. ``kept_units`` bounds what a worker remembers (see ``tokens``). Rows of equal id, or a null id, are separate documents. An empty table gives no rows. Other columns are not read.
     """
-    placed = with_starts(encode_documents(docs, tokenizer, cut, end_id, id_col, text_col)).select("doc_id", "begin", "doc_tokens", "ids")
+    placed = with_starts(encode_documents(docs, tokenizer, cut, end_id, id_col, text_col, kept_units)).select("doc_id", "begin", "doc_tokens", "ids")
 
     def cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -11,12 +11,25 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+#: Rows, and bytes, of texts that Spark hands to a Python worker at a time: whole documents are large rows, and several workers share an executor's memory.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            small_batches(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
-        return fn
+        return run
 
     return register
 

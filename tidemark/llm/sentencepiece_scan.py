@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.rows import keyed, whole_row
-from tidemark.llm.tokens import KEPT_UNITS, slices
+from tidemark.llm.tokens import KEPT_UNITS, Memo, slices
 from tidemark.session import settle
 
 BLANK = "▁"
@@ -53,7 +53,7 @@ class Pieces:
             self.surface[i] = bytes([b])
         # No piece holds a blank mark after another character.
         self.blank_first = not any(BLANK in p.lstrip(BLANK) for p in self.ids)
-        self.kept: dict[str, np.ndarray] = {}
+        self.memo = Memo(self.unit, KEPT_UNITS // 2)
         self.merged = lru_cache(200_000)(self._merged)
 
     def _merged(self, text: str) -> tuple[str, ...]:
@@ -100,11 +100,12 @@ class Pieces:
     def normal(self, text: str) -> str:
         return self.library.normalize(text)
 
-    def unit(self, units: list[str]) -> list[np.ndarray]:
+    def unit(self, units: set[str]) -> dict[str, bytes]:
         """Ids of whole units by the library. A line feed in front, which is no piece, keeps its own blank mark away."""
+        units = list(units)
         found = self.library.encode(["\n" + u.replace(BLANK, " ") for u in units], num_threads=1)
         skip = len(self.library.encode("\n"))
-        return [np.array(ids[skip:], "<u4") for ids in found]
+        return {u: np.array(ids[skip:], "<u4").tobytes() for u, ids in zip(units, found)}
 
     def units(self, text: str) -> list[str]:
         """Whole units of a normalised text, cut at its line feeds and where a blank mark follows another character."""
@@ -122,15 +123,7 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of normalised texts that begin and end at boundaries."""
-        cut = [self.units(t) for t in texts]
-        known = self.kept
-        fresh = list({u for units in cut for u in units if u not in known})
-        added = dict(zip(fresh, self.unit(fresh))) if fresh else {}
-        if len(known) + len(added) <= KEPT_UNITS:
-            known.update(added)
-            added = known
-        empty = np.zeros(0, "<u4")
-        return [np.concatenate([known[u] if u in known else added[u] for u in units]) if units else empty for units in cut]
+        return [np.frombuffer(ids, "<u4") for ids in self.memo.join([self.units(t) for t in texts])]
 
     def decode(self, ids: np.ndarray) -> str:
         body = b"".join(map(self.surface.__getitem__, ids.tolist()))

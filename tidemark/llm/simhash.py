@@ -57,7 +57,7 @@ def masks() -> list[int]:
     return out
 
 
-def in_chain(difference: np.ndarray) -> np.ndarray:
+def in_chain(difference: np.ndarray, bits: int = BITS) -> np.ndarray:
     """Whether some chain of segments stays within its budgets. ``difference``: exclusive or of two fingerprints."""
     counts = np.stack([np.bitwise_count(difference & np.uint64(m)) for m in SEGMENTS]).astype(np.int64)
     found = np.zeros(difference.shape, bool)
@@ -65,14 +65,14 @@ def in_chain(difference: np.ndarray) -> np.ndarray:
         total, within = np.zeros(difference.shape, np.int64), np.ones(difference.shape, bool)
         for n in range(5):
             total += counts[(i + n) % 5]
-            within &= 5 * total <= BITS * (n + 1)
+            within &= 5 * total <= bits * (n + 1)
         found |= within
     return found
 
 
-def linked(difference: np.ndarray) -> np.ndarray:
-    out = in_chain(difference)
-    out[out] = np.bitwise_count(difference[out]) <= BITS
+def linked(difference: np.ndarray, bits: int = BITS) -> np.ndarray:
+    out = in_chain(difference, bits)
+    out[out] = np.bitwise_count(difference[out]) <= bits
     return out
 
 
@@ -109,21 +109,26 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle_words: int
     return rows.mapInArrow(compute, "id bigint, fp bigint")
 
 
-def _forest(fps: np.ndarray, nodes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Edges (node, node) that connect what is linked: each search from a fingerprint looks only at those not yet reached."""
-    left = np.arange(len(fps))
+def _forest(fps: np.ndarray, nodes: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Edges (node, node) that connect what is linked: each search from a fingerprint looks only at those not yet reached.
+
+    The first search begins in the middle, at the fingerprint that differs least from the majority of all bits.
+    """
+    bits = np.unpackbits(fps.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    majority = np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(fps), bitorder="little").view("<u8")[0]
+    left = np.argsort(np.bitwise_count(fps ^ majority), kind="stable")
     while len(left) > 1:
         found, left = [left[0]], left[1:]
         while found and len(left):
             at = found.pop()
-            near = linked(fps[left] ^ fps[at])
+            near = linked(fps[left] ^ fps[at], limit)
             reached, left = left[near], left[~near]
             if len(reached):
                 yield np.full(len(reached), nodes[at]), nodes[reached]
                 found += reached.tolist()
 
 
-def _edges(keys: np.ndarray, fps: np.ndarray, nodes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _edges(keys: np.ndarray, fps: np.ndarray, nodes: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Edges within runs of equal key; whole runs only."""
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.append(starts, len(keys)))
@@ -132,20 +137,20 @@ def _edges(keys: np.ndarray, fps: np.ndarray, nodes: np.ndarray) -> Iterator[tup
         at = np.flatnonzero(small[:-step] & (keys[:-step] == keys[step:]))
         if not len(at):
             break
-        at = at[linked(fps[at] ^ fps[at + step])]
+        at = at[linked(fps[at] ^ fps[at + step], limit)]
         if len(at):
             yield nodes[at], nodes[at + step]
     for start, size in zip(starts[sizes > _SMALL], sizes[sizes > _SMALL]):
-        yield from _forest(fps[start : start + size], nodes[start : start + size])
+        yield from _forest(fps[start : start + size], nodes[start : start + size], limit)
 
 
-def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _stream(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     """Edges of a partition sorted by key. Holds one run and one batch; a run has 2 BLOCK rows at most."""
     held = [np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)]
 
     def out(columns) -> Iterator[pa.RecordBatch]:
         if len(columns[0]):
-            for a, b in _edges(*columns):
+            for a, b in _edges(*columns, limit):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     for batch in batches:
@@ -157,11 +162,15 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out(held)
 
 
-def fingerprint_edges(nodes: DataFrame) -> DataFrame:
-    """a, b: edges that connect linked fingerprints. ``nodes``: node, fp, one row per fingerprint."""
+def fingerprint_edges(nodes: DataFrame, shared: list[int] | None = None, limit: int = BITS, view: str | None = None) -> DataFrame:
+    """a, b: edges that connect fingerprints of at most ``limit`` different bits that agree in one of the masks ``shared`` (``masks()``: all of up to 4 bits).
+
+    ``nodes``: node, fp, one row per fingerprint; and the column ``view`` if there are fingerprints of several kinds, which are not compared with each other.
+    """
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks()]
-    keys = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(signed)])
+    signed = [m - (1 << 64) if m >> 63 else m for m in shared or masks()]
+    kind = [F.col(view)] if view else []
+    keys = F.array(*[F.xxhash64(*kind, F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(signed)])
     rows = nodes.select(F.explode(keys).alias("key"), "fp", "node")
     # Buckets of very many different fingerprints: n rows in n / BLOCK blocks, each pair of blocks in a cell of its own.
     counts = settle(rows.groupBy("key").count().where(F.col("count") > BLOCK), "large-buckets")
@@ -171,7 +180,7 @@ def fingerprint_edges(nodes: DataFrame) -> DataFrame:
         large = F.broadcast(large) if n_large <= 100_000 else large
         cells = F.expr("""transform(sequence(0, blocks - 1), i -> xxhash64(key, least(i, pmod(xxhash64(fp, key), blocks)), greatest(i, pmod(xxhash64(fp, key), blocks))))""")
         rows = rows.join(large, "key", "left").select(F.explode(F.coalesce(F.when(F.col("blocks").isNotNull(), cells), F.array("key"))).alias("key"), "fp", "node")
-    return rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_stream, "a bigint, b bigint")
+    return rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lambda batches: _stream(batches, limit), "a bigint, b bigint")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4) -> DataFrame:
@@ -188,11 +197,3 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = components(fingerprint_edges(nodes))
     labelled = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
     return prints.join(labelled, "fp").select("id", "fp", "component")
-
-
-def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5) -> DataFrame:
-    """``docs`` with one document of each component: the one whose id is the component's."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    kept = simhash_components(docs, id_col, text_col, shingle_words).where(F.coalesce("id", F.lit(2**63 - 1)) == F.col("component")).select("id").distinct()
-    whole = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("tie"), row)
-    return whole.join(kept, F.coalesce(whole["id"], F.lit(2**63 - 1)) == F.coalesce(kept["id"], F.lit(2**63 - 1)), "left_semi").select("row.*")

@@ -43,7 +43,7 @@ class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = found = xxhash.xxh64_intdigest(word)
         return found

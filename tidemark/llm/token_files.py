@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,10 +67,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, cut: str, end_
                 return len(ids) - cut_at
 
             for batch in batches:
-                texts = batch.column("text").to_pylist()
+                texts = batch.column("text")
                 own = batch.column("id").to_pylist()
-                for a, b in slices([len(t) for t in texts]):
-                    for doc, ids in zip(own[a:b], encode.encode(texts[a:b])):
+                for a, b in slices(pc.utf8_length(texts).to_pylist()):
+                    for doc, ids in zip(own[a:b], encode.encode(texts.slice(a, b - a).to_pylist())):
                         waiting += [ids.astype(np.uint64), np.array([end_id], np.uint64)]
                         doc_table.append((doc or 0, doc is None, len(ids) + 1))
                         size += len(ids) + 1

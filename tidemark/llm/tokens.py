@@ -16,11 +16,11 @@ library spends more on a call than on a word. A full stop or comma behind letter
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
-#: Units that a worker keeps. Beyond it, units are encoded once per slice of texts.
+#: Units that a worker keeps: those that it has met in two slices of texts. Others are encoded once per slice.
 KEPT_UNITS = 1_000_000
 #: Code points of text that are encoded together.
 SLICE = 2_000_000
@@ -46,7 +46,41 @@ def _whole(text: str) -> list[str]:
 
 
 _CUTS = {"words": _words, "bytes": _bytes, "whole": _whole}
-_MADE: dict[tuple[str, str], "Encoder"] = {}
+_MADE: dict[tuple[str, str, int], "Encoder"] = {}
+
+
+class Memo:
+    """Ids (bytes) of units, kept from slice to slice if they come again; most different units never do."""
+
+    _now: list["Memo"] = []
+
+    def __init__(self, make: Callable[[set[str]], dict[str, bytes]], most: int):
+        self.make, self.most = make, most
+        self.kept: dict[str, bytes] = {"": b""}
+        self.met = bytearray(1 << 22)
+
+    def join(self, cut: list[list[str]]) -> list[bytes]:
+        """The ids of each list of units, one after the other."""
+        if Memo._now != [self]:
+            # One memo per worker: what an earlier operator has left is given up.
+            for other in Memo._now:
+                other.kept = {"": b""}
+            Memo._now[:] = [self]
+        known, met, last = self.kept, self.met, len(self.met) - 1
+        fresh = set().union(*cut).difference(known)
+        added = self.make(fresh) if fresh else {}
+        room = self.most - len(known)
+        known.update(added)
+        get = known.__getitem__
+        out = [b"".join(map(get, units)) for units in cut]
+        for unit in added:
+            at = hash(unit) & last
+            if met[at] and room > 0:
+                room -= 1
+            else:
+                met[at] = 1
+                del known[unit]
+        return out
 
 
 #: Below this code point, letters stay letters when they are normalised and put in lower case.
@@ -57,7 +91,7 @@ _TOGETHER = 500
 class Encoder:
     """Texts to ids (arrays)."""
 
-    def __init__(self, path: str, cut: str):
+    def __init__(self, path: str, cut: str, kept_units: int = KEPT_UNITS):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,7 +101,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.how = cut
         self.cut = _CUTS[cut]
-        self.kept: dict[str, bytes] = {"": b""}
+        self.memo = Memo(self._fresh, kept_units)
         vocabulary = self.tokenizer.get_vocab()
         size = max(vocabulary.values()) + 1
         self.kind = np.dtype("<u2") if size <= 65536 else np.dtype("<u4")
@@ -123,7 +157,7 @@ class Encoder:
         for u in units:
             root, mark = (u[:-1], u[-1]) if u[-1] in ".," and u[-2:-1].isalpha() and u[-2] < _SIMPLE else (u, "")
             roots[u] = (root.lower() if lower and root.isascii() else root, mark)
-        known = self.kept
+        known = self.memo.kept
         made = self._words(list({r for r, _ in roots.values() if r not in known}))
         marks = self.marks
         out = {}
@@ -134,25 +168,15 @@ class Encoder:
         return made
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.cut(t) for t in texts]
-        known = self.kept
-        fresh = set().union(*cut).difference(known)
-        added = self._fresh(fresh) if fresh else {}
-        full = len(known) + len(added) > KEPT_UNITS
-        known.update(added)
-        get = known.__getitem__
-        out = [np.frombuffer(b"".join(map(get, units)), self.kind) for units in cut]
-        if full:
-            for unit in added:
-                del known[unit]
-        return out
+        return [np.frombuffer(ids, self.kind) for ids in self.memo.join([self.cut(t) for t in texts])]
 
 
-def encoder(path: str, cut: str) -> Encoder:
+def encoder(path: str, cut: str, kept_units: int = KEPT_UNITS) -> Encoder:
     """One per worker process, kept from task to task."""
-    if (path, cut) not in _MADE:
-        _MADE[path, cut] = Encoder(path, cut)
-    return _MADE[path, cut]
+    key = (path, cut, kept_units)
+    if key not in _MADE:
+        _MADE[key] = Encoder(*key)
+    return _MADE[key]
 
 
 def slices(sizes: list[int], most: int = SLICE) -> Iterator[tuple[int, int]]:
