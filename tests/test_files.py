@@ -151,12 +151,25 @@ def test_archives_with_parts(spark, tmp_path, rows):
 
 
 def test_reassemble(spark, rows):
-    parts = spark.createDataFrame([("a", 2, "y"), ("a", 10, "z"), ("a", 1, "x"), ("b", 1, "q")], "name string, filepart int, data string")
+    parts = spark.createDataFrame([("a", 2, "y"), ("a", 3, "z"), ("a", 1, "x"), ("b", 1, "q")], "name string, filepart int, data string")
     assert rows(listing.reassemble_parts(parts)) == [("a", "xyz"), ("b", "q")]
     raw = parts.withColumn("data", F.col("data").cast("binary"))
     assert rows(listing.reassemble_parts(raw))[0] == ("a", b"xyz")
 
 
+@pytest.mark.parametrize("numbers", [(1, 3), (2, 3), (1, 1, 2)])
+def test_missing_or_repeated_parts_are_errors(spark, numbers):
+    parts = spark.createDataFrame([("a", n, "x") for n in numbers], "name string, filepart int, data string")
+    with pytest.raises(Exception, match="missing or repeated"):
+        listing.reassemble_parts(parts).collect()
+
+
+def test_listing_scan(spark, tmp_path):
+    (tmp_path / "l.json").write_text('{"name": "a", "extract_type": "full", "stop_time": "2025", "record_count": 3, "filepart_details": [{"name": "p", "filepart": 1}]}\n')
+    row = listing.scan_listing(spark, str(tmp_path / "l.json")).first()
+    assert row.record_count == 3 and row.filepart_details[0].filepart == 1 and row.size is None
+
+
 def test_pick_latest(spark):
     ddl = "name string, extract_type string, start_time string, stop_time string, record_count bigint"
     data = [("a", "full", "2025-01-01", "2025-01-02", 5), ("b", "incremental", "2025-01-02", "2025-01-03", 2),

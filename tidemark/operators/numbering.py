@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import local_rows, settle
 
@@ -102,11 +103,13 @@ def max_rows(df: DataFrame, order: Sequence[str | Column], limit: int) -> DataFr
 def page(df: DataFrame, order: Sequence[str | Column], size: int, offset: int = 0) -> DataFrame:
     """Rows ``offset`` to ``offset + size`` in ``order``.
 
+    Rows that ``order`` does not tell apart follow in the order of their other columns, so every page is certain.
     Near the start this is a top-k per task. A deep page is cut out of the globally numbered rows
     instead, because a top-k would carry all skipped rows to one task.
     """
     if size < 0 or offset < 0:
         raise ValueError("page size and offset must not be negative")
+    order = [*order, *[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]]
     if size + offset <= SHALLOW_PAGE:
         return df.orderBy(*order).offset(offset).limit(size) if offset else df.orderBy(*order).limit(size)
     placed = number_rows(df, order, "__row")

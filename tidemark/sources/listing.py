@@ -13,6 +13,7 @@ from tidemark.operators.change import conform
 from tidemark.sources.files import scan_csv, scan_parquet
 from tidemark.sources.model import (
     EXTRACT_KINDS,
+    LISTING_SCHEMA,
     MANIFEST_FILE,
     MANIFEST_SCHEMA,
     METADATA_EXTRACT,
@@ -84,12 +85,22 @@ def extracts_in_order(listing: DataFrame, kind: str) -> DataFrame:
 
 
 def reassemble_parts(parts: DataFrame, name: str = "name", part: str = "filepart", data: str = "data") -> DataFrame:
-    """Objects put together from their numbered parts. One object is one value; for archives larger
-    than a value use the archive source, which streams the parts in order."""
+    """Objects put together from their parts, numbered from 1; a missing or repeated part is an error.
+
+    One object is one value; for archives larger than a value use the archive source, which streams the parts in order.
+    """
     listed = parts.groupBy(name).agg(F.array_sort(F.collect_list(F.struct(part, data))).alias("__parts"))
+    numbers = F.transform("__parts", lambda p: p[part].cast("bigint"))
+    whole = numbers == F.sequence(F.lit(1).cast("bigint"), F.size("__parts").cast("bigint"))
     pieces = F.transform("__parts", lambda p: p[data])
     if isinstance(parts.schema[data].dataType, T.BinaryType):
-        joined = F.aggregate(pieces, F.lit(b""), lambda a, b: F.concat(a, b))
+        joined = F.unhex(F.array_join(F.transform(pieces, F.hex), ""))
     else:
         joined = F.array_join(pieces, "")
-    return listed.select(name, joined.alias(data))
+    missing = F.raise_error(F.concat(F.lit("parts are missing or repeated of "), F.col(f"`{name}`").cast("string")))
+    return listed.select(name, F.when(whole, joined).otherwise(missing).alias(data))
+
+
+def scan_listing(spark: SparkSession, path: str, parquet: bool = False) -> DataFrame:
+    """The stored extract listing, one JSON object per line or Parquet."""
+    return spark.read.schema(LISTING_SCHEMA).parquet(path) if parquet else spark.read.schema(LISTING_SCHEMA).json(path)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -38,11 +40,13 @@ def stream_table(
         token = f"{checkpoint}#{batch_id}"
         if target._must(table).applied == token:
             return
-        latest = Window.partitionBy(*keys).orderBy(F.col(order).desc())
-        rows = batch.distinct().withColumn("__rank", F.rank().over(latest)).where("__rank = 1").drop("__rank")
-        stored = settle(rows, "stream")
-        target.change(table, stored, None, keys, applied=token)
-        release(stored)
+        # The latest time of each key is found before the shuffle; a hot key's rows are never brought together.
+        stored = settle(batch.distinct(), "stream")
+        latest = stored.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.max(order).alias("__latest"))
+        newest = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], F.col(order).eqNullSafe(F.col("__latest")))
+        rows = settle(stored.join(latest, newest, "left_semi"), "stream")
+        target.change(table, rows, None, keys, applied=token)
+        release(stored, rows)
 
     return (
         changes.writeStream.foreachBatch(apply)
