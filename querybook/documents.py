@@ -9,7 +9,7 @@ from querybook.registry import query, read
 from tidemark.functions import names
 from tidemark.operators import documents as docs
 from tidemark.operators import numbering, nest
-from tidemark.plans.documents import write_contents, write_texts
+from tidemark.plans.documents import write_contents, write_objects, write_texts
 from tidemark.session import scratch_path
 
 
@@ -204,3 +204,13 @@ def _staging(spark, sf):
     rows = read(spark, sf, "pages").select(
         "page_id", F.concat(F.regexp_replace("url", "^https?:/", ""), F.lit(" ~*")).alias("file"), F.startswith("url", F.lit("https")).alias("sees_all"))
     return rows.select("page_id", names.staging_path("file", "page_id", F.col("sees_all")).alias("staged_at"))
+
+
+@query("doc_objects_written", "SELECT doc_id, text FROM documents")
+def _objects(spark, sf):
+    """Each document as one stored object, read back by its path."""
+    out = scratch_path(spark, "objects")
+    documents = read(spark, sf, "documents")
+    write_objects(documents.select(F.concat(F.lit("d/"), "doc_id", F.lit(".txt")).alias("path"), F.col("text").alias("content")), out)
+    stored = spark.read.format("binaryFile").load(f"{out}/d")
+    return stored.select(F.regexp_extract("path", r"(\d+)\.txt$", 1).cast("bigint").alias("doc_id"), F.col("content").cast("string").alias("text"))

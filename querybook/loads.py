@@ -14,7 +14,7 @@ from tidemark.plans.loads import apply_incremental, load_full, load_log
 from tidemark.plans.target import Target
 from tidemark.session import scratch_path
 from tidemark.sources.files import write_csv
-from tidemark.streaming.incremental import stream_table
+from tidemark.streaming.incremental import stream_extracts, stream_table
 
 
 @query("full_load", """
@@ -155,3 +155,36 @@ def _dictionary_files(spark, sf):
         counted = rows.agg(*[F.count(f"`{c}`").alias(f"n{i}") for i, c in enumerate(rows.columns)])
         shown.append(counted.select(F.lit(table).alias("table_name"), F.inline(columns)))
     return reduce(DataFrame.unionByName, shown)
+
+
+@query("composite_key_deletes", """
+SELECT l_orderkey::VARCHAR AS object, l_linenumber::VARCHAR AS object_field, l_returnflag AS picklist_value_name, l_quantity AS quantity FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM lineitem d WHERE d.l_linestatus = 'F' AND d.l_orderkey = l.l_orderkey AND d.l_linenumber = l.l_linenumber AND d.l_returnflag = l.l_returnflag)""")
+def _composite_deletes(spark, sf):
+    """Row deletes of the table that is keyed by three columns, as part of an incremental load."""
+    lines = read(spark, sf, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("object"), F.col("l_linenumber").cast("string").alias("object_field"), F.col("l_returnflag").alias("picklist_value_name"),
+        F.col("l_quantity").alias("quantity"), "l_linestatus")
+    store = Target(spark, scratch_path(spark, "composite"))
+    load_full(spark, write_extract(spark, sf, "composite-1", "full", {"Picklist.picklist__sys": lines.drop("l_linestatus")}), store)
+    gone = lines.where("l_linestatus = 'F'").select("object", "object_field", "picklist_value_name").withColumn("deleted_date", F.lit("2025-01-02T00:00Z"))
+    apply_incremental(spark, write_extract(spark, sf, "composite-2", "incremental", {}, {"Picklist.picklist__sys_deletes": gone}), store)
+    return store.read("picklist__sys").select("object", "object_field", "picklist_value_name", F.col("quantity").cast("double").alias("quantity"))
+
+
+@query("stream_extracts_deletes", f"""WITH {ROLES_SQL}
+SELECT o_orderkey AS id, o_totalprice FROM t WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.o_orderkey = t.o_orderkey) AND NOT EXISTS (SELECT 1 FROM u WHERE u.o_orderkey = t.o_orderkey)
+UNION ALL SELECT o_orderkey, o_totalprice FROM u WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.o_orderkey = u.o_orderkey)""")
+def _stream_extracts(spark, sf):
+    """Two whole extracts land: one with updates, one with deletes."""
+    shown = lambda df: df.select(F.col("o_orderkey").alias("id"), "o_totalprice")
+    store = Target(spark, scratch_path(spark, "stream-extracts"))
+    rows = shown(target(spark, sf))
+    store.create("orders", rows.schema, ["id"])
+    store.append("orders", rows)
+    landing = stored_input(spark, sf, "stream-landing", lambda: scratch_path(spark, "landing"))
+    write_extract(spark, sf, "stream-1", "incremental", {"Object.orders": shown(updates(spark, sf))}, landing=landing)
+    gone = deletes(spark, sf).select(F.col("o_orderkey").alias("id"), F.lit("2025-01-02T00:00Z").alias("deleted_date"))
+    write_extract(spark, sf, "stream-2", "incremental", {}, {"Object.orders_deletes": gone}, landing=landing)
+    stream_extracts(spark, landing, store, scratch_path(spark, "checkpoint")).awaitTermination()
+    return store.read("orders")

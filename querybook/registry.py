@@ -88,15 +88,15 @@ MANIFEST_DDL = "extract string, extract_label string, type string, records bigin
 
 def write_extract(
     spark: SparkSession, sf_dir: str, label: str, kind: str, updates: dict[str, DataFrame],
-    deletes: dict[str, DataFrame] | None = None, dictionary_updates: list[tuple] | None = None,
+    deletes: dict[str, DataFrame] | None = None, dictionary_updates: list[tuple] | None = None, landing: str | None = None,
 ) -> str:
-    """Store an extract folder; returns its path."""
-    return stored_input(spark, sf_dir, f"extract-{label}", lambda: _write_extract(spark, kind, updates, deletes, dictionary_updates))
+    """Store an extract folder, in ``landing`` if given; returns its path."""
+    return stored_input(spark, sf_dir, f"extract-{label}", lambda: _write_extract(spark, kind, updates, deletes, dictionary_updates, landing and f"{landing}/{label}"))
 
 
-def _write_extract(spark, kind, updates, deletes, dictionary_updates) -> str:
+def _write_extract(spark, kind, updates, deletes, dictionary_updates, folder=None) -> str:
     """Data files, dictionary and, last, the manifest."""
-    folder = scratch_path(spark, f"extract-{kind}")
+    folder = folder or scratch_path(spark, f"extract-{kind}")
     manifest, dictionary = [], []
     for extract, df in updates.items():
         file = extract.replace(".", "/") + ".csv"

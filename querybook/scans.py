@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from querybook.registry import as_csv, dictionary_rows, plain_times, query, read, stored_input
+from querybook.registry import DICTIONARY_DDL, as_csv, dictionary_rows, plain_times, query, read, stored_input
 from tidemark.functions import clean as c
 from tidemark.operators.change import append, conform
 from tidemark.functions.clean import clean
 from tidemark.operators.dictionary import number_kinds, schema_from_metadata
+from tidemark.plans.extracts import latest_archive, unpack
 from tidemark.plans.target import Target
 from tidemark.session import scratch_path, settle
 from tidemark.sources import archive, files, listing
+from tidemark.sources.model import LISTING_SCHEMA
 
 
 def typed_scan(spark, df, path, numeric="infer", landed=False):
@@ -260,3 +262,35 @@ def _parts(spark, sf):
     parts = documents.select("doc_id", F.explode(F.transform(numbers, lambda i: F.struct(
         (i + 1).alias("filepart"), F.substring(F.col("text"), i * 1000 + 1, F.lit(1000)).alias("data")))).alias("p"))
     return listing.reassemble_parts(parts.select("doc_id", "p.*"), "doc_id").withColumnRenamed("data", "text")
+
+
+@query("archives_unpacked", "SELECT * FROM customer")
+def _unpack(spark, sf):
+    """Several archives of one member and one of the dictionary, picked from a listing with their parts, to typed files."""
+    customer = read(spark, sf, "customer")
+
+    def pack() -> str:
+        out = scratch_path(spark, "archive-set")
+        archive.pack_archives(customer.repartition(4, "c_custkey"), "Object/customer.csv", f"{out}/rows").collect()
+        words = spark.createDataFrame(dictionary_rows(customer, "Object.customer"), DICTIONARY_DDL).coalesce(1)
+        archive.pack_archives(words, "Metadata/metadata.csv", f"{out}/words").collect()
+        return out
+
+    path = stored_input(spark, sf, "archive-set", pack)
+    packed = archive.archive_parts(spark, f"{path}/rows") + archive.archive_parts(spark, f"{path}/words")
+    picked = []
+    for name, parts in packed:
+        details = [(name, part.rsplit("/", 1)[1], number, None, None) for number, part in enumerate(parts, 1)]
+        listed = spark.createDataFrame([(name, name, "full_directdata", "2025-01-01", "2025-01-02", 1, 1, len(parts), details)], LISTING_SCHEMA)
+        picked += latest_archive(listed, "full_directdata", parts[0].rsplit("/", 1)[0])
+    made = unpack(spark, picked, scratch_path(spark, "clean")).where("member = 'Object/customer.csv'").first()
+    if made["records"] != customer.count():
+        raise AssertionError("records were lost")
+    return conform(files.scan_parquet(spark, made["file"]), customer.schema)
+
+
+@query("invalid_bytes", "SELECT doc_id, text || chr(65533) || 'x' AS text FROM documents")
+def _invalid(spark, sf):
+    """A byte that is no UTF-8 behind every text."""
+    broken = F.concat(F.encode("text", "UTF-8"), F.lit(bytearray(b"\xffx")))
+    return read(spark, sf, "documents").select("doc_id", c.replace_invalid(broken).alias("text"))
