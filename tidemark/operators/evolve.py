@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,20 +53,25 @@ def schema_diff(existing: DataFrame, incoming: DataFrame, allow_to_string: bool
         "table_name", F.lower("column_name").alias("column_name"), spark_type_name(number=number).alias("new_type")
     )
     both = old.join(new, ["table_name", "column_name"], "full")
-    retyped = F.col("new_type") != F.col("old_type")
-    if not allow_to_string:
-        retyped = retyped & (F.col("new_type") != "string")
-    # A Number is planned as ``number``; a column already loaded as long, double or decimal stays.
-    numeric = (F.col("new_type") == number) & (F.col("old_type").isin("bigint", "double") | F.col("old_type").startswith("decimal"))
     action = (
         F.when(F.col("old_type").isNull(), "add")
         .when(F.col("new_type").isNull(), "keep")
-        .when(retyped & ~numeric, "modify")
+        .when(_retyped(allow_to_string, number), "modify")
         .otherwise("keep")
     )
     return both.select("table_name", "column_name", "old_type", "new_type", action.alias("action"))
 
 
+def _retyped(allow_to_string: bool, number: str) -> Column:
+    """Whether a column's ``old_type`` gives way to its ``new_type``."""
+    retyped = F.col("new_type") != F.col("old_type")
+    if not allow_to_string:
+        retyped = retyped & (F.col("new_type") != "string")
+    # A Number is planned as ``number``; a column already loaded as long, double or decimal stays.
+    numeric = (F.col("new_type") == number) & (F.col("old_type").isin("bigint", "double") | F.col("old_type").startswith("decimal"))
+    return retyped & ~numeric
+
+
 def change_plan(
     updates: DataFrame, deletes: DataFrame, existing: DataFrame, allow_to_string: bool = False, number: str = "double"
 ) -> DataFrame:
@@ -75,29 +80,31 @@ def change_plan(
     Deleting a table's ``id`` drops the table, other columns are dropped one by one. Updates then
     create tables that do not exist and add or retype columns of the others. ``number`` is the type of new Number columns.
     """
-    lowered = deletes.select("table_name", F.lower("column_name").alias("column_name")).distinct()
-    whole = lowered.where("column_name = 'id'").select("table_name")
     none = F.lit(None).cast("string")
-    dropped_columns = lowered.join(whole, "table_name", "left_anti")
-    drops = whole.select(F.lit(STEP_DELETES).alias("step"), "table_name", F.lit("drop_table").alias("action"),
-                         none.alias("column_name"), none.alias("type"))
-    column_drops = dropped_columns.select(F.lit(STEP_DELETES).alias("step"), "table_name",
-                                          F.lit("drop_column").alias("action"), "column_name", none.alias("type"))
-
-    left = existing.select("table_name", F.lower("column_name").alias("column_name"), "type")
-    left = left.join(whole, "table_name", "left_anti").join(dropped_columns, ["table_name", "column_name"], "left_anti")
-    tables = existing.select("table_name").distinct().join(whole, "table_name", "left_anti")
-    wanted = updates.select("table_name", F.lower("column_name").alias("column_name"), "type").distinct()
-    created = wanted.join(tables, "table_name", "left_anti")
-    create = created.select(F.lit(STEP_UPDATES).alias("step"), "table_name", F.lit("create_table").alias("action"),
-                            "column_name", spark_type_name(number=number).alias("type"))
-    changed = schema_diff(left, wanted.join(tables, "table_name", "left_semi"), allow_to_string, number)
-    alter = changed.where("action <> 'keep'").select(
-        F.lit(STEP_UPDATES).alias("step"), "table_name",
-        F.when(F.col("action") == "add", "add_column").otherwise("change_type").alias("action"),
-        "column_name", F.col("new_type").alias("type"),
+
+    def listed(rows: DataFrame, old: Column, new: Column, gone: bool) -> DataFrame:
+        return rows.select("table_name", F.lower("column_name").alias("column_name"), old.alias("old_type"), new.alias("new_type"), F.lit(gone).alias("gone"))
+
+    # Each list is read once: one row per column says what it is, what it is to be and whether it goes; one window, over the columns of a table, what becomes of the table.
+    lists = listed(existing, F.lower("type"), none, False).unionByName(listed(updates, none, spark_type_name(number=number), False)).unionByName(listed(deletes, none, none, True))
+    columns = lists.groupBy("table_name", "column_name").agg(F.max("old_type").alias("had"), F.max("new_type").alias("new_type"), F.max("gone").alias("gone"))
+    table = Window.partitionBy("table_name")
+    dropped = F.max(F.col("gone") & (F.col("column_name") == "id")).over(table)
+    rows = columns.withColumn("dropped", dropped).withColumn("exists", F.max(F.col("had").isNotNull()).over(table) & ~F.col("dropped"))
+    rows = rows.withColumn("old_type", F.when(~F.col("gone"), F.col("had")))
+
+    def step(number_: int, when: Column, action: str, column: Column = F.col("column_name"), kind: Column = none) -> Column:
+        return F.when(when, F.struct(F.lit(number_).alias("step"), F.lit(action).alias("action"), column.alias("column_name"), kind.alias("type")))
+
+    wanted, new = F.col("new_type").isNotNull(), F.col("new_type")
+    steps = F.array(
+        step(STEP_DELETES, F.col("gone") & (F.col("column_name") == "id"), "drop_table", none),
+        step(STEP_DELETES, F.col("gone") & ~F.col("dropped"), "drop_column"),
+        step(STEP_UPDATES, wanted & ~F.col("exists"), "create_table", kind=new),
+        step(STEP_UPDATES, wanted & F.col("exists") & F.col("old_type").isNull(), "add_column", kind=new),
+        step(STEP_UPDATES, wanted & F.col("exists") & _retyped(allow_to_string, number), "change_type", kind=new),
     )
-    return drops.unionByName(column_drops).unionByName(create).unionByName(alter)
+    return rows.select("table_name", F.explode(F.array_compact(steps)).alias("s")).select("s.step", "table_name", "s.action", "s.column_name", "s.type")
 
 
 def evolve(
