@@ -53,7 +53,7 @@ class Pieces:
             self.surface[i] = bytes([b])
         # No piece holds a blank mark after another character.
         self.blank_first = not any(BLANK in p.lstrip(BLANK) for p in self.ids)
-        self.memo = Memo(self.unit, KEPT_UNITS // 2)
+        self.memo = Memo(self.unit, KEPT_UNITS // 5)
         self.merged = lru_cache(200_000)(self._merged)
 
     def _merged(self, text: str) -> tuple[str, ...]:
