@@ -216,6 +216,8 @@ def detect(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             yield pd.DataFrame(out, columns=added)
 
     apply = F.pandas_udf(label, "lang_pred string, score double, lang_spans array<struct<start:int,end:int,lang:string>>", F.PandasUDFType.SCALAR_ITER)
+    # So that a filter on the result is not also evaluated below it, which would run the model twice.
+    apply = apply.asNondeterministic()
     return docs.select(whole_row(docs, added), apply(F.col(f"`{text_col}`")).alias("out")).select("row.*", "out.*")
 
 

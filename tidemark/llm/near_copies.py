@@ -113,7 +113,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct().join(groups, "node").select("node", "first.doc", "first.version")
     sets = settle(shingle_sets(texts, wanted, shingle_words), "shingle-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    measure = F.pandas_udf(_similarities, "double")
+    measure = F.pandas_udf(_similarities, "double").asNondeterministic()  # evaluated once, before the filter
     links = settle(both.select("a", "b", measure("x", "y").alias("similarity")).where(F.col("similarity") >= least).select("a", "b"), "near-links")
     found = groups.select("same", "node", F.col("first.doc").alias("doc")).join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = found.groupBy("component").agg(F.min("doc").alias("smallest"))
