@@ -55,6 +55,14 @@ def test_odd_csv_is_the_same_in_splits_and_archives(spark, tmp_path, rows, split
     assert rows(archive.member_table(records, "x.csv", names)) == want
 
 
+def test_compressed_csv(spark, tmp_path, rows, split_size):
+    import gzip
+
+    with gzip.open(tmp_path / "x.csv.gz", "wb") as out:
+        out.write(TEXT.encode())
+    assert rows(files.scan_csv(spark, str(tmp_path / "x.csv.gz"))) == WANT
+
+
 def test_open_quotes_and_other_headers_are_errors(spark, tmp_path, split_size):
     (tmp_path / "x.csv").write_bytes(b'a,b\n1,"x\n2,y\n3,z\n')
     with pytest.raises(Exception, match="left open"):

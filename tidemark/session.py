@@ -136,10 +136,12 @@ def files_at(spark: SparkSession, path: str) -> list[str]:
 
 
 def text_lines(spark: SparkSession, path: str) -> Iterator[bytes]:
-    """Lines of one file, read through the file system as far as they are taken."""
+    """Lines of one file, compressed or not, read through the file system as far as they are taken."""
     fs, jpath = _file_system(spark, path)
     jvm = spark.sparkContext._jvm
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(jpath), "UTF-8"))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(jpath)
+    stream = fs.open(jpath) if codec is None else codec.createInputStream(fs.open(jpath))
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
     try:
         while (line := reader.readLine()) is not None:
             yield line.encode("utf-8", "replace")
