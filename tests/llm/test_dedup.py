@@ -177,6 +177,33 @@ def test_near_copies(table):
     assert {number(r.doc_id) for r in kept.collect()} == {c for _, c in found}
 
 
+def test_near_copies_of_one_word_set(table):
+    """Many orders of the same words share all fingerprints; the copies among them are found."""
+    import random
+
+    rnd = random.Random(3)
+    vocabulary, rows = [f"w{i}" for i in range(150)], []
+    for i in range(70):
+        order = rnd.sample(vocabulary, 150)
+        rows.append((i, " ".join(order)))
+        if i % 10 == 3:
+            rows.append((100 + i, " ".join([*order[1:], order[0]])))
+    sets = [shingles(t) for _, t in rows]
+    roots = near([d for d, _ in rows], sets, lambda a, b: alike(a, b) >= 0.8)
+    found = sorted((r.doc, r.component) for r in near_copies.near_copies(table(rows)).collect())
+    assert found == sorted((d, c) for (d, _), c in zip(rows, roots)) and sum(d != c for d, c in found) == 7
+
+
+def test_pairs_of_groups():
+    """Small and large buckets give all pairs of different groups that sizes and places allow."""
+    rnd = np.random.default_rng(2)
+    rows = sorted((int(k), int(rnd.integers(0, 12)), n, int(rnd.integers(80, 130)), int(rnd.integers(0, 25))) for n, k in enumerate(np.repeat([3, 5, 9, 11], [5, 300, 48, 49])))
+    pairs = [p for a, b in near_copies._crossing([np.array(c) for c in zip(*rows)], 0.8) for p in zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())]
+    fits = lambda x, y: 9 * min(x[3] - x[4], y[3] - y[4]) >= 4 * (x[3] + y[3])
+    want = [(min(x[2], y[2]), max(x[2], y[2])) for i, x in enumerate(rows) for y in rows[i + 1 :] if x[0] == y[0] and x[1] != y[1] and fits(x, y)]
+    assert sorted(pairs) == sorted(want) and 0 < len(want) < 40_000
+
+
 def test_simhash_masks_and_chains():
     """Whatever 4 bits differ, some mask agrees and some chain holds."""
     rnd = np.random.default_rng(7)

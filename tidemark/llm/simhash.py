@@ -128,29 +128,29 @@ def _forest(fps: np.ndarray, nodes: np.ndarray, limit: int) -> Iterator[tuple[np
                 found += reached.tolist()
 
 
-def _edges(keys: np.ndarray, fps: np.ndarray, nodes: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Edges within runs of equal key; whole runs only."""
+def _edges(keys: np.ndarray, fps: np.ndarray, nodes: np.ndarray, limit: int, most: int = _SMALL) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Edges within runs of equal key; whole runs only. Runs of up to ``most`` give all pairs, larger ones a forest."""
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.append(starts, len(keys)))
-    small = np.repeat(sizes <= _SMALL, sizes)
-    for step in range(1, min(_SMALL, int(sizes.max()))):
+    small = np.repeat(sizes <= most, sizes)
+    for step in range(1, min(most, int(sizes.max()))):
         at = np.flatnonzero(small[:-step] & (keys[:-step] == keys[step:]))
         if not len(at):
             break
         at = at[linked(fps[at] ^ fps[at + step], limit)]
         if len(at):
             yield nodes[at], nodes[at + step]
-    for start, size in zip(starts[sizes > _SMALL], sizes[sizes > _SMALL]):
+    for start, size in zip(starts[sizes > most], sizes[sizes > most]):
         yield from _forest(fps[start : start + size], nodes[start : start + size], limit)
 
 
-def _stream(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+def _stream(batches: Iterator[pa.RecordBatch], limit: int, most: int) -> Iterator[pa.RecordBatch]:
     """Edges of a partition sorted by key. Holds one run and one batch; a run has 2 BLOCK rows at most."""
     held = [np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)]
 
     def out(columns) -> Iterator[pa.RecordBatch]:
         if len(columns[0]):
-            for a, b in _edges(*columns, limit):
+            for a, b in _edges(*columns, limit, most):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     for batch in batches:
@@ -162,10 +162,11 @@ def _stream(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Record
     yield from out(held)
 
 
-def fingerprint_edges(nodes: DataFrame, shared: list[int] | None = None, limit: int = BITS, view: str | None = None) -> DataFrame:
+def fingerprint_edges(nodes: DataFrame, shared: list[int] | None = None, limit: int = BITS, view: str | None = None, most: int = _SMALL) -> DataFrame:
     """a, b: edges that connect fingerprints of at most ``limit`` different bits that agree in one of the masks ``shared`` (``masks()``: all of up to 4 bits).
 
     ``nodes``: node, fp, one row per fingerprint; and the column ``view`` if there are fingerprints of several kinds, which are not compared with each other.
+    Buckets of up to ``most`` give all pairs, larger ones a spanning forest.
     """
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     signed = [m - (1 << 64) if m >> 63 else m for m in shared or masks()]
@@ -180,7 +181,7 @@ def fingerprint_edges(nodes: DataFrame, shared: list[int] | None = None, limit:
         large = F.broadcast(large) if n_large <= 100_000 else large
         cells = F.expr("""transform(sequence(0, blocks - 1), i -> xxhash64(key, least(i, pmod(xxhash64(fp, key), blocks)), greatest(i, pmod(xxhash64(fp, key), blocks))))""")
         rows = rows.join(large, "key", "left").select(F.explode(F.coalesce(F.when(F.col("blocks").isNotNull(), cells), F.array("key"))).alias("key"), "fp", "node")
-    return rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lambda batches: _stream(batches, limit), "a bigint, b bigint")
+    return rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lambda batches: _stream(batches, limit, most), "a bigint, b bigint")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4) -> DataFrame:
