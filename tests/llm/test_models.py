@@ -45,6 +45,20 @@ def test_spans_scripts_and_odd_rows(spark, sf):
     assert lang.detect(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"), nothing).first().lang_pred == "und"
 
 
+def test_scripts_of_no_learned_language(spark, sf):
+    """Their letters count as unlabelled, so that the pipeline's first stage drops texts that are mostly written so."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("lang in ('en', 'fr')").select(*corpus_pipeline.COLUMNS)
+    en = " ".join(docs.where("lang = 'en'").orderBy("doc_id").first().text.split()[:20])
+    letters = sum(c.isalpha() for c in en)
+    rows = [(9001, "世界你好"), (9002, "привет мир"), (9003, en + " " + "世" * 3 * letters), (9004, en + " " + "世" * letters)]
+    got = {r.doc_id: r for r in lang.detect(spark.createDataFrame(rows, "doc_id bigint, text string"), lang.train(docs)).collect()}
+    assert [got[i].score for i in (9001, 9002, 9003, 9004)] == pytest.approx([0, 0, 0.25, 0.5]) and got[9003].lang_pred == got[9004].lang_pred == "en"
+    added = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in rows], docs.schema)
+    assert [r.doc_id for r in corpus_pipeline.identify_language(spark, docs.unionByName(added), sf).where("doc_id > 9000").collect()] == [9004]
+
+
 def near_vectors(n, dim, seed):
     rnd = np.random.default_rng(seed)
     base = rnd.normal(size=(n // 3, dim))

@@ -198,7 +198,7 @@ def detect(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score and lang_spans.
 
     ``lang_pred`` is a learned language, or ``und`` if the text is null or has no letter (or nothing was learned); ``score`` is the share of the document's letters that are labelled so
-    (0 for ``und``); ``lang_spans`` are (start, end, lang) in code points, first letter to behind the last, for consecutive words of one language. Ties go to
+    and are in a script of a learned language (0 for ``und``); ``lang_spans`` are (start, end, lang) in code points, first letter to behind the last, for consecutive words of one language. Ties go to
     the first language in order. Only the text is read. An empty table gives no rows. ``docs`` may have any columns; the three added ones are replaced.
     """
     added = ["lang_pred", "score", "lang_spans"]
@@ -224,6 +224,7 @@ def detect(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 def _labels(model: Model, texts: list[str]) -> list[tuple]:
     words = words_of(texts)
     scores = model.scores(words)
+    counted = words.size * model.scripts.any(axis=1)[words.script]  # the path labels a script of no learned language by its neighbours only
     out = []
     for i in range(len(texts)):
         a, b = words.bounds[i], words.bounds[i + 1]
@@ -232,9 +233,9 @@ def _labels(model: Model, texts: list[str]) -> list[tuple]:
             continue
         path = best_path(scores[a:b], SWITCH)
         size, start = words.size[a:b], words.start[a:b] - words.places[i]
-        letters = np.bincount(path, size, len(model.langs))
+        letters = np.bincount(path, counted[a:b], len(model.langs))
         top = int(letters.argmax())
         edges = np.concatenate([[0], np.flatnonzero(path[1:] != path[:-1]) + 1, [len(path)]])
         spans = [{"start": int(start[x]), "end": int(start[y - 1] + size[y - 1]), "lang": model.langs[path[x]]} for x, y in zip(edges, edges[1:])]
-        out.append((model.langs[top], float(letters[top] / letters.sum()), spans))
+        out.append((model.langs[top], float(letters[top] / size.sum()), spans))
     return out
