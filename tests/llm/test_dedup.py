@@ -194,6 +194,31 @@ def test_near_copies_of_one_word_set(table):
     assert found == sorted((d, c) for (d, _), c in zip(rows, roots)) and sum(d != c for d, c in found) == 7
 
 
+def moved_copies(n=60, seed=4):
+    """Pairs of texts at a similarity of 0.80 to 0.85: words appended, cut off at the end, and one passage replaced."""
+    rnd = np.random.default_rng(seed)
+    draw = lambda k: [f"v{x}" for x in np.minimum(rnd.zipf(1.3, k), 30_000)]
+    out = []
+    for i in range(n):
+        base = draw(500)
+        added = draw(150)
+        at = int(rnd.integers(50, 350))
+        for k in range(1, 150):
+            copy = (base + added[:k], base[: 500 - k], base[:at] + added[:k] + base[at + k :])[i % 3]
+            if not alike(shingles(" ".join(base)), shingles(" ".join(copy))) > 0.85:
+                break
+        if alike(shingles(" ".join(base)), shingles(" ".join(copy))) >= 0.8:
+            out.append((("appended", "cut", "replaced")[i % 3], " ".join(base), " ".join(copy)))
+    return out
+
+
+def test_moved_copies(table):
+    pairs = moved_copies()
+    rows = [(2 * i + k, t) for i, (_, *texts) in enumerate(pairs) for k, t in enumerate(texts)]
+    found = {r.doc: r.component for r in near_copies.near_copies(table(rows)).collect()}
+    assert len(pairs) > 50 and found == {d: d - d % 2 for d, _ in rows}
+
+
 def test_pairs_of_groups():
     """Small and large buckets give all pairs of different groups that sizes and places allow."""
     rnd = np.random.default_rng(2)

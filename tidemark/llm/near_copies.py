@@ -196,13 +196,17 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa
     yield from out(held)
 
 
-def prefix_pairs(groups: DataFrame, linked: DataFrame, least: float) -> DataFrame:
-    """a, b: all pairs that may have the similarity ``least`` and are in different components of ``linked`` (node, component)."""
+def shared_shingles(groups: DataFrame) -> DataFrame:
+    """key, node, size, at: the shingles that are in the prefixes of several texts."""
     parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = groups.where("n_words > 0").select("node", "size", F.posexplode("prefix").alias("at", "key")).select("key", "node", "size", F.col("at").cast("bigint").alias("at"))
-    shared = settle(rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_repeated, "key bigint, node bigint, size bigint, at bigint"), "shared-shingles")
+    return settle(rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_repeated, "key bigint, node bigint, size bigint, at bigint"), "shared-shingles")
+
+
+def prefix_pairs(shared: DataFrame, linked: DataFrame, least: float) -> DataFrame:
+    """a, b: all pairs that may have the similarity ``least`` and are in different components of ``linked`` (node, component). ``shared``: see ``shared_shingles``."""
+    parts = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grouped = settle(shared.join(linked, "node", "left").select("key", F.coalesce("component", "node").alias("group"), "node", "size", "at"), "grouped-shingles")
-    release(shared)
     # Most buckets are within one group.
     mixed = grouped.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x < y").select("key")
     ordered = grouped.join(mixed, "key", "left_semi").repartition(parts, "key").sortWithinPartitions("key", "group")
@@ -244,16 +248,23 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = settle(text_rows(texts, shingle_words, least), "text-rows")
     first = F.min(F.struct("doc", "version"))
     one = [F.first(c).alias(c) for c in ("views", "size", "prefix")]
-    groups = settle(rows.groupBy("same").agg(first.alias("first"), F.max("n_words").alias("n_words"), *one).withColumn("node", F.monotonically_increasing_id()), "texts")
-    views = groups.where("n_words > 0").select("node", F.posexplode("views").alias("view", "fp"))
+    whole = settle(rows.groupBy("same").agg(first.alias("first"), F.max("n_words").alias("n_words"), *one).withColumn("node", F.monotonically_increasing_id()), "texts")
+    # Prefixes are large; what holds them goes when it is not needed any more.
+    groups = settle(whole.select("same", "node", "first"), "text-nodes")
+    slim = settle(rows.select("doc", "version", "same"), "text-rows")
+    release(rows)
+    shared = shared_shingles(whole)
+    views = whole.where("n_words > 0").select("node", F.posexplode("views").alias("view", "fp"))
     pairs = settle(fingerprint_edges(views, PAIRS, LIMIT, "view", _TREE).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    release(whole)
     links = similar(texts, groups, pairs, shingle_words, least)
-    more = settle(prefix_pairs(groups, settle(components(links), "linked"), least), "candidates")
+    more = settle(prefix_pairs(shared, settle(components(links), "linked"), least), "candidates")
+    release(shared)
     links = links.unionByName(similar(texts, groups, more, shingle_words, least))
     found = groups.select("same", "node", F.col("first.doc").alias("doc")).join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = found.groupBy("component").agg(F.min("doc").alias("smallest"))
     labelled = found.join(smallest, "component").select("same", F.col("smallest").alias("component"))
-    return rows.join(labelled, "same").select("doc", "version", "component")
+    return slim.join(labelled, "same").select("doc", "version", "component")
 
 
 def _similarities(x: pd.Series, y: pd.Series) -> pd.Series:
