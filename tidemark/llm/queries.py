@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import url_filter
 from tidemark.llm.embedding_dedup import embedding_dedup
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import detect, train
@@ -14,9 +15,12 @@ from tidemark.llm.packing import pack
 from tidemark.llm.registry import QUERIES, SQL, query, table
 from tidemark.llm.sentencepiece_scan import decode, encode
 from tidemark.llm.simhash import simhash_components
+from tidemark.llm.spelling import spelling_variants
 from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.llm.token_files import read_token_files, write_token_files
+from tidemark.llm.url_filter import Rule
 from tidemark.llm.warc import read_bundles, write_bundles
+from tidemark.llm.whitening import whiten
 from tidemark.session import scratch_path
 
 #: Ids that end a document.
@@ -111,3 +115,24 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
     size = (F.octet_length("piece_ids") / 4).cast("bigint")
     return done.select("doc_id", size.alias("n_tokens"), F.crc32("piece_ids").alias("ids_crc32"), "chunks", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op11_spelling")
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), typo_every=97)
+
+
+#: The rules of the query.
+URL_RULES = [Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("allow", "www.example.com", "/en/"), Rule("block", "net", "/es/"), Rule("block", "net", "/fr/")]
+
+
+@query("op12_url_filter")
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = url_filter.train(url_filter.labelled_by_rules(pages, URL_RULES))
+    return url_filter.judge(pages, model, URL_RULES).withColumnRenamed("id", "page_id")
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
