@@ -188,3 +188,62 @@ def _stream_extracts(spark, sf):
     write_extract(spark, sf, "stream-2", "incremental", {}, {"Object.orders_deletes": gone}, landing=landing)
     stream_extracts(spark, landing, store, scratch_path(spark, "checkpoint")).awaitTermination()
     return store.read("orders")
+
+
+# Applied in the order of their stop times: an older extract of amounts and deletes, then a newer one.
+IN_ORDER_SQL = f"""WITH {ROLES_SQL},
+older AS (SELECT o_orderkey, -o_totalprice AS o_totalprice FROM t UNION ALL SELECT o_orderkey, -o_totalprice FROM u WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = u.o_orderkey)),
+one AS (SELECT * FROM older WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.o_orderkey = older.o_orderkey))
+SELECT o_orderkey AS id, o_totalprice FROM one WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.o_orderkey = one.o_orderkey) AND o_orderkey % 5 <> 0
+UNION ALL SELECT o_orderkey, o_totalprice FROM u"""
+
+
+def _in_order_rows(spark, sf):
+    """Rows of the older extract (updates of all orders, deletes), and of the newer one (updates of the changed orders, deletes of every fifth key)."""
+    shown = lambda df, amount: df.select(F.col("o_orderkey").alias("id"), amount.alias("o_totalprice"))
+    price = F.col("o_totalprice")
+    everything = shown(target(spark, sf), -price).unionByName(shown(updates(spark, sf), -price)).dropDuplicates(["id"])
+    gone = deletes(spark, sf).select(F.col("o_orderkey").alias("id")).distinct()
+    later = shown(updates(spark, sf), price)
+    fifth = everything.select("id").where("id % 5 = 0")
+    return everything, gone, later, fifth
+
+
+@query("stream_late_rows", IN_ORDER_SQL)
+def _stream_late_rows(spark, sf):
+    """Rows of a newer extract land and are applied; those of an older one land in a later run, with updates and deletes of the same keys."""
+    everything, gone, later, fifth = _in_order_rows(spark, sf)
+    store = Target(spark, scratch_path(spark, "late-rows"))
+    store.create("orders", later.schema, ["id"])
+    landing, checkpoint = scratch_path(spark, "late-landing"), scratch_path(spark, "checkpoint")
+    schema = T.StructType([*later.schema.fields, T.StructField("gone", T.BooleanType()), T.StructField("stop_time", T.StringType())])
+    older = everything.join(gone, "id", "left_anti")  # an update survives a delete of its own extract
+    for stop, new, old in (("2025-01-02", later, fifth), ("2025-01-01", older, gone)):
+        rows = new.withColumn("gone", F.lit(False)).unionByName(old.withColumns({"o_totalprice": F.lit(None).cast("double"), "gone": F.lit(True)}))
+        rows.withColumn("stop_time", F.lit(stop)).write.mode("append").parquet(landing)
+        stream_table(spark, landing, schema, store, "orders", ["id"], checkpoint, "stop_time", deleted="gone").awaitTermination()
+    return store.read("orders")
+
+
+@query("stream_late_extracts", IN_ORDER_SQL)
+def _stream_late_extracts(spark, sf):
+    """Whole extracts: the newer one lands first, and the folder names sort against the stop times, which the stored listing states."""
+    everything, gone, later, fifth = _in_order_rows(spark, sf)
+    store = Target(spark, scratch_path(spark, "late-extracts"))
+    store.create("orders", later.schema, ["id"])
+    deleted = lambda df: {"Object.orders_deletes": df.withColumn("deleted_date", F.lit("2025-01-02T00:00Z"))}
+    older = everything.join(gone, "id", "left_anti")
+    landings = [stored_input(spark, sf, f"late-landing-{i}", lambda: scratch_path(spark, "landing")) for i in range(2)]
+    listing = stored_input(spark, sf, "late-listing", lambda: _late_listing(spark))
+    write_extract(spark, sf, "a-newer", "incremental", {"Object.orders": later}, deleted(fifth), landing=landings[0])
+    write_extract(spark, sf, "b-older", "incremental", {"Object.orders": older}, deleted(gone), landing=landings[1])
+    for landing in landings:
+        stream_extracts(spark, landing, store, scratch_path(spark, "checkpoint"), listing=listing).awaitTermination()
+    return store.read("orders")
+
+
+def _late_listing(spark) -> str:
+    path = scratch_path(spark, "listing")
+    rows = [("a-newer", "2025-01-02T00:00Z"), ("b-older", "2025-01-01T00:00Z")]
+    spark.createDataFrame(rows, "name string, stop_time string").write.json(path)
+    return path

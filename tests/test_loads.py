@@ -193,6 +193,47 @@ def test_stream_of_one_table(spark, tmp_path, rows):
         assert rows(store.read("t")) == [(1, "new"), (2, "b"), (3, "c")]
 
 
+def test_late_rows_of_one_table(spark, tmp_path, rows):
+    store = Target(spark, str(tmp_path / "store"))
+    store.create("t", T.StructType.fromDDL("id bigint, v string"), ["id"])
+    landing, ddl = str(tmp_path / "landing"), "id bigint, v string, gone boolean, stop string"
+    run = lambda: stream_table(spark, landing, T.StructType.fromDDL(ddl), store, "t", ["id"], str(tmp_path / "cp"), "stop", deleted="gone").awaitTermination()
+    batches = [
+        ([(1, "new", False, "2"), (2, None, True, "2"), (3, "x", False, "2"), (3, None, True, "2"), (None, "n", False, "2")], [(1, "new"), (3, "x"), (None, "n")]),
+        ([(1, "old", False, "1"), (2, "old", False, "1"), (3, None, True, "1"), (4, "d", None, "1"), (None, "o", False, "1")], [(1, "new"), (3, "x"), (4, "d"), (None, "n")]),
+        # of the same time: parts of one extract
+        ([(1, None, True, "2"), (2, "again", False, "2"), (4, None, True, "3")], [(1, "new"), (2, "again"), (3, "x"), (None, "n")]),
+        ([(4, "late", False, "2"), (2, "last", False, "9"), (2, "two", False, "9")], [(1, "new"), (2, "last"), (2, "two"), (3, "x"), (None, "n")]),
+    ]
+    for data, want in batches:
+        spark.createDataFrame(data, ddl).coalesce(1).write.mode("append").parquet(landing)
+        for _ in range(2):
+            run()
+            assert rows(store.read("t")) == sorted(want, key=repr)
+    assert store.tables() == ["t"]
+
+
+def test_late_change_after_a_failure(spark, tmp_path, rows, monkeypatch):
+    """The table is changed, the clocks are not yet: the repeated batch sets them and changes nothing else."""
+    from tidemark.streaming import incremental
+
+    store = Target(spark, str(tmp_path / "store"))
+    store.create("t", T.StructType.fromDDL("id bigint, v string"), ["id"])
+    landing, ddl = str(tmp_path / "landing"), "id bigint, v string, stop string"
+    run = lambda: stream_table(spark, landing, T.StructType.fromDDL(ddl), store, "t", ["id"], str(tmp_path / "cp"), "stop").awaitTermination()
+    spark.createDataFrame([(1, "new", "2")], ddl).write.parquet(landing)
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "advance", lambda *a: 1 / 0)
+        with pytest.raises(Exception):
+            run()
+    version = store.snapshot("t").version
+    run()
+    assert store.snapshot("t").version == version and rows(store.read("t")) == [(1, "new")]
+    spark.createDataFrame([(1, "old", "1")], ddl).write.mode("append").parquet(landing)
+    run()
+    assert rows(store.read("t")) == [(1, "new")]
+
+
 def test_latest_archive_with_parts(spark, tmp_path):
     from test_files import make_archive
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.change import conform
+from tidemark.operators.change import conform, typed_keys
 from tidemark.functions.clean import blank_to_null, clean, convert_value
 from tidemark.operators.dictionary import dictionary_columns, has_fraction, schema_from_metadata
 from tidemark.operators.evolve import change_plan
@@ -26,6 +26,7 @@ from tidemark.sources.listing import (
     scan_metadata,
 )
 from tidemark.sources.model import DECIMAL_TYPE, METADATA_TABLE, key_columns
+from tidemark.streaming.clock import admit, advance, is_set, last_changes, of_admitted
 
 REPORT_SCHEMA = "table_name string, change string, declared bigint, loaded bigint, status string, message string"
 DICTIONARY_SCHEMA = T.StructType(
@@ -239,11 +240,12 @@ def load_log(spark: SparkSession, extract_dir: str, target: Target, options: Loa
 
 
 def apply_incremental(
-    spark: SparkSession, extract_dir: str, target: Target, options: LoadOptions = LoadOptions(), applied: str | None = None
+    spark: SparkSession, extract_dir: str, target: Target, options: LoadOptions = LoadOptions(), applied: str | None = None,
+    stop_time: str | None = None,
 ) -> DataFrame:
     """Dictionary deletes, dictionary updates, row deletes, then upserts: a key that is both deleted and updated survives.
 
-    The deletes and updates of one table become one new version of it.
+    The deletes and updates of one table become one new version of it. With ``stop_time``, keys that an extract of a later time has changed are left as they are (see ``streaming.clock``).
     """
     extract_dir = extract_dir.rstrip("/")
     manifest = scan_manifest(spark, extract_dir, options.parquet)
@@ -284,11 +286,16 @@ def apply_incremental(
             typed = [conform(stored, snap.schema, options.match) if change == "updates" else stored for stored in frames]
             staged[change] = reduce(DataFrame.unionByName, typed) if typed else None
         if snap is not None and (staged["deletes"] is not None or staged["updates"] is not None):
+            keys = _keys(table, options)
+            in_order = stop_time is not None and not is_set(target, table, applied)
+            admitted = _admitted(target, table, staged, keys, stop_time) if in_order else None
             if applied is None or snap.applied != applied:
-                target.change(
-                    table, staged["updates"], staged["deletes"], _keys(table, options), options.upsert_mode,
-                    options.distinct, options.key_match, applied,
-                )
+                if admitted is not None:
+                    staged = {c: None if rows is None else of_admitted(typed_keys(rows, snap.schema, keys), admitted, keys) for c, rows in staged.items()}
+                target.change(table, staged["updates"], staged["deletes"], keys, options.upsert_mode, options.distinct, options.key_match, applied)
+            if admitted is not None:
+                advance(target, table, keys, admitted, applied)
+                stored_frames.append(admitted)
         release(*stored_frames)
         return report
 
@@ -296,6 +303,13 @@ def apply_incremental(
     return _report(spark, [row for rows in results for row in rows])
 
 
+def _admitted(target: Target, table: str, staged: dict[str, DataFrame | None], keys: list[str], stop_time: str) -> DataFrame:
+    """The keys of an extract's changes that no later extract has changed."""
+    schema = target.snapshot(table).schema
+    sides = [typed_keys(rows.select(*keys), schema, keys).withColumn("deleted", F.lit(change == "deletes")) for change, rows in staged.items() if rows is not None]
+    return admit(target, table, keys, last_changes(reduce(DataFrame.unionByName, sides), keys, F.lit(stop_time), F.col("deleted")))
+
+
 def _apply_dictionary(spark: SparkSession, update_files: list[dict], delete_files: list[dict], target: Target, options: LoadOptions) -> None:
     def rows_of(files: list[dict]) -> DataFrame | None:
         if not files:
