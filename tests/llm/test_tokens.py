@@ -24,13 +24,12 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 def library(path):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
 def odd_texts(n, seed=1):
     rnd = random.Random(seed)
-    alphabet = "abdeé t.,'s  \n\tKİKÅ3#&<|endoftext|>́ \x1c\0▁世"
+    alphabet = [*"abdeé t.,'s  \n\tKİKÅ3#&<|>́ \x1c\0▁世", "<|endoftext|>", " <|endoftext|> ", "<|EndOfText|>", "<|startoftext|>."]
     return ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60))) for _ in range(n)]
 
 

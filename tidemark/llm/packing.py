@@ -34,17 +34,19 @@ def encode_documents(docs: DataFrame, tokenizer: str, cut: str, end_id: int, id_
         from pyspark import TaskContext
 
         part, before = TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4")
         encode = encoder(tokenizer, cut, kept_units)
         for batch in batches:
             texts = batch.column("text")
-            for a, b in slices(pc.utf8_length(texts).to_pylist()):
-                arrays = [np.concatenate([ids.astype("<u4"), end]) for ids in encode.encode(texts.slice(a, b - a).to_pylist())]
-                sizes = np.array([len(x) for x in arrays], np.int64)
+            for a, b in slices(pc.utf8_length(texts).to_numpy().tolist()):
+                ids, begins = encode.flat(texts.slice(a, b - a))
+                # Each document's end behind its ids.
+                ids = np.insert(ids.astype("<u4"), begins[1:], end_id)
+                sizes = np.diff(begins) + 1
                 ends = before + np.cumsum(sizes)
+                bounds = pa.py_buffer((4 * np.concatenate([[0], np.cumsum(sizes)])).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
                     batch.column("id").slice(a, b - a), pa.array(np.full(b - a, part, np.int32)), pa.array(ends - sizes), pa.array(sizes),
-                    pa.array([x.tobytes() for x in arrays], pa.binary()),
+                    pa.Array.from_buffers(pa.binary(), b - a, [None, bounds, pa.py_buffer(ids)]),
                 ], names=["doc_id", "part", "before", "doc_tokens", "ids"])
                 before = int(ends[-1])
 

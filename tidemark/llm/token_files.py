@@ -68,20 +68,23 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, cut: str, end_
 
             for batch in batches:
                 texts = batch.column("text")
-                own = batch.column("id").to_pylist()
-                for a, b in slices(pc.utf8_length(texts).to_pylist()):
-                    for doc, ids in zip(own[a:b], encode.encode(texts.slice(a, b - a).to_pylist())):
-                        waiting += [ids.astype(np.uint64), np.array([end_id], np.uint64)]
-                        doc_table.append((doc or 0, doc is None, len(ids) + 1))
-                        size += len(ids) + 1
-                        total += len(ids) + 1
+                own = batch.column("id")
+                for a, b in slices(pc.utf8_length(texts).to_numpy().tolist()):
+                    ids, begins = encode.flat(texts.slice(a, b - a))
+                    # Each document's end behind its ids.
+                    waiting.append(np.insert(ids.astype(np.uint64), begins[1:], end_id))
+                    docs = own.slice(a, b - a)
+                    doc_table.append(np.stack([docs.fill_null(0).to_numpy(), docs.is_null().to_numpy(zero_copy_only=False).astype(np.int64), np.diff(begins) + 1], axis=1))
+                    size += len(waiting[-1])
+                    total += len(waiting[-1])
                     if size >= TOGETHER * simple8b.BLOCK:
                         size = flush(False)
             flush(True)
             out.write(np.array(blocks, "<i8").tobytes())
-            out.write(np.array(doc_table, "<i8").tobytes())
-            out.write(np.array([len(blocks), len(doc_table)], "<i8").tobytes() + MAGIC)
-        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "n_docs": pa.array([len(doc_table)]), "n_tokens": pa.array([total])})
+            n_docs = sum(map(len, doc_table))
+            out.write(b"".join(t.astype("<i8").tobytes() for t in doc_table))
+            out.write(np.array([len(blocks), n_docs], "<i8").tobytes() + MAGIC)
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "n_docs": pa.array([n_docs]), "n_tokens": pa.array([total])})
 
     totals = sorted(tuple(r) for r in ordered.mapInArrow(write, PARTS).collect())  # one row per file
     create_small_text(spark, f"{path}/files.json", json.dumps(totals))
