@@ -33,8 +33,20 @@ def _scan_csv(spark, sf):
 
 @query("scan_csv_in_splits", "SELECT * FROM documents")
 def _scan_split(spark, sf):
+    """About eight splits or more, so that values with line breaks cross them also where the table is small."""
     documents = read(spark, sf, "documents")
-    return typed_scan(spark, documents, as_csv(documents, sf, "documents"), landed=True)
+    path = as_csv(documents, sf, "documents")
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    size = files.total_bytes(spark, path) // 8
+    try:
+        if size < files.split_bytes(spark):
+            for n in names:
+                spark.conf.set(n, max(size, 1 << 16))
+        return typed_scan(spark, documents, path, landed=True)
+    finally:
+        for n, value in zip(names, before):
+            spark.conf.set(n, value)
 
 
 @query("csv_odd_lines", r"""
@@ -116,7 +128,7 @@ def _archive(spark, sf):
 
     def pack() -> str:
         out = scratch_path(spark, "archives")
-        # One archive per task of the table's scan; the report has one row per archive.
+        # One archive per 64 MB of each task of the table's scan; the report has one row per archive.
         archive.pack_archives(customer, "Object/customer.csv", out).collect()
         return out
 
@@ -271,7 +283,9 @@ def _unpack(spark, sf):
 
     def pack() -> str:
         out = scratch_path(spark, "archive-set")
-        archive.pack_archives(customer.repartition(4, "c_custkey"), "Object/customer.csv", f"{out}/rows").collect()
+        # More archives as the table grows; within each task, one per 64 MB of text.
+        several = 2 + files.total_bytes(spark, f"{sf.rstrip('/')}/customer.parquet") // archive.ARCHIVE_BYTES
+        archive.pack_archives(customer.repartition(several, "c_custkey"), "Object/customer.csv", f"{out}/rows").collect()
         words = spark.createDataFrame(dictionary_rows(customer, "Object.customer"), DICTIONARY_DDL).coalesce(1)
         archive.pack_archives(words, "Metadata/metadata.csv", f"{out}/words").collect()
         return out

@@ -212,3 +212,44 @@ def test_inferred(spark, tmp_path, rows, split_size):
     df = files.scan_inferred_csv(spark, str(tmp_path / "x.csv"))
     assert df.schema.simpleString() == "struct<a:bigint,b:double,c:boolean,d:date,e:timestamp,f:string>"
     assert df.agg(F.sum("a"), F.sum("b"), F.count("c"), F.min(F.date_format("e", "HH:mm:ss"))).first()[:] == (-1, 3.5, 2, "00:00:00")
+
+
+def test_lines_are_framed_alike_one_by_one_and_all_at_once():
+    import random
+
+    import pyarrow as pa
+    from tidemark.sources.framing import compose, ends_inside, frame_records, line_arrays, line_maps, lines_of, record_arrays
+
+    rnd = random.Random(4)
+    for _ in range(200):
+        lines = ["".join(rnd.choice('"",,ab é') for _ in range(rnd.randint(0, 12))).encode() for _ in range(rnd.randint(1, 40))]
+        maps = line_maps(pa.array(lines, pa.binary()))
+        for begin in (False, True):
+            state = begin
+            assert compose(*maps, begin).tolist() == [state := ends_inside(line, state) for line in lines]
+        body = b"".join(line + rnd.choice([b"\n", b"\r\n", b"\r", b"\n\n"]) for line in lines) + rnd.choice([b"", b"end", b"\xff,x"])
+        size = rnd.choice([1, 3, 17, 1000])
+        blocks = [body[i : i + size] for i in range(0, len(body), size)]
+        assert [x for part in line_arrays(blocks) for x in part.to_pylist()] == list(lines_of(blocks))
+        try:
+            want = list(frame_records(lines_of(blocks)))
+        except ValueError:
+            with pytest.raises(ValueError, match="left open"):
+                list(record_arrays(blocks))
+        else:
+            assert [x for part in record_arrays(blocks) for x in part.to_pylist()] == want
+
+
+def test_archives_grow_with_the_table(spark, tmp_path, rows):
+    from pyspark.sql import functions as F
+
+    from tidemark.sources import archive
+
+    df = spark.range(0, 50_000, 1, 2).select("id", F.concat(F.lit('a "quoted",\n'), F.col("id")).alias("text"))
+    made = archive.pack_archives(df, "Object/t.csv", str(tmp_path / "out"), archive_bytes=200_000).collect()
+    assert len(made) > 4 and sum(r.records for r in made) == 50_000
+    found = archive.scan_archives(spark, str(tmp_path / "out"))
+    assert found.select("archive").distinct().count() == len(made)
+    table = archive.member_table(found, "Object/t.csv", ["id", "text"]).select(F.col("id").cast("bigint"), "text")
+    assert rows(table) == rows(df)
+    assert archive.pack_archives(df.limit(0), "t.csv", str(tmp_path / "none")).agg(F.sum("records")).first()[0] == 0

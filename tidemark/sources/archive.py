@@ -1,8 +1,7 @@
 """Archive source: ``.tar.gz`` files of CSV members, each possibly stored in several numbered parts.
 
 A gzip stream can only be read from its start, so one archive is one task; archives are read side by
-side. The task only unpacks and frames records, batch by batch; it holds one batch of lines at a
-time. Parsing and typing happen afterwards in Spark, on as many tasks as there are rows for.
+side. The task only unpacks and frames records, a block at a time, with no step per line. Parsing and typing happen afterwards in Spark, on as many tasks as there are rows for.
 """
 
 from __future__ import annotations
@@ -22,15 +21,15 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from tidemark.session import qualified
 from tidemark.sources import framing
 from tidemark.sources.files import parse_records
-from tidemark.sources.framing import frame_records, lines_of
+from tidemark.sources.framing import as_text, record_arrays
 
 # The reader travels to the executors with its code, so that they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(framing)
 
 RECORDS_SCHEMA = "archive string, member string, record_no bigint, record string"
-BATCH_BYTES = 4 << 20
 BLOCK_BYTES = 1 << 20
+ARCHIVE_BYTES = 64 << 20
 
 
 def _local_path(uri: str) -> str:
@@ -88,12 +87,7 @@ class _ArchiveReader(DataSourceReader):
         def batch(member, first, records):
             n = len(records)
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([partition.name] * n, pa.string()),
-                    pa.array([member] * n, pa.string()),
-                    pa.array(range(first, first + n), pa.int64()),
-                    pa.array([r.decode("utf-8", "replace") for r in records], pa.string()),
-                ],
+                [pa.repeat(pa.scalar(v), n) for v in (partition.name, member)] + [pa.array(range(first, first + n), pa.int64()), as_text(records)],
                 names=["archive", "member", "record_no", "record"],
             )
 
@@ -102,17 +96,11 @@ class _ArchiveReader(DataSourceReader):
             for info in tar:
                 if not info.isfile():
                     continue
-                held, size, first = [], 0, 0
+                first = 0
                 source = tar.extractfile(info)
-                for record in frame_records(lines_of(iter(lambda: source.read(BLOCK_BYTES), b""))):
-                    held.append(record)
-                    size += len(record)
-                    if size >= BATCH_BYTES:
-                        yield batch(info.name, first, held)
-                        first += len(held)
-                        held, size = [], 0
-                if held:
-                    yield batch(info.name, first, held)
+                for records in record_arrays(iter(lambda: source.read(BLOCK_BYTES), b"")):
+                    yield batch(info.name, first, records)
+                    first += len(records)
 
 
 class ArchiveDataSource(DataSource):
@@ -183,13 +171,14 @@ def member_table(records: DataFrame, member: str, columns: Sequence[str]) -> Dat
     return parse_records(rows, "record", schema)
 
 
-def pack_archives(df: DataFrame, member: str, path: str) -> DataFrame:
-    """Write ``df`` as archives under ``path``, one per task, with one CSV member; returns their names and rows.
+def pack_archives(df: DataFrame, member: str, path: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """Write ``df`` as archives under ``path``, with one CSV member each; returns their names and rows.
 
-    The counterpart of the scan, used to hand extracts on and to test with.
+    A task begins a new archive after ``archive_bytes`` of text, so their number grows with the table and a task holds no more than that (and a batch). A task
+    that has no rows still writes an archive, with the header alone. The counterpart of the scan, used to hand extracts on and to test with.
     """
     path = qualified(df.sparkSession, path)
-    header = ",".join(df.columns)
+    header = ",".join(df.columns).encode("utf-8") + b"\n"
     quoted = [
         F.coalesce(F.concat(F.lit('"'), F.replace(F.col(f"`{c}`").cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
         for c in df.columns
@@ -199,27 +188,59 @@ def pack_archives(df: DataFrame, member: str, path: str) -> DataFrame:
     def write(batches):
         import gzip
 
-        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute as pc
         from pyarrow import fs
         from pyspark import TaskContext
 
-        # A tar header states the member's size, so one task's slice is put together before it is sent.
-        rows, body = 0, io.BytesIO()
-        body.write(header.encode("utf-8") + b"\n")
-        for frame in batches:
-            if len(frame):
-                rows += len(frame)
-                body.write(("\n".join(frame["record"]) + "\n").encode("utf-8"))
-        name = f"{path}/archive-{TaskContext.get().partitionId():05d}.tar.gz"
-        system, base = fs.FileSystem.from_uri(_local_path(name))
-        system.create_dir(base.rsplit("/", 1)[0], recursive=True)
-        info = tarfile.TarInfo(member)
-        info.size = body.tell()
-        body.seek(0)
-        with system.open_output_stream(base, compression=None) as raw:
-            with gzip.GzipFile(fileobj=raw, mode="wb", compresslevel=1) as zipped:
-                with tarfile.open(fileobj=zipped, mode="w|") as tar:
-                    tar.addfile(info, body)
-        yield pd.DataFrame({"archive": [name], "records": [rows]})
-
-    return records.mapInPandas(write, "archive string, records bigint")
+        task, made = TaskContext.get().partitionId(), []
+
+        def store(parts, rows):
+            name = f"{path}/archive-{task:05d}-{len(made):05d}.tar.gz"
+            system, base = fs.FileSystem.from_uri(_local_path(name))
+            system.create_dir(base.rsplit("/", 1)[0], recursive=True)
+            info = tarfile.TarInfo(member)
+            info.size = sum(map(len, parts))  # the tar header states it, so an archive's text is put together before it is sent
+            with system.open_output_stream(base, compression=None) as raw:
+                with gzip.GzipFile(fileobj=raw, mode="wb", compresslevel=1) as zipped:
+                    with tarfile.open(fileobj=zipped, mode="w|") as tar:
+                        tar.addfile(info, io.BufferedReader(_Parts(parts)))
+            made.append((name, rows))
+
+        parts, size, rows = [header], 0, 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            whole = pa.ListArray.from_arrays(pa.array([0, len(batch)], pa.int32()), batch.column(0).cast(pa.binary()))
+            parts.append(pc.binary_join(whole, b"\n")[0].as_py() + b"\n")
+            size += len(parts[-1])
+            rows += len(batch)
+            if size >= archive_bytes:
+                store(parts, rows)
+                parts, size, rows = [header], 0, 0
+        if rows or not made:
+            store(parts, rows)
+        yield pa.RecordBatch.from_pylist([{"archive": n, "records": r} for n, r in made])
+
+    return records.mapInArrow(write, "archive string, records bigint")
+
+
+class _Parts(io.RawIOBase):
+    """Bytes in several parts, each given up when it is read."""
+
+    def __init__(self, parts: Sequence[bytes]):
+        self._pending, self._at = list(parts), 0
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        while self._pending and self._at == len(self._pending[0]):
+            self._pending.pop(0)
+            self._at = 0
+        if not self._pending:
+            return 0
+        data = self._pending[0][self._at : self._at + len(buffer)]
+        buffer[: len(data)] = data
+        self._at += len(data)
+        return len(data)

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.clean import clean, replace_invalid, truncate_bytes
 from tidemark.session import files_at, settle, text_lines, total_bytes
-from tidemark.sources.framing import column_names, ends_inside, frame_records
+from tidemark.sources.framing import column_names, compose, cut_records, frame_records, line_maps
 
 CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"'}
 
@@ -93,16 +95,17 @@ def csv_records(spark: SparkSession, path: str, names: Sequence[str]) -> DataFra
         pieces.where("not header").select("file", joined.alias("record")))
 
 
-def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[bytes]]]:
+def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.Array]]:
     """Lines of one split at a time, in pieces; a split may come in several."""
     for batch in batches:
-        files, starts = batch.column("file").to_pylist(), batch.column("start").to_pylist()
-        body = batch.column("line").to_pylist()
-        begin = 0
-        for i in range(1, len(files) + 1):
-            if i == len(files) or starts[i] != starts[begin] or files[i] != files[begin]:
-                yield files[begin], starts[begin], body[begin:i]
-                begin = i
+        if not len(batch):
+            continue
+        files, starts = batch.column("file"), batch.column("start").to_numpy()
+        # Splits of two files can begin at the same place.
+        which = files.dictionary_encode().indices.to_numpy()
+        cuts = np.flatnonzero((starts[1:] != starts[:-1]) | (which[1:] != which[:-1])) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)]):
+            yield files[a].as_py(), int(starts[a]), batch.column("line").slice(a, b - a)
 
 
 def _split_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,12 +115,11 @@ def _split_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             if key:
                 out.append((*key, *states))
             key, states = (file, start), [False, True, False, True]
-        for line in lines:
-            if line and states[3]:
-                states[3] = False
-            if b'"' in line:
-                states[0], states[1] = ends_inside(line, states[0]), ends_inside(line, states[1])
-                states[2] = states[2] or not states[1]
+        states[3] = states[3] and not pc.any(pc.greater(pc.binary_length(lines), 0)).as_py()
+        maps = line_maps(lines)
+        states[0] = bool(compose(*maps, states[0])[-1])
+        from_inside = compose(*maps, states[1])
+        states[1], states[2] = bool(from_inside[-1]), states[2] or not from_inside.all()
     if key:
         out.append((*key, *states))
         kinds = (pa.string(), pa.int64(), *[pa.bool_()] * 4)
@@ -144,62 +146,49 @@ def begin_states(splits: list[tuple]) -> dict[tuple[str, int], tuple[bool, int,
 
 
 def _frame(batches: Iterator[pa.RecordBatch], begins: dict | None, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Records of each split; pieces of those that begin or end in another one."""
-    key, out = None, []
+    """Records of each split; pieces of those that begin or end in another one. Lines are told apart and put together by Arrow, a batch at a time."""
+    key = None
     inside = header = first = False
     owner = seq = 0
     held: list[bytes] = []
 
-    def put(record: bytes, whole: bool, is_header: bool) -> None:
+    def made(records: pa.Array, whole: bool, is_header: bool = False) -> pa.RecordBatch:
         nonlocal seq
-        out.append((*key[:1], owner, key[1], seq, whole, is_header, record))
-        seq += 1
+        n = len(records)
+        seq += n
+        columns = [pa.repeat(pa.scalar(v, t), n) for v, t in ((key[0], pa.string()), (owner, pa.int64()), (key[1], pa.int64()))]
+        columns += [pa.array(np.arange(seq - n, seq, dtype=np.int32)), pa.repeat(pa.scalar(whole), n), pa.repeat(pa.scalar(is_header), n), records]
+        return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in FRAMED.split(", ")])
 
-    def close() -> None:
+    def close() -> Iterator[pa.RecordBatch]:
         if not held:
             return
         if begins is None:
             raise ValueError(f"a quote is left open at the end of {key[0]}")
-        put(b"\n".join(held), False, header and not first)
+        yield made(pa.array([b"\n".join(held)], pa.binary()), False, header and not first)
         held.clear()
 
-    def batch() -> pa.RecordBatch:
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary())
-        made = pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), kinds)], names=[c.split()[0] for c in FRAMED.split(", ")])
-        out.clear()
-        return made
-
     for file, start, lines in _by_split(batches):
         if key != (file, start):
             if key:
-                close()
+                yield from close()
             key, seq = (file, start), 0
             inside, owner, header = (False, start, start == 0) if begins is None else begins[file, start]
             first = inside  # the record that another split began
-        for line in lines:
-            if not line and not inside:
-                continue
-            held.append(line)
-            inside = ends_inside(line, inside)
-            if inside:
-                continue
-            record = b"\n".join(held) if len(held) > 1 else line
-            held.clear()
-            if first:
-                put(record, False, False)
-                first, owner = False, start
-            elif header:
-                header = False
-                if column_names(record) != names:
-                    raise ValueError(f"{file} has the columns {column_names(record)} instead of {names}")
-            else:
-                put(record, True, False)
-        if len(out) >= 2000:
-            yield batch()
+        records, inside, held[:] = cut_records(lines, inside, held)
+        if not len(records):
+            continue
+        if first:
+            yield made(records.slice(0, 1), False)
+            records, first, owner = records.slice(1), False, start
+        elif header:
+            found, records, header = column_names(records[0].as_py()), records.slice(1), False
+            if found != names:
+                raise ValueError(f"{file} has the columns {found} instead of {names}")
+        if len(records):
+            yield made(records, True)
     if key:
-        close()
-    if out:
-        yield batch()
+        yield from close()
 
 
 def scan_inferred_csv(spark: SparkSession, path: str) -> DataFrame:
