@@ -10,7 +10,15 @@ from collections.abc import Iterator
 def _place(path: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(f"file://{path[5:]}" if path.startswith("file:/") and not path.startswith("file://") else path)
+    return fs.FileSystem.from_uri(address(path))
+
+
+def address(path: str) -> str:
+    """A path as pyarrow takes it; Hadoop's names of an object store become the store's own."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        return f"file://{path[5:]}"
+    scheme, mark, rest = path.partition("://")
+    return f"s3{mark}{rest}" if scheme in ("s3a", "s3n") else path
 
 
 @contextlib.contextmanager
