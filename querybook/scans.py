@@ -276,6 +276,17 @@ def _parts(spark, sf):
     return listing.reassemble_parts(parts.select("doc_id", "p.*"), "doc_id").withColumnRenamed("data", "text")
 
 
+@query("file_parts_streamed", "SELECT doc_id, text FROM documents")
+def _parts_streamed(spark, sf):
+    """Every document as parts of at most 100 characters, in no order, to pieces of about 2 kB and back to whole texts."""
+    documents = read(spark, sf, "documents")
+    numbers = F.sequence(F.lit(0), F.ceil(F.length("text") / 100).cast("int") - 1)
+    parts = documents.select("doc_id", F.posexplode(F.transform(numbers, lambda i: F.substring(F.col("text"), i * 100 + 1, F.lit(100)))).alias("at", "data"))
+    pieces = listing.stored_pieces(parts.select("doc_id", (F.col("at") + 1).alias("filepart"), "data"), "doc_id", piece_bytes=2000)
+    whole = pieces.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("first_part", "data"))).alias("pieces"))
+    return whole.select(F.col("name").cast("bigint").alias("doc_id"), F.array_join(F.transform("pieces", lambda p: p["data"]), "").alias("text"))
+
+
 @query("archives_unpacked", "SELECT * FROM customer")
 def _unpack(spark, sf):
     """Several archives of one member and one of the dictionary, picked from a listing with their parts, to typed files."""

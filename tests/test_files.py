@@ -172,6 +172,32 @@ def test_missing_or_repeated_parts_are_errors(spark, numbers):
         listing.reassemble_parts(parts).collect()
 
 
+def test_pieces_of_objects(spark, rows):
+    rnd = random.Random(8)
+    objects = {"a": 1, "b": 40, "c": 300, None: 7}
+    parts = [(n, k, f"{n}{k}." if k % 5 else None) for n, count in objects.items() for k in range(1, count + 1)]
+    rnd.shuffle(parts)
+    df = spark.createDataFrame(parts, "name string, filepart int, data string").repartition(5)
+    for size in (1, 50, 1 << 20):
+        found = listing.stored_pieces(df, piece_bytes=size)
+        got = {}
+        for r in sorted(found.collect(), key=lambda r: r.first_part):
+            assert r.first_part == got.get(r.name, (0, ""))[0] + 1 and len(r.data) < size + 8
+            got[r.name] = (r.last_part, got.get(r.name, (0, ""))[1] + r.data)
+        assert got == {n: (count, "".join(f"{n}{k}." for k in range(1, count + 1) if k % 5)) for n, count in objects.items()}
+    assert bytes(listing.stored_pieces(df.withColumn("data", F.col("data").cast("binary")).where("name = 'a'")).first().data) == b"a1."
+    assert listing.stored_pieces(df.limit(0)).count() == 0
+    for numbers in ((1, 3), (2, 3), (1, 1, 2), (0, 1), tuple(range(1, 200)) + (201,)):
+        broken = spark.createDataFrame([("a", n, "x") for n in numbers], "name string, filepart int, data string").repartition(4)
+        with pytest.raises(Exception, match="missing or repeated"):
+            listing.stored_pieces(broken)
+
+
+def test_addresses_of_object_stores():
+    assert archive._local_path("s3a://bucket/a b") == "s3://bucket/a b" and archive._local_path("s3://b/x") == "s3://b/x"
+    assert archive._local_path("file:/tmp/x") == "/tmp/x" and archive._local_path("hdfs://h/x") == "hdfs://h/x"
+
+
 def test_listing_scan(spark, tmp_path):
     (tmp_path / "l.json").write_text('{"name": "a", "extract_type": "full", "stop_time": "2025", "record_count": 3, "filepart_details": [{"name": "p", "filepart": 1}]}\n')
     row = listing.scan_listing(spark, str(tmp_path / "l.json")).first()
@@ -252,4 +278,4 @@ def test_archives_grow_with_the_table(spark, tmp_path, rows):
     assert found.select("archive").distinct().count() == len(made)
     table = archive.member_table(found, "Object/t.csv", ["id", "text"]).select(F.col("id").cast("bigint"), "text")
     assert rows(table) == rows(df)
-    assert archive.pack_archives(df.limit(0), "t.csv", str(tmp_path / "none")).agg(F.sum("records")).first()[0] == 0
+    assert archive.pack_archives(df.where("id < 0"), "t.csv", str(tmp_path / "none")).agg(F.sum("records")).first()[0] == 0

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +32,7 @@ def _by_batch(objects: DataFrame) -> DataFrame:
 
 
 def write_objects(df: DataFrame, root: str, path: str = "path", content: str = "content") -> None:
-    """One stored object per row, written by the tasks. Repeating a task writes the same objects again."""
+    """One stored object per row, written by the tasks. An object has its name only when it is whole; a task that is repeated writes the same objects again."""
     root = qualified(df.sparkSession, root)
     body = F.col(content)
     if isinstance(df.schema[content].dataType, T.StringType):
@@ -41,8 +44,16 @@ def write_objects(df: DataFrame, root: str, path: str = "path", content: str = "
         system, base = fs.FileSystem.from_uri(_local_path(root))
         for row in rows:
             name = f"{base}/{row['path']}"
-            system.create_dir(name.rsplit("/", 1)[0], recursive=True)
-            with system.open_output_stream(name, compression=None) as out:
-                out.write(bytes(row["content"]))
+            folder, last = name.rsplit("/", 1)
+            system.create_dir(folder, recursive=True)
+            hidden = f"{folder}/_{uuid.uuid4().hex}.{last}"
+            try:
+                with system.open_output_stream(hidden, compression=None) as out:
+                    out.write(bytes(row["content"]))
+                system.move(hidden, name)
+            except BaseException:
+                with contextlib.suppress(OSError):
+                    system.delete_file(hidden)
+                raise
 
     df.select(F.col(path).alias("path"), body.alias("content")).foreachPartition(store)

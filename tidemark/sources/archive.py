@@ -33,8 +33,11 @@ ARCHIVE_BYTES = 64 << 20
 
 
 def _local_path(uri: str) -> str:
-    """``file:/x`` as ``/x``; every other address as it is."""
-    return uri[len("file:"):] if uri.startswith("file:/") and "://" not in uri else uri
+    """An address as pyarrow takes it: ``file:/x`` as ``/x``, Hadoop's names of an object store by the store's own."""
+    if uri.startswith("file:/") and "://" not in uri:
+        return uri[len("file:"):]
+    scheme, mark, rest = uri.partition("://")
+    return f"s3{mark}{rest}" if scheme in ("s3a", "s3n") else uri
 
 
 class _PartStream(io.RawIOBase):

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import extract_table, parquet_file
 from tidemark.operators.change import conform
+from tidemark.session import release, settle
 from tidemark.sources.files import scan_csv, scan_parquet
 from tidemark.sources.model import (
     EXTRACT_KINDS,
@@ -101,6 +103,56 @@ def reassemble_parts(parts: DataFrame, name: str = "name", part: str = "filepart
     return listed.select(name, F.when(whole, joined).otherwise(missing).alias(data))
 
 
+PIECE_BYTES = 8 << 20
+
+
+def stored_pieces(
+    parts: DataFrame, name: str = "name", part: str = "filepart", data: str = "data", piece_bytes: int = PIECE_BYTES
+) -> DataFrame:
+    """Objects of any size as rows ``(name, first_part, last_part, data)``: pieces of about ``piece_bytes``, which follow each other; stored.
+
+    Parts are numbered from 1; a missing or repeated one is an error, a null one is empty. They are sorted by object and number, and an object with very many parts
+    lies in several partitions. A task passes over its parts and hands on a piece at a time, so its memory does not depend on the size of an object. Equal parts meet in one task, which
+    finds repeats; with none, an object is whole if it has as many parts as its last number says.
+    """
+    binary = isinstance(parts.schema[data].dataType, T.BinaryType)
+    text = F.col(f"`{data}`")
+    rows = parts.select(F.col(f"`{name}`").cast("string").alias("name"), F.col(f"`{part}`").cast("bigint").alias("part"), (text if binary else text.cast("binary")).alias("data"))
+    ordered = rows.repartitionByRange("name", "part").sortWithinPartitions("name", "part")
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun: list = []  # name, first part, last part
+        held: list[bytes] = []
+        size = 0
+
+        def made() -> pa.RecordBatch:
+            values = [*begun, b"".join(held)]
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], names=["name", "first_part", "last_part", "data"])
+
+        for batch in batches:
+            for own, number, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if begun and begun[0] == own and number != begun[2] + 1:
+                    raise ValueError(f"parts are missing or repeated of {own}")
+                if begun and (begun[0] != own or size >= piece_bytes):
+                    yield made()
+                    begun, size = [], 0
+                    held.clear()
+                begun = [own, begun[1] if begun else number, number]
+                held.append(body.as_py() or b"")
+                size += len(held[-1])
+        if begun:
+            yield made()
+
+    stored = settle(ordered.mapInArrow(pieces, "name string, first_part bigint, last_part bigint, data binary"), "pieces")
+    counted = stored.groupBy("name").agg(F.sum(F.col("last_part") - F.col("first_part") + 1).alias("n"), F.min("first_part").alias("first"), F.max("last_part").alias("last"))
+    broken = counted.where("NOT (first <=> 1 AND n <=> last)").limit(1).collect()
+    if broken:
+        release(stored)
+        raise ValueError(f"parts are missing or repeated of {broken[0]['name']}")
+    return stored if binary else stored.withColumn("data", F.col("data").cast("string"))
+
+
 def scan_listing(spark: SparkSession, path: str, parquet: bool = False) -> DataFrame:
     """The stored extract listing, one JSON object per line or Parquet."""
     return spark.read.schema(LISTING_SCHEMA).parquet(path) if parquet else spark.read.schema(LISTING_SCHEMA).json(path)
