@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from querybook.registry import query, read
+from querybook.registry import plain_times, query, read
 from tidemark.functions import names
 from tidemark.operators import documents as docs
 from tidemark.operators import numbering, nest
@@ -97,6 +100,27 @@ def _page(spark, sf):
     return numbering.page(read(spark, sf, "orders"), ["o_totalprice", "o_orderkey"], 100, 200)
 
 
+@query("pages_by_token", """
+WITH n AS (SELECT greatest(1, ceil(count(*) / 6.0)::BIGINT) AS size FROM orders),
+p AS (SELECT (row_number() OVER (ORDER BY o_orderpriority NULLS FIRST, o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) - 1) // (SELECT size FROM n) AS page, * FROM orders)
+SELECT 'next' AS way, page, o_orderkey, o_orderdate, o_orderpriority FROM p
+UNION ALL SELECT 'previous', page, o_orderkey, o_orderdate, o_orderpriority FROM p WHERE page < (SELECT max(page) FROM p)""")
+def _walk(spark, sf):
+    """All of orders in six pages, from each to the next by its token, and all the way back."""
+    orders = read(spark, sf, "orders")
+    size = max(1, -(-orders.count() // 6))
+    order = ["o_orderpriority", "o_orderdate", "o_orderkey"]
+    walked, page = [], numbering.keyset_page(orders, order, size)
+    for way, number in [("next", n) for n in range(6)] + [("previous", n) for n in range(4, -1, -1)]:
+        if (way, number) != ("next", 0):
+            token = page.next if way == "next" else page.previous
+            if token is None:
+                break
+            page = numbering.keyset_page(orders, order, size, token)
+        walked.append(page.rows.select(F.lit(way).alias("way"), F.lit(number).cast("bigint").alias("page"), "o_orderkey", "o_orderdate", "o_orderpriority"))
+    return plain_times(reduce(DataFrame.unionByName, walked))
+
+
 @query("page_envelope", """
 SELECT 100::BIGINT AS pagesize, greatest(least(100, count(*) - 200), 0)::BIGINT AS size, count(*) AS total, 200::BIGINT AS pageoffset,
        count(*) > 300 AS has_next, true AS has_previous FROM orders""")

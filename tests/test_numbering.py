@@ -73,3 +73,33 @@ def test_nest_and_unnest(spark, rows):
     assert [(r["id"], r["page"], len(r["kids"])) for r in nested.orderBy("id", "page").collect()] == [(1, 0, 2), (1, 1, 2), (1, 2, 1), (2, 0, 1), (3, 0, 0)]
     assert rows(nest.unnest(nested, "kids", ["id"])) == sorted([(1, i, f"x{i}") for i in range(5)] + [(2, 9, "y")], key=repr)
     assert nest.rows_to_structs(child, ["fk"], ["k"]).where("fk = 1").first()["rows"][4]["v"] == "x4"
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 100])
+def test_walk_by_tokens(spark, size):
+    import datetime
+
+    from tidemark.operators.numbering import keyset_page
+
+    at = lambda i: datetime.datetime(2025, 1, 1, 0, 0, 0, i)
+    data = [(i % 3 if i % 4 else None, "a'\"b" if i % 2 else None, i / 7, at(i % 5), i % 6) for i in range(17)]
+    data += [(1, "same", 0.5, at(3), 2)] * 9
+    df = spark.createDataFrame(data, "a int, b string, c double, d timestamp_ntz, e bigint").repartition(3)
+    order = ["b", "a"]
+    want = [tuple(r) for r in df.orderBy(*[F.col(c).asc_nulls_first() for c in ["b", "a", "c", "d", "e"]]).collect()]
+    forth, page = [], keyset_page(df, order, size)
+    pages = [page]
+    while True:
+        forth += [tuple(r) for r in page.in_order().collect()]
+        if page.next is None:
+            break
+        page = keyset_page(df, order, size, page.next)
+        pages.append(page)
+    assert forth == want
+    if size >= 3:
+        back = [tuple(r) for r in page.in_order().collect()]
+        while page.previous is not None:
+            page = keyset_page(df, order, size, page.previous)
+            back = [tuple(r) for r in page.in_order().collect()] + back
+        assert back == want
+    assert keyset_page(df.limit(0), order, size).next is None

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,6 +119,72 @@ def page(df: DataFrame, order: Sequence[str | Column], size: int, offset: int =
     return wanted.drop("__row").orderBy(*order)
 
 
+@dataclass(frozen=True)
+class KeysetPage:
+    """Rows of a page, stored, in ``order``, and the tokens of the pages around it; None where there is none."""
+
+    rows: DataFrame
+    order: list[str]
+    next: str | None
+    previous: str | None
+
+    def in_order(self) -> DataFrame:
+        return self.rows.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in self.order])
+
+
+_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def keyset_page(df: DataFrame, order: Sequence[str], size: int, token: str | None = None) -> KeysetPage:
+    """The page of ``size`` rows that a token leads to, the first one without a token; nulls come first.
+
+    A token holds the boundary row's values, its direction and how many equal rows are behind it already, so that a page costs the same at any depth: a filter on the order, which
+    reaches the scan, and the least rows of each task. Rows that ``order`` does not tell apart follow in the order of their other columns, equal rows one by one.
+    """
+    if size <= 0:
+        raise ValueError("page size must be positive")
+    named = list(order) + [f.name for f in df.schema.fields if f.name not in order and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    schema = T.StructType([df.schema[c] for c in named])
+    at = json.loads(token) if token else {"back": False, "seen": 0, "row": None}
+    back, seen = at["back"], at["seen"]
+    rows = df
+    if at["row"] is not None:
+        rows = df.where(_from_boundary(named, F.from_json(F.lit(at["row"]), schema, _TIMES), back))
+    direction = [F.col(f"`{c}`").desc_nulls_last() if back else F.col(f"`{c}`").asc_nulls_first() for c in named]
+    taken = settle(rows.orderBy(*direction).offset(seen).limit(size + 1), "page")
+    key = F.struct(*[F.col(f"`{c}`") for c in named])
+    ends = taken.orderBy(*direction).select(F.to_json(key, _TIMES).alias("row")).collect()  # a page
+    more = len(ends) > size
+    found = [r["row"] for r in ends[:size]]
+    if more:
+        taken = settle(taken.orderBy(*direction).limit(size), "page")
+
+    def boundary(values: list[str], backwards: bool) -> str | None:
+        if not values:
+            return None
+        alike = next((i for i, v in enumerate(values) if v != values[0]), len(values))
+        # A page of one repeated row goes on where the one before it has ended.
+        return json.dumps({"back": backwards, "seen": alike + (seen if alike == len(values) and at["row"] == values[0] and backwards == back else 0), "row": values[0]})
+
+    onward, behind = boundary(found[::-1], back) if more else None, boundary(found, not back) if token else None
+    return KeysetPage(taken, named, *((behind, onward) if back else (onward, behind)))
+
+
+def _from_boundary(named: Sequence[str], row: Column, back: bool) -> Column:
+    """Rows at or behind the boundary row, in the order of the columns."""
+    out = F.lit(True)
+    for c in reversed(named):
+        value, bound = F.col(f"`{c}`"), row.getField(c)
+        if back:
+            beyond = F.coalesce(value < bound, value.isNull() & bound.isNotNull())
+        else:
+            beyond = F.coalesce(value > bound, value.isNotNull() & bound.isNull())
+        out = beyond | (value.eqNullSafe(bound) & out)
+    first, bound = F.col(f"`{named[0]}`"), row.getField(named[0])
+    # Said once more for the scan, which understands a comparison with one value.
+    return out & (bound.isNull() | (first >= bound)) if not back else out
+
+
 def page_envelope(df: DataFrame, size: int, offset: int = 0) -> DataFrame:
     """One row describing a page: its rows, the total and whether there are pages around it."""
     total = F.col("total")
