@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm.files import open_file
-from tidemark.llm.warc import read_bundles, read_record, seek_table, write_bundles
+from tidemark.llm.warc import read_bundles, read_record, read_records, seek_table, write_bundles
 from tidemark.session import qualified, scratch_path
 
 
@@ -19,6 +19,7 @@ def test_round_trip(spark, least):
     path = scratch_path(spark, "warc")
     index = write_bundles(df, path, min_payload_bytes=least, frame_bytes=400)
     got = read_bundles(spark, path, index).collect()
+    assert sorted(map(repr, read_records(spark, path, index).collect())) == sorted(map(repr, got))
     want = []
     for i, url, html in rows:
         body = (html or "").encode("utf-8")
@@ -44,3 +45,16 @@ def test_no_pages(spark):
     path = scratch_path(spark, "warc")
     index = write_bundles(spark.createDataFrame([], "page_id bigint, url string, html string"), path)
     assert index.count() == 0 and read_bundles(spark, path, index).count() == 0
+    assert read_records(spark, path, index).count() == 0
+
+
+def test_a_repeated_task_leaves_the_index_valid(spark):
+    """Two runs of the same tasks, whose rows come in different orders, write to one folder."""
+    df = spark.range(60).selectExpr("id AS page_id", "concat('u', id) AS url", "repeat(cast(id AS string), cast(id + 1 AS int)) AS html").coalesce(1)
+    path = scratch_path(spark, "warc")
+    indexes = [write_bundles(rows, path, frame_bytes=900) for rows in (df, df.orderBy(F.col("page_id").desc()).coalesce(1))]
+    for index in indexes:
+        assert {r.page_id: bytes(r.payload) for r in read_records(spark, path, index).collect()} == {i: str(i).encode() * (i + 1) for i in range(60)}
+        assert [r.page_id for r in read_records(spark, path, index.where("page_id = 37")).collect()] == [37]
+    with pytest.raises(Exception, match="does not fit|no record begins|no frame begins|substring not found"):
+        read_records(spark, path, indexes[0].withColumn("record_offset", F.col("record_offset") + 1)).collect()

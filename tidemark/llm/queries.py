@@ -19,7 +19,7 @@ from tidemark.llm.spelling import spelling_variants
 from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.llm.url_filter import Rule
-from tidemark.llm.warc import read_bundles, write_bundles
+from tidemark.llm.warc import read_records, write_bundles
 from tidemark.llm.whitening import whiten
 from tidemark.session import scratch_path
 
@@ -72,7 +72,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     index = write_bundles(table(spark, sf_dir, "pages"), path)
-    return read_bundles(spark, path, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_records(spark, path, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @query("op9_packing")

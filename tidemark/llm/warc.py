@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -87,7 +88,8 @@ def write_bundles(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
 
     The payload is the html in UTF-8; a null one is empty. Of records with equal payloads of at least ``min_payload_bytes`` the one with the largest id is a
     response and the others are revisits of it. Rows that repeat both the largest id and its payload are each a response; a row without an id is a revisit if
-    any equal payload has an id, else a response. A null url is left out. An empty table gives no records. Other columns are not read.
+    any equal payload has an id, else a response. Each run of a task writes a bundle of its own: those that the index does not name are of attempts that were
+    repeated, and may be deleted. A null url is left out. An empty table gives no records. Other columns are not read.
     """
     path = qualified(pages.sparkSession, path)
     decided = decide(pages, id_col, url_col, html_col, min_payload_bytes)
@@ -96,7 +98,8 @@ def write_bundles(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
         import zstandard
         from pyspark import TaskContext
 
-        bundle = f"bundle-{TaskContext.get().partitionId():06d}.warc.zst"
+        # Rows come in no certain order, so each attempt has a bundle of its own; the stored index names those of the attempts that count.
+        bundle = f"bundle-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.zst"
         packer, sizes, offset = zstandard.ZstdCompressor(level=level), [], 0
         frame, held, index = [], 0, []
 
@@ -172,15 +175,51 @@ def read_bundles(spark: SparkSession, path: str, bundles: DataFrame) -> DataFram
                 while place < len(data):
                     head, block, place = parse_record(data, place)
                     rows.append(_row(head, block))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()))],
-                    names=[c.split()[0] for c in RECORDS.split(", ")])
+                yield _batch(rows)
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = bundles.select("bundle").distinct().mapInArrow(frames, "bundle string, at bigint, size bigint")
     return found.repartition(parts, "bundle", "at").mapInArrow(records, RECORDS)
 
 
+def read_records(spark: SparkSession, path: str, index: DataFrame) -> DataFrame:
+    """The records that ``index``, or any rows of it, names, as ``read_bundles`` gives them; only their frames are read.
+
+    A frame is read once for all its records, whose number its size bounds. An entry that points at no record, or at one of another length, is an error.
+    """
+    path = qualified(spark, path)
+    entries = F.sort_array(F.collect_list(F.struct("record_offset", "record_bytes"))).alias("entries")
+    frames = index.groupBy("bundle", "frame_offset").agg(entries)
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, at, entries in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                with open_file(f"{path}/{name}") as source:
+                    data = read_frame(source, at, _packed(seek_table(source), at))
+                rows = []
+                for entry in entries:
+                    head, block, end = parse_record(data, entry["record_offset"])
+                    if end != entry["record_offset"] + entry["record_bytes"]:
+                        raise ValueError(f"the index does not fit {name}")
+                    rows.append(_row(head, block))
+                yield _batch(rows)
+
+    return frames.mapInArrow(records, RECORDS)
+
+
+def _packed(table: np.ndarray, frame_offset: int) -> int:
+    """The packed size of the frame that begins at ``frame_offset``."""
+    place = int(np.searchsorted(table[:, 0], frame_offset))
+    if place == len(table) or table[place, 0] != frame_offset:
+        raise ValueError(f"no frame begins at {frame_offset}")
+    return int(table[place, 1])
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[c.split()[0] for c in RECORDS.split(", ")])
+
+
 def _row(head: dict, block: bytes) -> tuple:
     number = lambda text: int(text[len("<urn:page:") : -1]) if text and text != "<urn:page:>" else None
     kind, digest, size = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha1:"), int(head["X-Payload-Length"])
@@ -195,7 +234,5 @@ def _row(head: dict, block: bytes) -> tuple:
 def read_record(spark: SparkSession, path: str, bundle: str, frame_offset: int, record_offset: int) -> tuple[dict, bytes]:
     """One record by its index entry; only its frame is read."""
     with open_file(f"{qualified(spark, path)}/{bundle}") as source:
-        table = seek_table(source)
-        packed = int(table[np.searchsorted(table[:, 0], frame_offset), 1])
-        head, block, _ = parse_record(read_frame(source, frame_offset, packed), record_offset)
+        head, block, _ = parse_record(read_frame(source, frame_offset, _packed(seek_table(source), frame_offset)), record_offset)
     return head, block
