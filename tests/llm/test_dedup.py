@@ -264,3 +264,13 @@ def test_empty_tables(table):
     empty = table([])
     assert exact_dedup(empty).count() == 0 and line_dedup(empty).count() == 0
     assert substring_dedup(empty).count() == 0 and simhash.simhash_components(empty).count() == 0 and near_copies.simhash_dedup(empty).count() == 0
+
+
+@pytest.mark.parametrize("step", [1, 64, 96])
+def test_substring_pieces_are_dealt_evenly(step):
+    """A hot passage in documents whose ids have one residue, and in many places of one document, fills all groups of its parent."""
+    from tidemark.llm.substring_dedup import _dealt
+
+    for pairs in ([(i * step, 0) for i in range(4800)], [(7, i * step) for i in range(4800)]):
+        dealt = np.bincount([_dealt(d, s, 12) for d, s in pairs], minlength=12)
+        assert dealt.min() > 300 and dealt.max() < 500

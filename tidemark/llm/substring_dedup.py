@@ -14,10 +14,13 @@ A window counts as repeated only when the backward search has found all its word
 
 from __future__ import annotations
 
+import struct
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -136,7 +139,7 @@ def _pieces(texts: DataFrame, shared: DataFrame, length: int) -> DataFrame:
                     step = INDEXED if own else STREAMED
                     for a in range(first, last + 1, step):
                         piece = b" ".join(words[a : min(a + step - 1, last) + length])
-                        for salt in range(salts) if own else (doc % salts,):
+                        for salt in range(salts) if own else (_dealt(doc, base + a, salts),):
                             out.append((shard, salt, 0 if own else 1, doc, version, base + a, piece))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
@@ -145,6 +148,11 @@ def _pieces(texts: DataFrame, shared: DataFrame, length: int) -> DataFrame:
     return texts.select("doc", "version", "base", "words").join(per_text, ["doc", "version", "base"]).mapInArrow(cut, PIECES)
 
 
+def _dealt(doc: int, start: int, salts: int) -> int:
+    """The salt of a streamed piece, by its document and place: ids of one residue, and the pieces of one long document, spread like any others."""
+    return zlib.crc32(struct.pack("<qq", doc, start)) % salts
+
+
 def _joined(runs: list[dict]) -> Iterator[tuple[int, int, int, int, int]]:
     """Runs that follow each other and have one parent, as one."""
     now = None
@@ -212,15 +220,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = repeated_windows(keyed(docs, id_col, text_col), window)
     # Intervals of one document: never more than its windows.
     per_doc = found.groupBy("doc", "version").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    schema = "n_words bigint, n_removed bigint, kept_words string"
-    apply = F.pandas_udf(lambda texts, spans: _apply(texts, spans, window), schema, F.PandasUDFType.SCALAR)
+
+    @F.pandas_udf("n_words bigint, n_removed bigint, kept_words string")
+    def apply(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
+        return _apply(texts, spans, window)
+
     done = left.join(per_doc, ["doc", "version"], "left").select("row", apply("text", "spans").alias("out"))
     return done.select("row.*", "out.*")
 
 
-def _apply(texts, spans, window: int):
-    import pandas as pd
-
+def _apply(texts, spans, window: int) -> pd.DataFrame:
     out = []
     for text, own in zip(texts, spans):
         words = text.encode("utf-8").split()
