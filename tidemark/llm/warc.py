@@ -189,7 +189,9 @@ def read_records(spark: SparkSession, path: str, index: DataFrame) -> DataFrame:
     """
     path = qualified(spark, path)
     entries = F.sort_array(F.collect_list(F.struct("record_offset", "record_bytes"))).alias("entries")
-    frames = index.groupBy("bundle", "frame_offset").agg(entries)
+    # Dealt by number, not by size: a row of the index stands for up to a frame of archive.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frames = index.repartition(parts, "bundle", "frame_offset").groupBy("bundle", "frame_offset").agg(entries)
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
