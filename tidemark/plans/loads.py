@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ from tidemark.functions.clean import blank_to_null, clean, convert_value
 from tidemark.operators.dictionary import dictionary_columns, has_fraction, schema_from_metadata
 from tidemark.operators.evolve import change_plan
 from tidemark.plans.target import Target, bucket_count
-from tidemark.session import in_parallel, local_rows, release, settle, total_bytes
+from tidemark.session import in_parallel, local_rows, observed, release, settle, total_bytes
 from tidemark.sources.files import scan_inferred_csv
 from tidemark.sources.listing import (
     extract_paths,
@@ -67,17 +67,14 @@ def _outcome(table: str, change: str, declared: int, loaded: int, lost: int = 0)
 LARGEST_WHOLE_DOUBLE = float(1 << 53)
 
 
-def _admit(target: Target, table: str, raw: DataFrame, options: LoadOptions) -> tuple[int, int]:
-    """Make room for the numbers of ``raw``, which is stored, in a table; returns its rows and its values that do not convert.
-
-    A column that holds whole numbers so far and now gets fractions, or larger numbers, becomes double, or decimal where a double would round a whole number. One
-    aggregation over the file, whatever the number of columns.
-    """
+def _measures(target: Target, table: str, raw: DataFrame, options: LoadOptions) -> tuple[list[Column], list[str]]:
+    """What a table has to know of the rows of ``raw``, as aggregates, whatever the number of columns: ``rows``, ``lost`` (values that do not convert), and for each
+    of the returned columns, which hold whole numbers so far, whether there are fractions or larger numbers (``wide0`` ...) and the largest number (``large0`` ...)."""
     snap = target.snapshot(table)
     keys = {k.lower() for k in _keys(table, options)} | {k.lower() for k in snap.keys}
     fields = list(zip(raw.columns, snap.schema.fields)) if options.match == "position" else [
         (c, f) for f in snap.schema.fields for c in raw.columns if c.lower() == f.name.lower()]
-    lost, wide, large = F.lit(0).cast("bigint"), {}, {}
+    lost, whole, measures = F.lit(0).cast("bigint"), [], []
     for name, f in fields:
         source = raw.schema[name].dataType
         if isinstance(f.dataType, T.StringType) or source == f.dataType:
@@ -87,16 +84,23 @@ def _admit(target: Target, table: str, raw: DataFrame, options: LoadOptions) ->
         goal = f.dataType
         if isinstance(goal, T.LongType) and f.name.lower() not in keys:
             text, goal = blank_to_null(value.cast("string")), T.DoubleType()
-            wide[f.name] = F.coalesce(F.bool_or(has_fraction(text)), F.lit(False))
-            large[f.name] = F.coalesce(F.max(F.abs(text.try_cast("double"))), F.lit(0.0))
+            measures += [F.coalesce(F.bool_or(has_fraction(text)), F.lit(False)).alias(f"wide{len(whole)}"),
+                         F.coalesce(F.max(F.abs(text.try_cast("double"))), F.lit(0.0)).alias(f"large{len(whole)}")]
+            whole.append(f.name)
         lost += F.coalesce(F.sum((given & convert_value(value, source, goal).isNull()).cast("bigint")), F.lit(0))
-    found = raw.agg(F.count(F.lit(1)).alias("rows"), lost.alias("lost"), F.struct(F.lit(0), *[w.alias(c) for c, w in wide.items()]).alias("wide"),
-                    F.struct(F.lit(0), *[v.alias(c) for c, v in large.items()]).alias("large")).first()
-    grown = [c for c in wide if found["wide"][c]]
+    return [F.count(F.lit(1)).alias("rows"), lost.alias("lost"), *measures], whole
+
+
+def _admit(target: Target, table: str, found: Mapping, whole: Sequence[str]) -> tuple[int, int]:
+    """Make room in a table for numbers measured by ``_measures``; returns the rows and the values that do not convert.
+
+    A column that holds whole numbers so far and now gets fractions, or larger numbers, becomes double, or decimal where a double would round a whole number.
+    """
+    grown = {c: found[f"large{i}"] for i, c in enumerate(whole) if found[f"wide{i}"]}
     if grown:
         held = target.read(table).agg(*[F.max(F.abs(F.col(f"`{c}`").cast("double"))) for c in grown]).first()
         target.evolve(table, retype={
-            c: DECIMAL_TYPE if max(most or 0.0, found["large"][c]) >= LARGEST_WHOLE_DOUBLE else T.DoubleType() for c, most in zip(grown, held)})
+            c: DECIMAL_TYPE if max(most or 0.0, large) >= LARGEST_WHOLE_DOUBLE else T.DoubleType() for (c, large), most in zip(grown.items(), held)})
     return found["rows"], found["lost"]
 
 
@@ -202,7 +206,8 @@ def _load_all(spark: SparkSession, extract_dir: str, target: Target, kind: str,
         target.create(table, schema, keys_of(table, options), bucket_count(total_bytes(spark, path), target.buckets))
         lost = 0
         if checked:
-            _, lost = _admit(target, table, raw, options)
+            measures, whole = _measures(target, table, raw, options)
+            _, lost = _admit(target, table, raw.agg(*measures).first().asDict(), whole)
             if landed is not None:
                 held = {f.name.lower(): f.dataType for f in target.snapshot(table).schema.fields}
                 typed = clean(raw, T.StructType([T.StructField(f.name, held.get(f.name, f.dataType)) for f in file_schema]), options.trim_strings)
@@ -275,9 +280,13 @@ def apply_incremental(
                     report.append((table, change, f["records"], 0, "no table", None))
                     continue
                 # Stored once, columnar: the text is parsed a single time although keys and rows are read separately.
-                stored = settle(raw if change == "updates" else raw.select(*_keys(table, options)), f"staged-{table}")
+                # The job that stores it also measures it.
+                given_rows = raw if change == "updates" else raw.select(*_keys(table, options))
+                measures, whole = _measures(target, table, raw, options) if change == "updates" else ([F.count(F.lit(1)).alias("rows"), F.lit(0).alias("lost")], [])
+                given_rows, taken = observed(given_rows, *measures)
+                stored = settle(given_rows, f"staged-{table}")
                 stored_frames.append(stored)
-                rows, lost = _admit(target, table, stored, options) if change == "updates" else (stored.count(), 0)
+                rows, lost = _admit(target, table, taken.get, whole)
                 report.append(_outcome(table, change, f["records"], rows, lost))
                 given[change].append(stored)
         snap = target.snapshot(table)

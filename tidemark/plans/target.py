@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.change import conform, delete_by_key, typed_keys, upsert
 from tidemark.operators.evolve import _type, evolve
-from tidemark.session import create_small_text, delete_path, list_names, local_rows, no_rows, path_exists, read_small_text
+from tidemark.session import create_small_text, delete_path, list_names, local_rows, no_rows, observed, path_exists, read_small_text
 
 BUCKET = "__bucket"
 DEFAULT_BUCKETS = 16
@@ -155,8 +155,8 @@ class Target:
 
     def _write(
         self, table: str, snap: Snapshot, version: int, moved: DataFrame | None = None, placed: DataFrame | None = None
-    ) -> list[int]:
-        """Write rows into a new data version; returns the buckets that got any.
+    ) -> tuple[list[int], int]:
+        """Write rows into a new data version; returns the buckets that got any, and the number of rows.
 
         ``moved`` rows may come from anywhere: ``rebalance`` brings the rows of a bucket together and
         splits a bucket that is too large for one task, so neither many small files nor one huge task
@@ -170,33 +170,29 @@ class Target:
         if moved is not None:
             rows = moved.withColumn(BUCKET, bucket)
             parts.append(rows.hint("rebalance", BUCKET) if snap.buckets > 1 else rows)
-        reduce(DataFrame.unionByName, parts).write.mode("errorifexists").partitionBy(BUCKET).parquet(path)
-        return [int(n.split("=")[1]) for n in list_names(self.spark, path) if n.startswith(f"{BUCKET}=")]
+        # Counted by the writing tasks themselves.
+        rows, taken = observed(reduce(DataFrame.unionByName, parts), F.count(F.lit(1)).alias("rows"))
+        rows.write.mode("errorifexists").partitionBy(BUCKET).parquet(path)
+        return [int(n.split("=")[1]) for n in list_names(self.spark, path) if n.startswith(f"{BUCKET}=")], taken.get["rows"]
 
     def append(self, table: str, rows: DataFrame, match: str = "name", applied: str | None = None) -> int:
         """Add rows; no existing file is read or rewritten. Returns the number of rows added."""
         snap = self._must(table)
         version = self._last_version(table) + 1
-        touched = self._write(table, snap, version, conform(rows, snap.schema, match))
+        touched, added = self._write(table, snap, version, conform(rows, snap.schema, match))
         files = {b: list(v) for b, v in snap.files.items()}
         for b in touched:
             files.setdefault(b, []).append(version)
         self._commit(table, replace(snap, version=version, files=files, applied=snap.applied if applied is None else applied))
-        return self._rows_in(table, version, touched)
-
-    def _rows_in(self, table: str, version: int, buckets: Sequence[int]) -> int:
-        # From the file footers; a counter kept while writing would count repeated tasks twice.
-        if not buckets:
-            return 0
-        return self.spark.read.schema(f"{BUCKET} int").parquet(f"{self.root}/{table}/data/v={version}").count()
+        return added
 
     def overwrite(self, table: str, rows: DataFrame, match: str = "name") -> int:
         """Replace all rows; returns their number."""
         snap = self._must(table)
         version = self._last_version(table) + 1
-        touched = self._write(table, snap, version, conform(rows, snap.schema, match))
+        touched, added = self._write(table, snap, version, conform(rows, snap.schema, match))
         self._commit(table, replace(snap, version=version, files={b: [version] for b in touched}, retired=[]))
-        return self._rows_in(table, version, touched)
+        return added
 
     def change(
         self,
@@ -231,13 +227,13 @@ class Target:
             kept = delete_by_key(before, reduce(DataFrame.unionByName, sides), keys, few_keys=few)
             new = updates.distinct() if updates is not None and distinct else updates
             if few:
-                written = self._write(table, snap, version, moved=new, placed=kept)
+                written, _ = self._write(table, snap, version, moved=new, placed=kept)
             else:
-                written = self._write(table, snap, version, moved=kept if new is None else kept.unionByName(new))
+                written, _ = self._write(table, snap, version, moved=kept if new is None else kept.unionByName(new))
         else:
             after = before if deletes is None else delete_by_key(before, deletes, keys, key_match)
             after = after if updates is None else upsert(after, updates, keys, mode, distinct)
-            written = self._write(table, snap, version, moved=after)
+            written, _ = self._write(table, snap, version, moved=after)
         files = {b: v for b, v in snap.files.items() if touched is not None and b not in touched}
         files.update({b: [version] for b in written})
         self._commit(table, replace(snap, version=version, files=files, applied=snap.applied if applied is None else applied))
@@ -282,7 +278,7 @@ class Target:
         if (retype or returning or lost_keys) and snap.files:
             rows = evolve(self._scan(table, snap), add, retype, drop)
             rehashed = bool({k.lower() for k in retype} & {k.lower() for k in snap.keys})
-            written = self._write(table, changed, version, *((rows, None) if rehashed else (None, rows)))
+            written, _ = self._write(table, changed, version, *((rows, None) if rehashed else (None, rows)))
             changed = replace(changed, files={b: [version] for b in written}, retired=[])
         self._commit(table, changed)
 

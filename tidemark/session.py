@@ -14,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,6 +65,15 @@ def drop_scratch(spark: SparkSession) -> bool:
     return delete_path(spark, _scratch_root(spark))
 
 
+def observed(df: DataFrame, *measures: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with measures that the job which writes it takes on its way; ``observation.get`` has them afterwards.
+
+    The measures belong directly below a write: there they are part of its last stage, whose tasks count once however often they run.
+    """
+    taken = Observation()
+    return df.observe(taken, *measures), taken
+
+
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """Write ``df`` once and read it back.
 
