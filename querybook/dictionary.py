@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from querybook.registry import query, read, scratch_path
 from tidemark.functions import names
@@ -237,6 +238,67 @@ def _describe(spark, sf):
     return describe_table(read(spark, sf, "part"))
 
 
+def _declared(spark, sf, table, key, factor):
+    """Dictionary rows of a table whose texts are declared ``factor`` times as long as their longest value."""
+    from querybook.registry import dictionary_rows
+
+    df = read(spark, sf, table).withColumnRenamed(key, "id")
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    longest = df.agg(*[F.max(F.length(c)).alias(c) for c in texts]).first().asDict()
+    return df, [(*r[:6], factor * longest[r[3]] if r[3] in longest else None, r[7]) for r in dictionary_rows(df, f"Object.{table}")]
+
+
+@query("declared_lengths", """
+SELECT 'customer' AS table_name, ordinal, column_name, type, length FROM (
+  SELECT 1 AS ordinal, 'id' AS column_name, 'bigint' AS type, NULL::BIGINT AS length
+  UNION ALL SELECT 2, 'c_name', 'string', 2 * max(length(c_name)) FROM customer
+  UNION ALL SELECT 3, 'c_nationkey', 'double', NULL
+  UNION ALL SELECT 4, 'c_mktsegment', 'string', 2 * max(length(c_mktsegment)) FROM customer
+  UNION ALL SELECT 5, 'p_type', 'string', 3 * max(length(p_type)) FROM part)""")
+def _lengths(spark, sf):
+    """Lengths follow a table from the dictionary through changes of its columns: one goes, one comes from another table's dictionary."""
+    from querybook.registry import DICTIONARY_DDL
+    from tidemark.plans.loads import apply_plan, create_tables
+
+    _, rows = _declared(spark, sf, "customer", "c_custkey", 2)
+    _, others = _declared(spark, sf, "part", "p_partkey", 3)
+    target = Target(spark, scratch_path(spark, "lengths"))
+    create_tables(spark, target, spark.createDataFrame(rows, DICTIONARY_DDL))
+    added = next(r for r in others if r[3] == "p_type")
+    steps = [{"step": 2, "table_name": "customer", "action": "add_column", "column_name": added[3], "type": "string"},
+             {"step": 1, "table_name": "customer", "action": "drop_column", "column_name": "c_acctbal", "type": None}]
+    apply_plan(target, steps, lengths={"customer": {added[3]: added[6]}})
+    return target.describe(["customer"])
+
+
+@query("catalog_tables_quoted", """
+SELECT 'p name' AS column_name, 'varchar(' || max(length(p_name)) || ')' AS type, count(p_name) AS n_values, max(p_name) AS last FROM part
+UNION ALL SELECT 'select', 'varchar(' || max(length(p_brand)) || ')', count(p_brand), max(p_brand) FROM part
+UNION ALL SELECT 'p`type', 'varchar(' || max(length(p_type)) || ')', count(p_type), max(p_type) FROM part
+UNION ALL SELECT '1st.size', 'int', count(p_size), max(p_size)::VARCHAR FROM part""")
+def _quoted(spark, sf):
+    """Rows through a catalogue table whose names need quotes: words of the language, digits first, blanks, dots, quotes themselves."""
+    from tidemark.functions.names import quote_name
+    from tidemark.operators.dictionary import declare_lengths
+    from tidemark.operators.evolve import catalog_types, create_catalog_tables, drop_catalog_tables
+
+    names = {"p name": "p_name", "select": "p_brand", "p`type": "p_type", "1st.size": "p_size"}
+    _, rows = _declared(spark, sf, "part", "p_partkey", 1)
+    lengths = {r[3]: r[6] for r in rows}
+    part = read(spark, sf, "part").select(*[F.col(c).alias(n) for n, c in names.items()])
+    database, table = "2nd_select", "order"
+    drop_catalog_tables(spark, [table], database) if spark.catalog.databaseExists(database) else None
+    schema = declare_lengths(part.schema, {n: lengths.get(c) for n, c in names.items()})
+    create_catalog_tables(spark, {table: schema}, database, scratch_path(spark, "catalog"))
+    full = f"{quote_name(database)}.{quote_name(table)}"
+    part.write.insertInto(full, overwrite=True)
+    found = spark.table(full)
+    types = catalog_types(spark, table, database)
+    values = [F.struct(F.lit(n).alias("column_name"), F.lit(types[n]).alias("type"), F.col(f"n{i}").alias("n_values"), F.col(f"m{i}").alias("last")) for i, n in enumerate(names)]
+    measures = [m for i, n in enumerate(names) for m in (F.count(F.col(quote_name(n))).alias(f"n{i}"), F.max(F.col(quote_name(n))).cast("string").alias(f"m{i}"))]
+    return found.agg(*measures).select(F.explode(F.array(*values)).alias("r")).select("r.*")
+
+
 @query("create_all_tables", """
 SELECT 'customer' AS table_name, ordinal, column_name, type, n_rows FROM
   (SELECT count(*) AS n_rows FROM customer),

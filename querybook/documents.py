@@ -165,6 +165,24 @@ def _open(spark, sf):
     return rows.select("event_id", "k", F.col("rest")["kind"].alias("kind"), F.col("rest")["seen_by"].alias("seen_by"))
 
 
+@query("json_open_typed", """
+SELECT event_id, CASE event_type WHEN 'error' THEN 'broken' WHEN 'signup' THEN 'other' ELSE 'object' END AS state,
+       CASE WHEN event_type NOT IN ('error', 'signup') THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+       CASE WHEN event_type NOT IN ('error', 'signup') THEN user_id END AS who_id,
+       CASE WHEN event_type NOT IN ('error', 'signup') THEN event_type END AS first_kind,
+       CASE WHEN event_type NOT IN ('error', 'signup') THEN 2 END AS n_rest
+FROM events""")
+def _open_typed(spark, sf):
+    """Events as open records with nested fields that the record does not know; errors are cut off, signups are lists."""
+    events = read(spark, sf, "events")
+    user = F.col("user_id").cast("string")
+    whole = F.concat(F.regexp_replace("props", r"\}$", ""), F.lit(', "who": {"id": '), user, F.lit(', "seen": [1, {"x": null}]}, "kinds": ["'), F.col("event_type"), F.lit('"]}'))
+    body = F.when(F.col("event_type") == "error", F.regexp_replace(whole, r"\]\}$", "")).when(F.col("event_type") == "signup", F.concat(F.lit("["), whole, F.lit("]"))).otherwise(whole)
+    rows = docs.open_typed_record(events.select("event_id", body.alias("props")), "props", T.StructType.fromDDL("k bigint"))
+    return rows.select("event_id", "state", "k", F.try_variant_get(F.col("rest")["who"], "$.id", "bigint").alias("who_id"),
+                       F.try_variant_get(F.col("rest")["kinds"], "$[0]", "string").alias("first_kind"), F.when(F.col("rest").isNotNull(), F.size("rest")).alias("n_rest"))
+
+
 @query("doc_text_sink", """
 SELECT doc_id || '/1_0/' || source || '.txt' AS path, text FROM documents WHERE lang <> 'de' AND n_chars >= 40""")
 def _texts(spark, sf):

@@ -87,3 +87,28 @@ def test_catalog_tables(spark, tmp_path):
     drop_catalog_tables(spark, ["n_12", "never"], "tidemark_test")
     assert not spark.catalog.tableExists("tidemark_test.n_12")
     spark.sql("DROP DATABASE tidemark_test")
+
+
+def test_declared_lengths(spark, tmp_path):
+    """A length stays with its column through changes of others, goes with it, and the catalogue holds writers to it."""
+    from tidemark.operators.dictionary import declare_lengths, declared_length, dictionary_columns
+    from tidemark.operators.evolve import catalog_types
+    from tidemark.plans.target import Target
+
+    rows = spark.createDataFrame([("Object.t", "A", "String", "5"), ("Object.t", "b", "String", "many"), ("Object.t", "c", "String", "0")], "extract string, column_name string, type string, length string")
+    assert [r.length for r in dictionary_columns(rows, with_length=True).orderBy("column_name").collect()] == [5, None, None]
+    assert dictionary_columns(rows.drop("length"), with_length=True).where("length IS NULL").count() == 3
+    schema = declare_lengths(T.StructType.fromDDL("id bigint, A string, b string"), {"a": 5, "id": 9, "b": None})
+    assert [declared_length(f) for f in schema.fields] == [None, 5, None]
+    store = Target(spark, str(tmp_path / "store"))
+    store.create("t", schema, ["id"])
+    store.append("t", spark.createDataFrame([(1, "x", "y")], "id bigint, A string, b string"))
+    store.evolve("t", add={"d": "string"}, drop=["b"], lengths={"d": 7, "a": 1})
+    assert [(r.column_name, r.length) for r in store.describe(["t"]).orderBy("ordinal").collect()] == [("id", None), ("a", 5), ("d", 7)]
+    store.evolve("t", retype={"A": "bigint"})
+    assert [r.length for r in store.describe(["t"]).orderBy("ordinal").collect()] == [None, None, 7]
+    create_catalog_tables(spark, {"lengths_12": schema}, "tidemark_lengths", str(tmp_path / "it's"))
+    assert catalog_types(spark, "lengths_12", "tidemark_lengths") == {"id": "bigint", "A": "varchar(5)", "b": "string"}
+    with pytest.raises(Exception, match="length"):
+        spark.sql("INSERT INTO tidemark_lengths.lengths_12 VALUES (1, 'longer than five', 'x')")
+    drop_catalog_tables(spark, ["lengths_12"], "tidemark_lengths")

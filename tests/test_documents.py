@@ -103,3 +103,22 @@ def test_search(spark, rows):
     df = spark.createDataFrame([("The x", "s"), (None, "the"), ("y", "z")], "t string, s string")
     assert docs.keyword_search(df, "THE", "t").count() == 1
     assert docs.keyword_search(df, "THE", "t", ["s"]).count() == 2
+
+
+def test_open_typed_record(spark):
+    """Nested and broken records, other JSON, odd names, values of another type."""
+    import json
+
+    from pyspark.sql import types as T
+
+    from tidemark.operators.documents import open_typed_record
+
+    texts = ['{"k": 1, "a b": {"x": [1, "2"]}, "n": null}', '{"k": "7", "it\'s": 1.5}', '{"k": "no"}', "{}", "[1]", "3", "null", '{"k": 1', '{"k": 1, "k": 2}', "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, body string").withColumn("extra", F.lit(1))
+    known = T.StructType([T.StructField("k", T.LongType()), T.StructField("it's", T.DoubleType())])
+    got = open_typed_record(df, "body", known).withColumn("rest", F.to_json("rest")).orderBy("i").collect()
+    assert [r.state for r in got] == ["object"] * 4 + ["other"] * 3 + ["broken"] * 3 + [None]
+    assert [r.k for r in got] == [1, 7] + [None] * 9
+    assert got[1]["it's"] == 1.5 and got[1].extra == 1
+    assert [r.rest and json.loads(r.rest) for r in got] == [{"a b": {"x": [1, "2"]}, "n": None}, {}, {}, {}] + [None] * 7
+    assert open_typed_record(df, "body", T.StructType()).where("rest['k'] IS NOT NULL").count() == 3

@@ -26,15 +26,34 @@ def columns_per_extract(rows: DataFrame, order: str, size: int = 1000) -> DataFr
     )
 
 
-def dictionary_columns(metadata: DataFrame) -> DataFrame:
-    """Dictionary rows as ``(table_name, column_name, type)``, with names in lower case."""
+def dictionary_columns(metadata: DataFrame, with_length: bool = False) -> DataFrame:
+    """Dictionary rows as ``(table_name, column_name, type)``, with names in lower case; ``with_length`` adds the declared length, NULL where there is none."""
+    length = F.col("length").cast("string").try_cast("int") if "length" in metadata.columns else F.lit(None).cast("int")
     return metadata.select(
         extract_table("extract").alias("table_name"),
         F.lower("column_name").alias("column_name"),
         F.lower(F.trim("type")).alias("type"),
+        *([F.when(length > 0, length).alias("length")] if with_length else []),
     )
 
 
+#: Key of a column's metadata that holds its declared length in characters.
+LENGTH = "length"
+
+
+def declare_lengths(schema: T.StructType, lengths: Mapping[str, int | None]) -> T.StructType:
+    """``schema`` whose text columns know the lengths declared for them, by lower-case name; other columns stay as they are."""
+    fields = []
+    for f in schema.fields:
+        length = lengths.get(f.name.lower()) if isinstance(f.dataType, T.StringType) else None
+        fields.append(T.StructField(f.name, f.dataType, f.nullable, {**f.metadata, LENGTH: length} if length else f.metadata))
+    return T.StructType(fields)
+
+
+def declared_length(field: T.StructField) -> int | None:
+    return (field.metadata or {}).get(LENGTH) if isinstance(field.dataType, T.StringType) else None
+
+
 def spark_type_name(column: str = "column_name", kind: str = "type", number: str = "double") -> Column:
     """Type map as an expression: the Spark type name of a dictionary row; ``number`` is what a Number becomes."""
     kind_text = F.lower(F.trim(F.col(kind)))

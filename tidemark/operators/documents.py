@@ -79,6 +79,24 @@ def open_record(df: DataFrame, column: str, known: T.StructType, rest: str = "re
     ).select(*df.columns, "__known.*", rest)
 
 
+#: States of a record: an object, JSON of another kind, or text that is no JSON (cut off, or with a repeated name).
+OPEN, OTHER, BROKEN = "object", "other", "broken"
+
+
+def open_typed_record(df: DataFrame, column: str, known: T.StructType, rest: str = "rest", state: str = "state") -> DataFrame:
+    """Known fields of a JSON object as typed columns, all others in a map of variants, which keep their types and their nesting.
+
+    The text is parsed once. ``state`` tells an ``object`` from ``other`` JSON and from ``broken`` text; a NULL text has none. Values that do not convert are NULL, and so
+    are ``rest`` and all known fields of what is no object.
+    """
+    parsed = df.withColumn("__json", F.try_parse_json(F.col(column)))
+    opened = parsed.withColumn("__all", F.try_variant_get("__json", "$", "map<string,variant>"))
+    names = F.array(*[F.lit(n) for n in known.names]) if known.names else F.array().cast("array<string>")
+    fields = [F.try_variant_get(F.try_element_at("__all", F.lit(f.name)), "$", f.dataType.simpleString()).alias(f.name) for f in known.fields]
+    found = F.when(F.col("__all").isNotNull(), OPEN).when(F.col("__json").isNotNull(), OTHER).when(F.col(column).isNotNull(), BROKEN)
+    return opened.select(*df.columns, *fields, F.map_filter("__all", lambda k, v: ~F.array_contains(names, k)).alias(rest), found.alias(state))
+
+
 def export_succeeded(results: DataFrame) -> DataFrame:
     """Export results with status SUCCESS, in any case."""
     return results.where(F.lower("responseStatus") == "success")

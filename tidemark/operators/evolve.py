@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.clean import convert_value
-from tidemark.operators.dictionary import spark_type_name
+from tidemark.operators.dictionary import declared_length, spark_type_name
 
 # Order of the steps of a change plan: deletes come before updates.
 STEP_DELETES, STEP_UPDATES = 1, 2
@@ -134,21 +134,32 @@ def _type(t: T.DataType | str) -> T.DataType:
     return T.StructType.fromDDL(f"c {t}").fields[0].dataType if isinstance(t, str) else t
 
 
-def create_catalog_tables(spark: SparkSession, schemas: Mapping[str, T.StructType], database: str) -> list[str]:
-    """Create the database and each table in the session catalog when absent; returns the tables made."""
+def create_catalog_tables(spark: SparkSession, schemas: Mapping[str, T.StructType], database: str, location: str | None = None) -> list[str]:
+    """Create the database, in the warehouse or at ``location``, and each table in the session catalog when absent; returns the tables made."""
     from tidemark.functions.names import quote_name
 
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_name(database)}")
+    place = " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_name(database)}{place}")
     made = []
     for table, schema in schemas.items():
+        # A text of declared length becomes varchar, which Spark checks on every write.
+        kinds = [f"varchar({declared_length(f)})" if declared_length(f) else f.dataType.simpleString() for f in schema.fields]
         name = f"{quote_name(database)}.{quote_name(table)}"
         if not spark.catalog.tableExists(name):
-            columns = ", ".join(f"{quote_name(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+            columns = ", ".join(f"{quote_name(f.name)} {kind}" for f, kind in zip(schema.fields, kinds))
             spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet")
             made.append(table)
     return made
 
 
+def catalog_types(spark: SparkSession, table: str, database: str) -> dict[str, str]:
+    """Declared type of each column of a catalogue table; the schema of a read says ``string`` for every text."""
+    from tidemark.functions.names import quote_name
+
+    rows = spark.sql(f"DESCRIBE TABLE {quote_name(database)}.{quote_name(table)}").collect()  # one per column
+    return {r["col_name"]: r["data_type"] for r in rows}
+
+
 def drop_catalog_tables(spark: SparkSession, tables: Sequence[str], database: str) -> None:
     from tidemark.functions.names import quote_name
 

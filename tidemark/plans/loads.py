@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.change import conform, typed_keys
 from tidemark.functions.clean import blank_to_null, clean, convert_value
-from tidemark.operators.dictionary import dictionary_columns, has_fraction, schema_from_metadata
+from tidemark.operators.dictionary import declare_lengths, dictionary_columns, has_fraction, schema_from_metadata
 from tidemark.operators.evolve import change_plan
 from tidemark.plans.target import Target, bucket_count
 from tidemark.session import in_parallel, local_rows, observed, release, settle, total_bytes
@@ -120,8 +120,8 @@ def reconcile(manifest: DataFrame, loaded: DataFrame) -> DataFrame:
 def _dictionary(metadata: DataFrame) -> dict[str, list[dict]]:
     """Dictionary rows by table. The dictionary has one row per column of the extract, which is what a driver can hold."""
     by_table: dict[str, list[dict]] = {}
-    for row in dictionary_columns(metadata).collect():
-        by_table.setdefault(row["table_name"], []).append({"column_name": row["column_name"], "type": row["type"]})
+    for row in dictionary_columns(metadata, with_length=True).collect():
+        by_table.setdefault(row["table_name"], []).append({"column_name": row["column_name"], "type": row["type"], "length": row["length"]})
     return by_table
 
 
@@ -131,7 +131,8 @@ def _table_schema(rows: list[dict], profile: str, numeric: str, numbers: T.Struc
     schema = schema_from_metadata(rows, names, None, profile, "double" if numeric == "infer" else numeric)
     found = {f.name.lower(): f.dataType for f in numbers.fields} if numbers is not None else {}
     fields = [T.StructField(f.name, found.get(f.name, f.dataType)) for f in schema.fields]
-    return T.StructType(fields + [T.StructField(n, t) for n, t in found.items() if n not in set(names)])
+    schema = T.StructType(fields + [T.StructField(n, t) for n, t in found.items() if n not in set(names)])
+    return declare_lengths(schema, {r["column_name"]: r.get("length") for r in rows})
 
 
 def create_tables(spark: SparkSession, target: Target, metadata: DataFrame, options: LoadOptions = LoadOptions()) -> list[str]:
@@ -338,7 +339,11 @@ def _apply_dictionary(spark: SparkSession, update_files: list[dict], delete_file
     plan = change_plan(new, gone, target.columns(tables), options.allow_to_string, DECIMAL_TYPE.simpleString() if options.numeric == "decimal" else "double")
     # One row per changed column of the dictionary.
     steps = plan.orderBy("step", "table_name", "action", "column_name").collect()
-    apply_plan(target, steps, options)
+    lengths: dict[str, dict[str, int]] = {}
+    if updates is not None:
+        for row in dictionary_columns(updates, with_length=True).where("length IS NOT NULL").collect():
+            lengths.setdefault(row["table_name"], {})[row["column_name"]] = row["length"]
+    apply_plan(target, steps, options, lengths)
 
     # The dictionary's own table follows, both ways.
     if target.create(METADATA_TABLE, DICTIONARY_SCHEMA, key_columns(METADATA_TABLE), buckets=1):
@@ -349,8 +354,11 @@ def _apply_dictionary(spark: SparkSession, update_files: list[dict], delete_file
         target.change(METADATA_TABLE, updates, keys, key_columns(METADATA_TABLE))
 
 
-def apply_plan(target: Target, steps: Sequence, options: LoadOptions = LoadOptions()) -> None:
-    """Apply the rows of a change plan, one schema change per table and step."""
+def apply_plan(
+    target: Target, steps: Sequence, options: LoadOptions = LoadOptions(), lengths: Mapping[str, Mapping[str, int]] | None = None
+) -> None:
+    """Apply the rows of a change plan, one schema change per table and step. ``lengths``: declared ones of new columns, by table and column."""
+    lengths = lengths or {}
     by_table: dict[tuple[int, str], list] = {}
     for s in steps:
         by_table.setdefault((s["step"], s["table_name"]), []).append(s)
@@ -363,7 +371,7 @@ def apply_plan(target: Target, steps: Sequence, options: LoadOptions = LoadOptio
             schema = T.StructType()
             for r in created:
                 schema.add(r["column_name"], "string" if options.profile == "all_string" else r["type"])
-            target.create(table, schema, _keys(table, options))
+            target.create(table, declare_lengths(schema, lengths.get(table, {})), _keys(table, options))
         if target.snapshot(table) is None:
             continue
         typed = options.profile != "all_string"
@@ -372,4 +380,5 @@ def apply_plan(target: Target, steps: Sequence, options: LoadOptions = LoadOptio
             add={r["column_name"]: r["type"] if typed else "string" for r in rows if r["action"] == "add_column"},
             retype={r["column_name"]: r["type"] for r in rows if r["action"] == "change_type" and typed},
             drop=[r["column_name"] for r in rows if r["action"] == "drop_column"],
+            lengths=lengths.get(table, {}),
         )

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.change import conform, delete_by_key, typed_keys, upsert
+from tidemark.operators.dictionary import declare_lengths, declared_length
 from tidemark.operators.evolve import _type, evolve
 from tidemark.session import create_small_text, delete_path, list_names, local_rows, no_rows, observed, path_exists, read_small_text
 
@@ -96,6 +97,15 @@ class Target:
                 rows += [(name, i, f.name.lower(), f.dataType.simpleString()) for i, f in enumerate(snap.schema.fields, 1)]
         return local_rows(self.spark, rows, "table_name string, ordinal int, column_name string, type string")
 
+    def describe(self, tables: Iterable[str] | None = None) -> DataFrame:
+        """``columns`` with the ``length`` in characters that the dictionary declares for a text column, NULL where it declares none."""
+        rows = []
+        for name in self.tables() if tables is None else tables:
+            snap = self.snapshot(name)
+            if snap is not None:
+                rows += [(name, i, f.name.lower(), f.dataType.simpleString(), declared_length(f)) for i, f in enumerate(snap.schema.fields, 1)]
+        return local_rows(self.spark, rows, "table_name string, ordinal int, column_name string, type string, length int")
+
     def _last_version(self, table: str) -> int:
         """Highest version number ever used, including those of dropped tables and of writes cut short."""
         names = list_names(self.spark, f"{self.root}/{table}/snapshots") + list_names(self.spark, f"{self.root}/{table}/data")
@@ -257,9 +267,10 @@ class Target:
         add: Mapping[str, T.DataType | str] | None = None,
         retype: Mapping[str, T.DataType | str] | None = None,
         drop: Sequence[str] = (),
+        lengths: Mapping[str, int] | None = None,
     ) -> None:
         """Change columns. Adding and dropping touch no data; a new type, or a new column that has the
-        name of a dropped one, rewrites the table in place of its buckets, without a shuffle."""
+        name of a dropped one, rewrites the table in place of its buckets, without a shuffle. ``lengths``: declared ones of columns that are added or become text."""
         snap = self._must(table)
         have = {f.name.lower(): f for f in snap.schema.fields}
         drop = [c for c in drop if c.lower() in have]
@@ -268,7 +279,9 @@ class Target:
         retype = {k: v for k, v in (retype or {}).items() if k.lower() in have and have[k.lower()].dataType != _type(v)}
         if not (add or retype or drop):
             return
-        schema = evolve(no_rows(self.spark, snap.schema), add, retype, drop).schema
+        kept = {n: declared_length(f) for n, f in have.items() if n not in {c.lower() for c in (*drop, *retype)}}
+        new = {c.lower(): n for c, n in (lengths or {}).items() if c.lower() in {k.lower() for k in (*add, *retype)}}
+        schema = declare_lengths(evolve(no_rows(self.spark, snap.schema), add, retype, drop).schema, kept | new)
         keys = [] if lost_keys else snap.keys
         buckets = 1 if lost_keys else snap.buckets
         retired = sorted(set(snap.retired) | {c.lower() for c in drop})
