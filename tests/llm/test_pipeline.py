@@ -59,3 +59,28 @@ def test_registered():
 
     names = entry.queries()
     assert "pipeline" in names and [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, row int, doc int, version int, kept_text string"
+
+
+def test_stages_without_rows(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES, 1):
+        found = stage(spark, docs, "")
+        assert found.count() == 0 and (number == 5 or found.columns == corpus_pipeline.COLUMNS)
+
+
+def test_stages_with_nulls_and_repeats(spark):
+    """Each stage by itself, with what its docstring says."""
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, long, "en", "s", 0), (1, long, "en", "s", 0), (2, long + " more", "en", "s", 0), (3, None, None, None, None), (4, "", "en", None, 0), (None, "other words here\nother words here", None, None, None)]
+    docs = spark.createDataFrame([(*r, 1, 2, 3, "x") for r in rows], SCHEMA)
+    found = [sorted(((r.doc_id, r.text) for r in stage(spark, docs, "").collect()), key=repr) for _, stage in corpus_pipeline.STAGES[:4]]
+    order = lambda *wanted: sorted(wanted, key=repr)
+    other = (None, rows[5][1])
+    assert found[0] == order((1, long), (1, long), (2, long + " more"), other)
+    assert found[1] == order((1, long), (1, long), (2, long + " more"), (3, ""), (4, ""), other)
+    assert found[2] == order((1, long), (1, long), (3, None), other)
+    assert found[3] == order((1, long), (1, long), (2, "more"), (3, ""), (4, ""), other)
+    assert sorted(r.doc_id for r in corpus_pipeline.STAGES[4][1](spark, docs, "").where("start = 0").collect() if r.doc_id) == [1, 1, 2, 3, 4]
