@@ -103,3 +103,26 @@ def test_walk_by_tokens(spark, size):
             back = [tuple(r) for r in page.in_order().collect()] + back
         assert back == want
     assert keyset_page(df.limit(0), order, size).next is None
+
+
+@pytest.mark.parametrize("shallow", [1, 100_000])
+def test_large_pages_stay_off_the_driver(spark, monkeypatch, shallow):
+    """A walk over 3,000 rows, half of them alike: the driver gets the rows at the ends of a page, and the pages are the same however they are cut."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    data = [(i % 7 if i % 2 else 3, i if i % 2 else 0) for i in range(3000)]
+    df = spark.createDataFrame(data, "a int, b int").repartition(4)
+    monkeypatch.setattr(numbering, "SHALLOW_PAGE", shallow)
+    collected, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: collected.append(got := collect(self)) or got)
+    pages = [numbering.keyset_page(df, ["a"], 700)]
+    while pages[-1].next is not None:
+        pages.append(numbering.keyset_page(df, ["a"], 700, pages[-1].next))
+    back = [pages[-1]]
+    while back[-1].previous is not None:
+        back.append(numbering.keyset_page(df, ["a"], 700, back[-1].previous))
+    assert max(map(len, collected), default=0) <= 100
+    monkeypatch.undo()
+    rows = [[tuple(r) for r in p.in_order().collect()] for p in pages]
+    assert sum(rows, []) == sorted(data) and [len(r) for r in rows] == [700] * 4 + [200]
+    assert [[tuple(r) for r in p.in_order().collect()] for p in back[::-1]] == rows

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import local_rows, settle
+from tidemark.session import local_rows, observed, release, settle
 
 SHALLOW_PAGE = 100_000
 HOT_GROUP = 1_000_000
@@ -151,25 +151,47 @@ def keyset_page(df: DataFrame, order: Sequence[str], size: int, token: str | Non
     if at["row"] is not None:
         rows = df.where(_from_boundary(named, F.from_json(F.lit(at["row"]), schema, _TIMES), back))
     direction = [F.col(f"`{c}`").desc_nulls_last() if back else F.col(f"`{c}`").asc_nulls_first() for c in named]
-    taken = settle(rows.orderBy(*direction).offset(seen).limit(size + 1), "page")
+    taken, more = _cut(rows, direction, seen, size)
     key = F.struct(*[F.col(f"`{c}`") for c in named])
-    ends = taken.orderBy(*direction).select(F.to_json(key, _TIMES).alias("row")).collect()  # a page
-    more = len(ends) > size
-    found = [r["row"] for r in ends[:size]]
-    if more:
-        taken = settle(taken.orderBy(*direction).limit(size), "page")
-
-    def boundary(values: list[str], backwards: bool) -> str | None:
-        if not values:
+    # The two rows at the ends and how often they come; not the page itself, which may be large.
+    ends = taken.agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    counts = taken.crossJoin(F.broadcast(ends)).groupBy("low", "high").agg(
+        F.count_if(key.eqNullSafe(F.col("low"))).alias("n_low"), F.count_if(key.eqNullSafe(F.col("high"))).alias("n_high"))
+    found = counts.select(F.to_json("low", _TIMES).alias("low"), F.to_json("high", _TIMES).alias("high"), "n_low", "n_high", F.col("low").eqNullSafe(F.col("high")).alias("one")).first()
+
+    def boundary(end: str, backwards: bool) -> str | None:
+        if found is None:
             return None
-        alike = next((i for i, v in enumerate(values) if v != values[0]), len(values))
         # A page of one repeated row goes on where the one before it has ended.
-        return json.dumps({"back": backwards, "seen": alike + (seen if alike == len(values) and at["row"] == values[0] and backwards == back else 0), "row": values[0]})
+        earlier = seen if found["one"] and at["row"] == found[end] and backwards == back else 0
+        return json.dumps({"back": backwards, "seen": found[f"n_{end}"] + earlier, "row": found[end]})
 
-    onward, behind = boundary(found[::-1], back) if more else None, boundary(found, not back) if token else None
+    last, first = ("low", "high") if back else ("high", "low")
+    onward, behind = boundary(last, back) if more else None, boundary(first, not back) if token else None
     return KeysetPage(taken, named, *((behind, onward) if back else (onward, behind)))
 
 
+def _cut(df: DataFrame, order: Sequence[Column], skip: int, size: int) -> tuple[DataFrame, bool]:
+    """``size`` rows in ``order`` behind the first ``skip``, stored, and whether there are more.
+
+    Near the start this is a top-k per task, as in ``page``; many rows would meet in one task that way, so they are cut out of the globally numbered rows.
+    """
+    if skip + size < SHALLOW_PAGE:
+        taken = settle(df.orderBy(*order).offset(skip).limit(size + 1), "page")
+        if taken.count() <= size:
+            return taken, False
+        page = settle(taken.orderBy(*order).limit(size), "page")
+        release(taken)
+        return page, True
+    placed = number_rows(df, order, "__row")
+    rows = placed.where((F.col("__row") >= skip) & (F.col("__row") <= skip + size))
+    page, seen = observed(rows.where(F.col("__row") < skip + size).drop("__row"), F.count(F.lit(1)).alias("rows"))
+    page = settle(page, "page")
+    more = seen.get["rows"] == size and not rows.where(F.col("__row") == skip + size).isEmpty()
+    release(placed)
+    return page, more
+
+
 def _from_boundary(named: Sequence[str], row: Column, back: bool) -> Column:
     """Rows at or behind the boundary row, in the order of the columns."""
     out = F.lit(True)
