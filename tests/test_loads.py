@@ -193,6 +193,20 @@ def test_stream_of_one_table(spark, tmp_path, rows):
         assert rows(store.read("t")) == [(1, "new"), (2, "b"), (3, "c")]
 
 
+def test_many_waiting_files_are_few_batches(spark, tmp_path, rows, monkeypatch):
+    from tidemark.streaming import incremental
+
+    monkeypatch.setattr(incremental, "MOST_BATCHES", 2)
+    store = Target(spark, str(tmp_path / "store"))
+    store.create("t", T.StructType.fromDDL("id bigint, v string"), ["id"])
+    for i in (3, 1, 4, 2, 5):
+        spark.createDataFrame([(0, f"v{i}", str(i)), (i, "own", str(i))], "id bigint, v string, stop string").coalesce(1).write.mode("append").parquet(str(tmp_path / "landing"))
+    run = stream_table(spark, str(tmp_path / "landing"), T.StructType.fromDDL("id bigint, v string, stop string"), store, "t", ["id"], str(tmp_path / "cp"), "stop", files_per_batch=1)
+    run.awaitTermination()
+    assert sum(p["numInputRows"] > 0 for p in run.recentProgress) == 2
+    assert rows(store.read("t")) == [(0, "v5")] + [(i, "own") for i in range(1, 6)]
+
+
 def test_late_rows_of_one_table(spark, tmp_path, rows):
     store = Target(spark, str(tmp_path / "store"))
     store.create("t", T.StructType.fromDDL("id bigint, v string"), ["id"])

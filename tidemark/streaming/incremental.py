@@ -11,13 +11,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.loads import LoadOptions, apply_incremental
 from tidemark.plans.target import Target
-from tidemark.session import release, settle
+from tidemark.session import files_at, release, settle
 from tidemark.sources.files import CSV_OPTIONS
 from tidemark.sources.listing import scan_listing
 from tidemark.sources.model import MANIFEST_FILE, MANIFEST_SCHEMA
 from tidemark.streaming.clock import AT, DELETED, admit, advance, is_set, last_changes, of_admitted
 
 
+#: Files that wait when a run begins are taken in about as many batches at most: each rewrites the buckets of its keys, so with more, a run's work would grow with the square of what waits.
+MOST_BATCHES = 6
+
+
+def _files_a_batch(spark: SparkSession, landing: str, wanted: int) -> int:
+    """``wanted`` files, or as many more as keep the files that are there to ``MOST_BATCHES`` batches."""
+    return max(wanted, -(-len(files_at(spark, landing)) // MOST_BATCHES))
+
+
 def stream_table(
     spark: SparkSession,
     landing: str,
@@ -33,9 +42,9 @@ def stream_table(
     """Upsert the Parquet files that land in a folder, each file once.
 
     Rows carry the stop time of their extract in column ``order``; of one key, the rows of the latest extract win, whether the others come in the same batch, earlier or later.
-    Where the column ``deleted`` is true, the row deletes its key; an update of the same extract survives that. A batch that is repeated after a failure is recognised and gives the same table.
+    A batch takes ``files_per_batch`` files, or more where many wait. Where the column ``deleted`` is true, the row deletes its key; an update of the same extract survives that. A batch that is repeated after a failure is recognised and gives the same table.
     """
-    changes = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
+    changes = spark.readStream.schema(schema).option("maxFilesPerTrigger", _files_a_batch(spark, landing, files_per_batch)).parquet(landing)
     keys = list(keys)
     gone = F.coalesce(F.col(deleted), F.lit(False)) if deleted else F.lit(False)
 
