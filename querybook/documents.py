@@ -12,7 +12,7 @@ from querybook.registry import plain_times, query, read
 from tidemark.functions import names
 from tidemark.operators import documents as docs
 from tidemark.operators import numbering, nest
-from tidemark.plans.documents import write_contents, write_objects, write_texts
+from tidemark.plans.documents import read_objects, write_contents, write_objects, write_texts
 from tidemark.session import scratch_path
 
 
@@ -253,6 +253,6 @@ def _objects(spark, sf):
     """Each document as one stored object, read back by its path."""
     out = scratch_path(spark, "objects")
     documents = read(spark, sf, "documents")
-    write_objects(documents.select(F.concat(F.lit("d/"), "doc_id", F.lit(".txt")).alias("path"), F.col("text").alias("content")), out)
-    stored = spark.read.format("binaryFile").load(f"{out}/d")
-    return stored.select(F.regexp_extract("path", r"(\d+)\.txt$", 1).cast("bigint").alias("doc_id"), F.col("content").cast("string").alias("text"))
+    path = F.concat(F.lit("d/"), "doc_id", F.lit(".txt")).alias("path")
+    write_objects(documents.select(path, F.col("text").alias("content")), out)
+    return read_objects(documents.select("doc_id", path), out).select("doc_id", F.col("content").cast("string").alias("text"))

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import names
 from tidemark.operators import documents as docs
-from tidemark.plans.documents import write_contents, write_objects, write_texts
+from tidemark.plans.documents import read_objects, write_contents, write_objects, write_texts
 
 
 def value(spark, text, expression):
@@ -122,3 +122,15 @@ def test_open_typed_record(spark):
     assert got[1]["it's"] == 1.5 and got[1].extra == 1
     assert [r.rest and json.loads(r.rest) for r in got] == [{"a b": {"x": [1, "2"]}, "n": None}, {}, {}, {}] + [None] * 7
     assert open_typed_record(df, "body", T.StructType()).where("rest['k'] IS NOT NULL").count() == 3
+
+
+def test_objects_are_read_by_name(spark, tmp_path, rows):
+    """By as many tasks as there are cores, however many objects there are; only the named ones, and none may be missing."""
+    data = [(i, f"a/{i % 3}/{i} ü.txt", f"text\n{i}") for i in range(300)]
+    df = spark.createDataFrame(data, "id int, path string, content string")
+    write_objects(df, str(tmp_path / "objects"))
+    found = read_objects(df.where("id % 2 = 0").select("id", "path"), str(tmp_path / "objects"))
+    assert rows(found.select("id", F.col("content").cast("string"))) == sorted([(i, t) for i, _, t in data if i % 2 == 0], key=repr)
+    assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    with pytest.raises(Exception, match="gone.txt"):
+        read_objects(spark.createDataFrame([("a/gone.txt",)], "path string"), str(tmp_path / "objects")).collect()

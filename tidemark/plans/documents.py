@@ -13,6 +13,9 @@ from tidemark.operators.documents import content_objects, text_objects
 from tidemark.session import qualified
 from tidemark.sources.archive import _local_path
 
+#: Objects that a task reads, and that it holds before it hands them on.
+OBJECTS_A_TASK, OBJECTS_AT_ONCE = 10_000, 64
+
 
 def write_texts(versions: DataFrame, texts: DataFrame, out: str, batch_size: int = 10_000) -> None:
     """Document texts as Parquet ``(path, text)``, partitioned by batch; line breaks stay inside the value."""
@@ -42,10 +45,13 @@ def write_objects(df: DataFrame, root: str, path: str = "path", content: str = "
         from pyarrow import fs
 
         system, base = fs.FileSystem.from_uri(_local_path(root))
+        made = None
         for row in rows:
             name = f"{base}/{row['path']}"
             folder, last = name.rsplit("/", 1)
-            system.create_dir(folder, recursive=True)
+            if folder != made:
+                system.create_dir(folder, recursive=True)
+                made = folder
             hidden = f"{folder}/_{uuid.uuid4().hex}.{last}"
             try:
                 with system.open_output_stream(hidden, compression=None) as out:
@@ -57,3 +63,31 @@ def write_objects(df: DataFrame, root: str, path: str = "path", content: str = "
                 raise
 
     df.select(F.col(path).alias("path"), body.alias("content")).foreachPartition(store)
+
+
+def read_objects(df: DataFrame, root: str, path: str = "path") -> DataFrame:
+    """Rows of ``df`` with the ``content`` of the stored object that each one names; a missing object is an error.
+
+    The names are dealt out and the tasks open the objects themselves: no folder is listed, and no split is planned for each object.
+    """
+    root = qualified(df.sparkSession, root)
+    schema = T.StructType([*df.schema.fields, T.StructField("content", T.BinaryType())])
+
+    def fetch(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(_local_path(root))
+
+        def load(name):
+            with system.open_input_stream(f"{base}/{name}", compression=None) as source:
+                return source.read()
+
+        for batch in batches:
+            # In small pieces, since an object is larger than its name.
+            for piece in (batch.slice(i, OBJECTS_AT_ONCE) for i in range(0, batch.num_rows, OBJECTS_AT_ONCE)):
+                content = pa.array([load(name) for name in piece.column(path).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*piece.columns, content], names=schema.names)
+
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // OBJECTS_A_TASK))
+    return df.repartition(tasks, path).mapInArrow(fetch, schema)
