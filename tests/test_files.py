@@ -55,6 +55,23 @@ def test_odd_csv_is_the_same_in_splits_and_archives(spark, tmp_path, rows, split
     assert rows(archive.member_table(records, "x.csv", names)) == want
 
 
+@pytest.mark.parametrize("text,python", [("a,b\n1,x\n\n2,é\n", False), ("\na,b\n1,x\na,b\n2,é\n", True), ('a,b\n1,"x"\n2,é\n', True)])
+def test_small_splits_share_tasks_and_plain_lines_stay_in_the_jvm(spark, tmp_path, rows, text, python):
+    """Files without quotes need no framing; a line like the header is data further down."""
+    for name in ("1.csv", "2.csv"):
+        (tmp_path / name).write_text(text + "3,y\n" * 40)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "7b")
+        scanned = files.scan_csv(spark, str(tmp_path))
+        want = [("1", "x"), ("2", "é")] + ([("a", "b")] if text.count("a,b") > 1 else []) + [("3", "y")] * 40
+        assert rows(scanned) == sorted(want * 2, key=repr)
+        assert ("MapInArrow" in scanned._jdf.queryExecution().executedPlan().toString()) == python
+        assert scanned.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism + 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_compressed_csv(spark, tmp_path, rows, split_size):
     import gzip
 

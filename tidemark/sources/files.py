@@ -63,6 +63,9 @@ def parse_records(df: DataFrame, column: str, schema: T.StructType, keep: Sequen
     return df.select(*keep, F.from_csv(F.col(column), ddl, CSV_OPTIONS).alias("__r")).select(*keep, "__r.*")
 
 
+#: Text that a task reads at least, where a table is large enough for all cores.
+TASK_BYTES = 16 << 20
+
 STATES = "file string, start bigint, outside boolean, inside boolean, reaches boolean, blank boolean"
 FRAMED = "file string, owner bigint, start bigint, seq int, whole boolean, header boolean, record binary"
 
@@ -70,8 +73,8 @@ FRAMED = "file string, owner bigint, start bigint, seq int, whole boolean, heade
 def csv_records(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
     """``(file, record)`` of CSV files of any size, read in splits, without their headers, which must be ``names``.
 
-    A first, narrow pass gives for each split the state at its end for either state at its start; one row per split comes to the driver, which composes them along each
-    file. In the second pass each split cuts its own lines into records. Only a record that goes on in another split is put together by
+    A first, narrow pass tells which splits hold quotes; where none does, the records are the lines. Otherwise the lines with quotes give for each split the state at its end for
+    either state at its start; one row per split comes to the driver, which composes them along each file. In the last pass each split cuts its own lines into records. Only a record that goes on in another split is put together by
     a shuffle, of its pieces alone. Files that Spark cannot split need no first pass.
     """
     lines = spark.read.text(path).select(
@@ -79,7 +82,21 @@ def csv_records(spark: SparkSession, path: str, names: Sequence[str]) -> DataFra
     )
     begins = None
     if may_be_split(spark, path):
-        begins = spark.sparkContext.broadcast(begin_states([tuple(r) for r in lines.mapInArrow(_split_states, STATES).collect()]))
+        # Small splits share a task, which takes them one after the other.
+        lines = lines.coalesce(max(spark.sparkContext.defaultParallelism, -(-total_bytes(spark, path) // TASK_BYTES)))
+        header = _first_line(spark, path)
+        splits = [tuple(r) for r in _contents(lines, header).collect()]
+        quoted = any(s[3] for s in splits)
+        if not quoted and column_names(header) == list(names) and _plainly_headed(splits):
+            # Without a quote each line is a record, and the header is the only line of its kind in a file.
+            plain = lines.where((F.octet_length("line") > 0) & (F.col("line") != F.lit(header)))
+            return plain.select("file", F.col("line").cast("string").alias("record"))
+        # Lines without a quote change no state.
+        states = {}
+        if quoted:
+            with_quotes = lines.where(F.contains("line", F.lit(b'"')))
+            states = {(r["file"], r["start"]): (r["outside"], r["inside"], r["reaches"]) for r in with_quotes.mapInArrow(_split_states, STATES).collect()}
+        begins = spark.sparkContext.broadcast(begin_states([(f, at, *states.get((f, at), (False, True, False)), not filled) for f, at, filled, *_ in splits]))
 
     def frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _frame(batches, None if begins is None else begins.value, list(names))
@@ -95,6 +112,27 @@ def csv_records(spark: SparkSession, path: str, names: Sequence[str]) -> DataFra
         pieces.where("not header").select("file", joined.alias("record")))
 
 
+def _first_line(spark: SparkSession, path: str) -> bytes:
+    """The first line that is not blank."""
+    return next((line for file in files_at(spark, path) for line in text_lines(spark, file) if line), b"")
+
+
+def _contents(lines: DataFrame, header: bytes) -> DataFrame:
+    """For each split: whether it holds anything, whether it holds a quote, whether its first line with anything in it is ``header``, and how many such lines it holds."""
+    filled, is_header = F.octet_length("line") > 0, F.col("line") == F.lit(header)
+    first = F.min(F.when(filled, F.struct("place", (~is_header).alias("other"))))
+    return lines.withColumn("place", F.monotonically_increasing_id()).groupBy("file", "start").agg(
+        F.bool_or(filled).alias("filled"), F.bool_or(F.contains("line", F.lit(b'"'))).alias("quoted"), (~first["other"]).alias("headed"), F.count_if(is_header).alias("headers"))
+
+
+def _plainly_headed(splits: list[tuple]) -> bool:
+    """Whether in each file that holds anything the header is the first such line and comes once; ``splits`` as ``_contents`` gives them."""
+    files: dict[str, list[tuple]] = {}
+    for file, start, filled, _, headed, n in sorted(splits, key=lambda s: s[:2]):
+        files.setdefault(file, []).append((filled, headed, n))
+    return all(next((headed for filled, headed, _ in f if filled), True) and sum(n for *_, n in f) <= 1 for f in files.values())
+
+
 def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.Array]]:
     """Lines of one split at a time, in pieces; a split may come in several."""
     for batch in batches:
