@@ -63,6 +63,21 @@ def test_merge_fails_on_ambiguous_source(spark, target):
         upsert(target, new, ["id"], mode="merge").collect()
 
 
+def test_large_merge_takes_more_tasks(spark, rows, monkeypatch):
+    """As many as its rows need; null keys, repeated target rows and new rows that come twice among them."""
+    from tidemark.operators import change
+
+    target = spark.createDataFrame([(i % 90 if i % 10 else None, f"t{i}") for i in range(200)], "id int, v string")
+    updates = spark.createDataFrame([(i, f"u{i}") for i in range(60, 120)] + [(200, "a"), (200, "b"), (None, "n")], "id int, v string")
+    plain = rows(upsert(target, updates, ["id"], mode="merge"))
+    monkeypatch.setattr(change, "ROWS_A_TASK", 20)
+    dealt = upsert(target, updates, ["id"], mode="merge")
+    assert rows(dealt) == plain
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString() and dealt.rdd.getNumPartitions() >= 14
+    with pytest.raises(Exception, match="more than once"):
+        upsert(target, updates.unionByName(updates), ["id"], mode="merge").collect()
+
+
 def test_unknown_mode(target):
     with pytest.raises(ValueError):
         upsert(target, target, ["id"], mode="other")

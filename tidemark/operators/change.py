@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from tidemark.functions.clean import convert_value
 
 
+#: Rows of a large merge that one task sorts.
+ROWS_A_TASK = 250_000
+
+
 def typed_keys(changes: DataFrame, target_schema: T.StructType, keys: Sequence[str]) -> DataFrame:
     """``changes`` with its key columns in the target's types; a key that does not convert matches nothing."""
     wanted = {f.name.lower(): f.dataType for f in target_schema.fields}
@@ -85,6 +89,19 @@ def append(target: DataFrame, rows: DataFrame, match: str = "name") -> DataFrame
     return target.unionByName(conform(rows, target.schema, match))
 
 
+def _dealt_by_key(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a large merge in as many partitions as their rows need, so that what a task sorts does not grow with the tables; otherwise as they are."""
+    partitions = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    changed = rows.count()
+    if changed <= ROWS_A_TASK:
+        return target, rows  # may be sent to every task
+    wanted = -(-(target.count() + changed) // ROWS_A_TASK)
+    if wanted <= partitions:
+        return target, rows
+    by_key = [F.col(f"`{k}`") for k in keys]
+    return target.repartition(wanted, *by_key), rows.repartition(wanted, *by_key)
+
+
 def upsert(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], mode: str = "delete_insert", distinct: bool = True
 ) -> DataFrame:
@@ -103,6 +120,7 @@ def upsert(
     if mode != "merge":
         raise ValueError(f"unknown upsert mode {mode!r}")
 
+    target, rows = _dealt_by_key(target, rows, keys)
     # One candidate per key with its count, so the target side stays the streamed (and splittable) side.
     candidate = (
         rows.groupBy(*[F.col(k).alias(f"__{k}") for k in keys])
