@@ -120,9 +120,9 @@ def _first_line(spark: SparkSession, path: str) -> bytes:
 def _contents(lines: DataFrame, header: bytes) -> DataFrame:
     """For each split: whether it holds anything, whether it holds a quote, whether its first line with anything in it is ``header``, and how many such lines it holds."""
     filled, is_header = F.octet_length("line") > 0, F.col("line") == F.lit(header)
-    first = F.min(F.when(filled, F.struct("place", (~is_header).alias("other"))))
+    first = lambda condition: F.min(F.when(condition, F.col("place")))  # noqa: E731 (numbers, so that nothing is sorted)
     return lines.withColumn("place", F.monotonically_increasing_id()).groupBy("file", "start").agg(
-        F.bool_or(filled).alias("filled"), F.bool_or(F.contains("line", F.lit(b'"'))).alias("quoted"), (~first["other"]).alias("headed"), F.count_if(is_header).alias("headers"))
+        F.bool_or(filled).alias("filled"), F.bool_or(F.contains("line", F.lit(b'"'))).alias("quoted"), first(filled).eqNullSafe(first(is_header)).alias("headed"), F.count_if(is_header).alias("headers"))
 
 
 def _plainly_headed(splits: list[tuple]) -> bool:
