@@ -12,6 +12,7 @@ from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.fm_index import FMIndex
 from tidemark.llm.line_dedup import carried, line_dedup, pack_bitmap, unpack_bitmap
 from tidemark.llm.substring_dedup import substring_dedup
+from tidemark.session import shuffles_dropped
 
 import re
 
@@ -229,6 +230,72 @@ def test_pairs_of_groups():
     assert sorted(pairs) == sorted(want) and 0 < len(want) < 40_000
 
 
+def test_sketches_bound_similarities():
+    """The bound is never below the similarity, whatever the widths, and tells unlike sets."""
+    rnd = np.random.default_rng(6)
+    draw = lambda n: rnd.integers(0, 2**64, n, np.uint64, endpoint=False)
+    ruled_out = 0
+    for _ in range(2000):
+        n = int(rnd.choice([0, 1, 2, 31, 32, 33, 64, 65, 500, 3000]))
+        shared, own, others = draw(n), draw(int(rnd.integers(0, 1 + n // 2))), draw(int(rnd.integers(0, 2 + n)))
+        a, b = (np.unique(np.concatenate([shared, more])) for more in (own, others))
+        real = near_copies.similarity(a.tobytes(), b.tobytes())
+        sides = (len(a), near_copies.sketch_of(a)), (len(b), near_copies.sketch_of(b))
+        bound = near_copies.similarity_bound(*sides[0], *sides[1])
+        assert bound >= real and bound == near_copies.similarity_bound(*sides[1], *sides[0])
+        if n >= 500 and real < 0.7:
+            assert bound < 0.8
+            ruled_out += 1
+    assert ruled_out > 50 and near_copies.similarity_bound(*sides[0], *sides[0]) == 1
+    a, b = draw(300), draw(300)
+    assert near_copies.similarity_bound(300, near_copies.sketch_of(a), 300, near_copies.sketch_of(b)) < 0.6
+
+
+def test_sets_of_likely_pairs_only(table, monkeypatch):
+    """Texts that share shingles but are not similar are told apart without their sets."""
+    import random
+
+    rnd = random.Random(12)
+    word = lambda: f"w{rnd.randint(0, 10**9)}"
+    rows = []
+    for i in range(40):
+        shared = [word() for _ in range(60)]
+        rows += [(2 * i + k, " ".join(shared + [word() for _ in range(40)])) for k in range(2)]
+    rows.append((1000, rows[10][1] + " more"))
+    stored = {}
+
+    def settle(df, label):
+        out = near_settle(df, label)
+        stored.setdefault(label, []).append(out.count())
+        return out
+
+    near_settle = near_copies.settle
+    monkeypatch.setattr(near_copies, "settle", settle)
+    found = {r.doc: r.component for r in near_copies.near_copies(table(rows)).collect()}
+    assert found == {d: 10 if d == 1000 else d for d, _ in rows}
+    assert sum(stored["candidates"]) > 20 and sum(stored["shingle-sets"]) == 2
+
+
+def test_shuffles_of_near_copies_go(spark, table):
+    """What the steps have shuffled is not left to the driver's garbage collection, and the setting is as before."""
+    import time
+    from pathlib import Path
+
+    folders = [d.getPath() for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+    there = lambda: {p.name for d in folders for p in Path(d).glob("*/shuffle_*")}
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    docs = table([(i, f"some words of text {i // 2} " * 8) for i in range(40)])
+    before, setting = there(), spark.conf.get(name)
+    found = near_copies.near_copies(docs)
+    end = time.time() + 20
+    while (left := there() - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(name) == setting and found.count() == 40
+    with pytest.raises(ZeroDivisionError), shuffles_dropped(spark):
+        1 / 0
+    assert spark.conf.get(name) == setting
+
+
 def test_simhash_masks_and_chains():
     """Whatever 4 bits differ, some mask agrees and some chain holds."""
     rnd = np.random.default_rng(7)

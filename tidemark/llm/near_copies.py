@@ -8,6 +8,9 @@ All other pairs come from prefixes. Shingles have one order for all texts. If tw
 of each have one in common, so texts of different groups that share such a shingle, and whose sizes and places of it allow that similarity, are compared: no pair is missed. The order has
 common shingles (counted in a sample of texts) last, as shared passages would else make large buckets; whatever it is, the result is the same.
 
+Candidates by chance grow faster than the input, so whole sets are fetched only for pairs whose sketches allow the similarity. A sketch has the parity of how many shingles fall to
+each bit: sets differ in at least as many shingles as their sketches in bits, so no pair is lost.
+
 Equal texts (equal words, A-Z in lower case) are reduced to one before.
 """
 
@@ -25,17 +28,19 @@ from pyspark.sql import functions as F
 from tidemark.llm.components import components
 from tidemark.llm.rows import keyed
 from tidemark.llm.simhash import SEED, SEGMENTS, fingerprint_edges
-from tidemark.session import release, settle
+from tidemark.session import release, settle, shuffles_dropped
 
 VIEWS = 8
 LIMIT = 10
 #: Bits of two consecutive segments of the ring.
 PAIRS = [SEGMENTS[i] | SEGMENTS[(i + 1) % 5] for i in range(5)]
-ROWS = "doc bigint, version bigint, same binary, n_words bigint, views array<bigint>, size bigint, prefix array<bigint>"
+ROWS = "doc bigint, version bigint, same binary, n_words bigint, views array<bigint>, size bigint, prefix array<bigint>, sketch binary"
 #: One of so many texts is counted; a shingle is common if it is in ``COMMON`` counted texts, or in more if there are over ``MOST_COMMON`` of these.
 SAMPLE, COMMON, MOST_COMMON = 16, 4, 200_000
 #: Rows of a bucket that are compared by shifts, and pairs of a larger one that are compared at a time.
 _SMALL, _PAIRS = 48, 1 << 20
+#: Texts whose sets are wanted that are sent to all tasks, which then read the documents without a shuffle.
+_FEW = 100_000
 #: Above so many fingerprints a bucket of views gives a tree of candidates; the prefixes decide what a tree leaves out.
 _TREE = 4
 #: Against rounding: a bound is never above its exact value.
@@ -76,6 +81,27 @@ def similarity(a: bytes, b: bytes) -> float:
     return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
 
 
+def sketch_of(shingles: np.ndarray) -> bytes:
+    """One bit or more for each half of a shingle, a power of two in all: whether the number of shingles that fall to it is odd."""
+    width = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    counts = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def similarity_bound(size_a: int, sketch_a: bytes, size_b: int, sketch_b: bytes) -> float:
+    """The most that the similarity of sets of these sizes and sketches can be; the longer sketch is folded to the length of the other."""
+    a, b = int.from_bytes(sketch_a, "little"), int.from_bytes(sketch_b, "little")
+    if len(sketch_a) < len(sketch_b):
+        a, b = b, a
+    width, least = 8 * max(len(sketch_a), len(sketch_b)), 8 * min(len(sketch_a), len(sketch_b))
+    while width > least:
+        width //= 2
+        a = a >> width ^ a & (1 << width) - 1
+    total = size_a + size_b
+    both = min(size_a, size_b, (total - (a ^ b).bit_count()) // 2)
+    return both / (total - both) if total else 1.0
+
+
 def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
     """Sorted hashes of common shingles, ``MOST_COMMON`` at most. ``docs`` as of ``keyed``."""
 
@@ -107,7 +133,7 @@ def prefix_of(shingles: np.ndarray, common: np.ndarray, least: float) -> np.ndar
 
 
 def text_rows(docs: DataFrame, size: int, least: float) -> DataFrame:
-    """Per row: the hash of its words, their count, the views, the number of shingles and their prefix. ``docs`` as of ``keyed``."""
+    """Per row: the hash of its words, their count, the views, the number of shingles, their prefix and sketch. ``docs`` as of ``keyed``."""
     shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, size))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +141,7 @@ def text_rows(docs: DataFrame, size: int, least: float) -> DataFrame:
 
         common = shared.value
         for batch in batches:
-            same, counts, views, sizes, prefixes = [], [], [], [], []
+            same, counts, views, sizes, prefixes, sketches = [], [], [], [], [], []
             for text in batch.column("text"):
                 words = words_of(text.as_py())
                 same.append(xxhash.xxh3_128_digest(b" ".join(words)))
@@ -124,9 +150,11 @@ def text_rows(docs: DataFrame, size: int, least: float) -> DataFrame:
                 shingles = shingle_set(words, size)
                 sizes.append(len(shingles))
                 prefixes.append(prefix_of(shingles, common, least).view("<i8"))
+                sketches.append(sketch_of(shingles))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("version"), pa.array(same, pa.binary()), pa.array(counts, pa.int64()), pa.array(views, pa.list_(pa.int64())), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["doc", "version", "same", "n_words", "views", "size", "prefix"])
+                [batch.column("doc"), batch.column("version"), pa.array(same, pa.binary()), pa.array(counts, pa.int64()), pa.array(views, pa.list_(pa.int64())), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())),
+                 pa.array(sketches, pa.binary())],
+                names=["doc", "version", "same", "n_words", "views", "size", "prefix", "sketch"])
 
     return docs.select("doc", "version", "text").mapInArrow(compute, ROWS)
 
@@ -226,14 +254,24 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return found.groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
+def likely(sketches: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """Of ``pairs`` (a, b; settled, they are deleted) those whose sketches allow a similarity of at least ``least``. ``sketches``: node, size, sketch."""
+    both = pairs.join(sketches.toDF("a", "m", "x"), "a").join(sketches.toDF("b", "n", "y"), "b")
+    bound = F.pandas_udf(_similarity_bounds, "double").asNondeterministic()  # evaluated once, before the filter
+    found = settle(both.select("a", "b", bound("m", "x", "n", "y").alias("bound")).where(F.col("bound") >= least).select("a", "b"), "likely-pairs")
+    release(pairs)
+    return found
+
+
 def similar(docs: DataFrame, groups: DataFrame, pairs: DataFrame, size: int, least: float) -> DataFrame:
     """Of ``pairs`` (a, b; settled) those with a similarity of at least ``least``."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct().join(groups, "node").select("node", "first.doc", "first.version")
-    sets = settle(shingle_sets(docs, wanted, size), "shingle-sets")
+    wanted = settle(wanted, "wanted")
+    sets = settle(shingle_sets(docs, F.broadcast(wanted) if wanted.count() <= _FEW else wanted, size), "shingle-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     measure = F.pandas_udf(_similarities, "double").asNondeterministic()  # evaluated once, before the filter
     links = settle(both.select("a", "b", measure("x", "y").alias("similarity")).where(F.col("similarity") >= least).select("a", "b"), "near-links")
-    release(sets)
+    release(sets, wanted)
     return links
 
 
@@ -245,23 +283,28 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     An empty table gives no rows.
     """
     texts = keyed(docs, id_col, text_col)
-    rows = settle(text_rows(texts, shingle_words, least), "text-rows")
-    first = F.min(F.struct("doc", "version"))
-    one = [F.first(c).alias(c) for c in ("views", "size", "prefix")]
-    whole = settle(rows.groupBy("same").agg(first.alias("first"), F.max("n_words").alias("n_words"), *one).withColumn("node", F.monotonically_increasing_id()), "texts")
-    # Prefixes are large; what holds them goes when it is not needed any more.
-    groups = settle(whole.select("same", "node", "first"), "text-nodes")
-    slim = settle(rows.select("doc", "version", "same"), "text-rows")
-    release(rows)
-    shared = shared_shingles(whole)
-    views = whole.where("n_words > 0").select("node", F.posexplode("views").alias("view", "fp"))
-    pairs = settle(fingerprint_edges(views, PAIRS, LIMIT, "view", _TREE).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-    release(whole)
-    links = similar(texts, groups, pairs, shingle_words, least)
-    more = settle(prefix_pairs(shared, settle(components(links), "linked"), least), "candidates")
-    release(shared)
-    links = links.unionByName(similar(texts, groups, more, shingle_words, least))
-    found = groups.select("same", "node", F.col("first.doc").alias("doc")).join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # What a step has shuffled goes with it: on large inputs the driver collects its garbage too seldom.
+    with shuffles_dropped(docs.sparkSession):
+        rows = settle(text_rows(texts, shingle_words, least), "text-rows")
+        first = F.min(F.struct("doc", "version"))
+        one = [F.first(c).alias(c) for c in ("views", "size", "prefix", "sketch")]
+        whole = settle(rows.groupBy("same").agg(first.alias("first"), F.max("n_words").alias("n_words"), *one).withColumn("node", F.monotonically_increasing_id()), "texts")
+        # Prefixes are large; what holds them goes when it is not needed any more.
+        groups = settle(whole.select("same", "node", "first"), "text-nodes")
+        sketches = settle(whole.select("node", "size", "sketch"), "sketches")
+        slim = settle(rows.select("doc", "version", "same"), "text-rows")
+        release(rows)
+        shared = shared_shingles(whole)
+        views = whole.where("n_words > 0").select("node", F.posexplode("views").alias("view", "fp"))
+        pairs = settle(fingerprint_edges(views, PAIRS, LIMIT, "view", _TREE).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+        release(whole)
+        links = similar(texts, groups, likely(sketches, pairs, least), shingle_words, least)
+        more = settle(prefix_pairs(shared, settle(components(links), "linked"), least), "candidates")
+        release(shared)
+        links = links.unionByName(similar(texts, groups, likely(sketches, more, least), shingle_words, least))
+        release(sketches)
+        linked = components(links)
+    found = groups.select("same", "node", F.col("first.doc").alias("doc")).join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = found.groupBy("component").agg(F.min("doc").alias("smallest"))
     labelled = found.join(smallest, "component").select("same", F.col("smallest").alias("component"))
     return slim.join(labelled, "same").select("doc", "version", "component")
@@ -271,6 +314,10 @@ def _similarities(x: pd.Series, y: pd.Series) -> pd.Series:
     return pd.Series([similarity(a, b) for a, b in zip(x, y)], dtype=float)
 
 
+def _similarity_bounds(m: pd.Series, x: pd.Series, n: pd.Series, y: pd.Series) -> pd.Series:
+    return pd.Series([similarity_bound(*pair) for pair in zip(m, x, n, y)], dtype=float)
+
+
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, least: float = 0.8) -> DataFrame:
     """``docs`` with one document of each component of near copies: the one with the smallest id.
 
